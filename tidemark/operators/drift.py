@@ -68,11 +68,16 @@ def file_catalogue(landed: DataFrame) -> DataFrame:
     rows = landed.select("feed", "target", "file_id", "landed_at", F.try_parse_json("payload").alias("doc")).where("feed IS NOT NULL AND file_id IS NOT NULL AND schema_of_variant(doc) LIKE 'OBJECT%'")
     fields = rows.lateralJoin(rows.sparkSession.tvf.variant_explode(F.col("doc").outer())).select("feed", "target", "file_id", "landed_at", F.col("key").alias("field"), _kind(F.col("value")).alias("kind"))
     widest = ["boolean", "integer", "decimal", "object", "array", "string"]
-    order = F.array_position(F.array(*[F.lit(k) for k in widest]), F.col("kind"))
+    order = F.lit(None).cast("int")
+    for place, name in enumerate(widest):
+        order = F.when(F.col("kind") == name, place).otherwise(order)
     found = fields.groupBy("feed", "file_id", "field").agg(
         F.max("target").alias("target"), F.min("landed_at").alias("landed_at"), F.max(order).alias("rank"), F.count("*").alias("records"), F.count("kind").alias("filled")
     )
-    return found.select("feed", "target", "file_id", "landed_at", "field", F.expr(f"element_at(array({', '.join(repr(k) for k in widest)}), nullif(cast(rank as int), 0))").alias("kind"), "records", "filled")
+    kind = F.lit(None).cast("string")
+    for place, name in enumerate(widest):
+        kind = F.when(F.col("rank") == place, name).otherwise(kind)
+    return found.select("feed", "target", "file_id", "landed_at", "field", kind.alias("kind"), "records", "filled")
 
 
 def file_sequence(landed: DataFrame) -> DataFrame:
