@@ -28,7 +28,6 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p1_found, p8_ids)}
 
-_S = CANONICAL_SQL.format("{0}.symbol")
 _NEAR = """
 SELECT window_id, '{field}' AS field, release_id FROM (
   SELECT DISTINCT w.window_id, r.release_id, abs(epoch_us(w.{field}) - epoch_us(r.{field})) AS gap
@@ -38,6 +37,6 @@ QUALIFY row_number() OVER (PARTITION BY window_id ORDER BY gap, release_id) = 1"
 
 SQL = {
     "p1_found": " UNION ALL ".join(
-        f"SELECT * FROM ({_NEAR.format(field=f, tolerance=t, left=_S.format('w'), right=_S.format('r'))})" for f, t in (("fiscal_close", 10 * DAY), ("release_date", 3 * DAY))
+        f"SELECT * FROM ({_NEAR.format(field=f, tolerance=t, left=CANONICAL_SQL.format('w.symbol'), right=CANONICAL_SQL.format('r.symbol'))})" for f, t in (("fiscal_close", 10 * DAY), ("release_date", 3 * DAY))
     )
 }
