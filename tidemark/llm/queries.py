@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.symbols import CANONICAL_SQL, canonical
 from tidemark.llm.byte_bpe import encode_corpus
+from tidemark.llm.leakage import leaked_items
 from tidemark.llm.nearest import nearest_in_time
 from tidemark.session import table
 
@@ -26,7 +27,11 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p8_ids)}
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p8_ids, p9_found)}
 
 _NEAR = """
 SELECT window_id, '{field}' AS field, release_id FROM (
