@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.symbols import CANONICAL_SQL, canonical
+from tidemark.llm import abuse
 from tidemark.llm.byte_bpe import encode_corpus
 from tidemark.llm.leakage import leaked_items
 from tidemark.llm.nearest import nearest_in_time
@@ -31,7 +32,29 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p8_ids, p9_found)}
+def p10_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score of every document."""
+    documents = table(spark, sf_dir, "documents")
+    model = abuse.fit(abuse.labelled_sample(documents, table(spark, sf_dir, "doc_labels")))
+    return abuse.score_documents(documents, model)
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p10_scores(spark, sf_dir).where("flagged").select("doc_id").distinct()
+
+
+def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per source: documents, those flagged, their share and the mean score."""
+    scores = p10_scores(spark, sf_dir)
+    sources = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return (
+        sources.join(scores, "doc_id")
+        .groupBy("source")
+        .agg(F.count("*").alias("documents"), F.count_if("flagged").alias("flagged"), F.avg(F.col("flagged").cast("double")).alias("rate"), F.avg("score").alias("mean_score"))
+    )
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p8_ids, p9_found, p10_found, p10_scores, p10_rates)}
 
 _NEAR = """
 SELECT window_id, '{field}' AS field, release_id FROM (
