@@ -1 +1,5 @@
+"""Queries over the tables of a data folder."""
 
+from tidemark.plans import pit_queries
+
+CATALOGUES = [pit_queries.C]
