@@ -1,5 +1,5 @@
 """Queries over the tables of a data folder."""
 
-from tidemark.plans import pit_queries
+from tidemark.plans import pit_queries, relational_queries
 
-CATALOGUES = [pit_queries.C]
+CATALOGUES = [pit_queries.C, relational_queries.C]
