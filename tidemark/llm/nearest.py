@@ -32,8 +32,10 @@ class HashTable:
             left, slot = left[lost], (slot[lost] + 1) & self.mask
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
-        mixed = keys * np.uint64(0x9E3779B97F4A7C15)
-        return ((mixed ^ (mixed >> np.uint64(29))) & np.uint64(self.mask)).astype(np.int64)
+        # Groups lie in the high bits and prefixes in the low ones: both must reach the bits that are used.
+        mixed = (keys ^ (keys >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        return ((mixed >> np.uint64(20)) & np.uint64(self.mask)).astype(np.int64)
 
     def get(self, keys: np.ndarray) -> np.ndarray:
         """The value of each key, or -1."""
