@@ -11,7 +11,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidemark.operators.parquet_blocks import ParquetBlockError, join_blocks, read_footer, schema_bytes
+from tidemark.operators.parquet_blocks import FILE_SCHEMA, ParquetBlockError, join_blocks, read_footer
 
 #: Bytes of small files that go into one consolidated file, about.
 TARGET_BYTES = 64 << 20
@@ -54,9 +54,10 @@ def encode_files(rows: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[str, bytes]] = []
         for (name,), table in _runs(batches, [path]):
-            sink = io.BytesIO()
-            pq.write_table(table.drop_columns([path]).cast(schema), sink, compression="snappy", use_dictionary=False, store_schema=False)
-            out.append((name, sink.getvalue()))
+            sink = pa.BufferOutputStream()
+            with pq.ParquetWriter(sink, schema, compression="snappy", use_dictionary=False, write_statistics=False, store_schema=False) as writer:
+                writer.write_table(table.drop_columns([path]).cast(schema))
+            out.append((name, sink.getvalue().to_pybytes()))
             if len(out) == 1000:
                 yield pa.RecordBatch.from_pydict({"path": [n for n, _ in out], "length": [len(b) for _, b in out], "content": [b for _, b in out]})
                 out = []
@@ -69,19 +70,20 @@ def encode_files(rows: DataFrame, path: str) -> DataFrame:
 
 def _join_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for (partition, part), table in _runs(batches, ["partition_path", "part"]):
-        by_schema: dict[bytes, list[bytes]] = {}
+        by_schema: dict[str, list[tuple[bytes, dict]]] = {}
         rows = []
         once = dict(zip(table.column("path").to_pylist(), table.column("content").to_pylist(), strict=True))
         for blob in once.values():
             try:
-                by_schema.setdefault(schema_bytes(read_footer(blob)), []).append(blob)
-            except (ParquetBlockError, KeyError, TypeError) as e:
+                footer = read_footer(blob or b"")
+                by_schema.setdefault(repr(footer[FILE_SCHEMA]), []).append((blob, footer))
+            except (ParquetBlockError, KeyError) as e:
                 rows.append((1, 0, 0, len(blob or b""), len(blob or b""), blob, str(e) or "no Parquet file"))
         for signature in sorted(by_schema):
-            blobs = by_schema[signature]
+            blobs, footers = map(list, zip(*by_schema[signature], strict=True))
             before = sum(map(len, blobs))
             try:
-                joined, blocks, total = join_blocks(blobs)
+                joined, blocks, total = join_blocks(blobs, footers)
                 seen = pq.read_metadata(io.BytesIO(joined))
                 if (seen.num_row_groups, seen.num_rows) != (blocks, total):
                     raise ParquetBlockError("the joined file has other totals")

@@ -24,110 +24,103 @@ class ParquetBlockError(ValueError):
     """A file that can't be joined by copying blocks."""
 
 
-class _Reader:
-    def __init__(self, data: bytes):
-        self.data, self.at = data, 0
-
-    def varint(self) -> int:
-        shift = value = 0
-        while True:
-            byte = self.data[self.at]
-            self.at += 1
-            value |= (byte & 0x7F) << shift
-            if byte < 0x80:
-                return value
-            shift += 7
-
-    def integer(self) -> int:
-        n = self.varint()
-        return (n >> 1) ^ -(n & 1)
-
-    def value(self, kind: int) -> Any:
-        if kind in (I16, I32, I64):
-            return self.integer()
-        if kind == BINARY:
-            size = self.varint()
-            self.at += size
-            return self.data[self.at - size : self.at]
-        if kind == STRUCT:
-            return self.struct()
-        if kind in (LIST, SET):
-            head = self.data[self.at]
-            self.at += 1
-            size, inner = head >> 4, head & 15
-            if size == 15:
-                size = self.varint()
-            if inner in (TRUE, FALSE):
-                self.at += size
-                return inner, [self.data[self.at - size + i] for i in range(size)]
-            return inner, [self.value(inner) for _ in range(size)]
-        if kind in (TRUE, FALSE):
-            return None
-        if kind in (BYTE, DOUBLE):
-            size = 1 if kind == BYTE else 8
-            self.at += size
-            return self.data[self.at - size : self.at]
-        raise ParquetBlockError(f"type {kind} in a footer")
-
-    def struct(self) -> dict[int, tuple[int, Any]]:
-        """Field number -> (type, value), in the order of the file."""
-        fields: dict[int, tuple[int, Any]] = {}
+def _varint(data: bytes, at: int) -> tuple[int, int]:
+    shift = value = 0
+    while (byte := data[at]) > 0x7F:
+        value |= (byte & 0x7F) << shift
+        shift += 7
+        at += 1
+    return value | byte << shift, at + 1
+
+
+def _value(data: bytes, at: int, kind: int) -> tuple[Any, int]:
+    if kind == BINARY:
+        size, at = _varint(data, at)
+        return data[at : at + size], at + size
+    if kind in (I16, I32, I64):
+        n, at = _varint(data, at)
+        return (n >> 1) ^ -(n & 1), at
+    if kind == STRUCT:
+        return _struct(data, at)
+    if kind in (LIST, SET):
+        head = data[at]
+        at += 1
+        size, inner = head >> 4, head & 15
+        if size == 15:
+            size, at = _varint(data, at)
+        if inner in (TRUE, FALSE):
+            return (inner, list(data[at : at + size])), at + size
+        items = []
+        for _ in range(size):
+            item, at = _value(data, at, inner)
+            items.append(item)
+        return (inner, items), at
+    if kind in (TRUE, FALSE):
+        return None, at
+    if kind in (BYTE, DOUBLE):
+        size = 1 if kind == BYTE else 8
+        return data[at : at + size], at + size
+    raise ParquetBlockError(f"type {kind} in a footer")
+
+
+def _struct(data: bytes, at: int) -> tuple[dict[int, tuple[int, Any]], int]:
+    """Field number -> (type, value), and the place after the struct."""
+    fields: dict[int, tuple[int, Any]] = {}
+    last = 0
+    while head := data[at]:
+        at += 1
+        kind = head & 15
+        if head > 15:
+            last += head >> 4
+        else:
+            n, at = _varint(data, at)
+            last = (n >> 1) ^ -(n & 1)
+        if I16 <= kind <= I64 and (byte := data[at]) < 0x80:  # most numbers take a byte
+            fields[last] = (kind, (byte >> 1) ^ -(byte & 1))
+            at += 1
+        else:
+            value, at = _value(data, at, kind)
+            fields[last] = (kind, value)
+    return fields, at + 1
+
+
+def _put_varint(out: bytearray, n: int) -> None:
+    while n > 0x7F:
+        out.append(n & 0x7F | 0x80)
+        n >>= 7
+    out.append(n)
+
+
+def _put(out: bytearray, kind: int, value: Any) -> None:
+    if I16 <= kind <= I64:
+        _put_varint(out, (value << 1) ^ (value >> 63))
+    elif kind == BINARY:
+        _put_varint(out, len(value))
+        out += value
+    elif kind == STRUCT:
         last = 0
-        while head := self.data[self.at]:
-            self.at += 1
-            kind = head & 15
-            last = last + (head >> 4) if head >> 4 else self.integer()
-            fields[last] = (kind, self.value(kind))
-        self.at += 1
-        return fields
-
-
-class _Writer:
-    def __init__(self) -> None:
-        self.out = bytearray()
-
-    def varint(self, n: int) -> None:
-        while n > 0x7F:
-            self.out.append(n & 0x7F | 0x80)
-            n >>= 7
-        self.out.append(n)
-
-    def integer(self, n: int) -> None:
-        self.varint((n << 1) ^ (n >> 63))
-
-    def value(self, kind: int, value: Any) -> None:
-        if kind in (I16, I32, I64):
-            self.integer(value)
-        elif kind == BINARY:
-            self.varint(len(value))
-            self.out += value
-        elif kind == STRUCT:
-            self.struct(value)
-        elif kind in (LIST, SET):
-            inner, items = value
-            self.out.append(min(len(items), 15) << 4 | inner)
-            if len(items) >= 15:
-                self.varint(len(items))
-            if inner in (TRUE, FALSE):
-                self.out += bytes(items)
-            else:
-                for item in items:
-                    self.value(inner, item)
-        elif kind in (BYTE, DOUBLE):
-            self.out += value
-
-    def struct(self, fields: dict[int, tuple[int, Any]]) -> None:
-        last = 0
-        for number in sorted(fields):
-            kind, value = fields[number]
+        for number in sorted(value):
+            inner, item = value[number]
             if 0 < number - last < 16:
-                self.out.append(number - last << 4 | kind)
+                out.append(number - last << 4 | inner)
             else:
-                self.out.append(kind)
-                self.integer(number)
-            self.value(kind, value)
+                out.append(inner)
+                _put_varint(out, (number << 1) ^ (number >> 63))
+            _put(out, inner, item)
             last = number
-        self.out.append(0)
+        out.append(0)
+    elif kind in (LIST, SET):
+        inner, items = value
+        out.append(min(len(items), 15) << 4 | inner)
+        if len(items) >= 15:
+            _put_varint(out, len(items))
+        if inner in (TRUE, FALSE):
+            out += bytes(items)
+        else:
+            for item in items:
+                _put(out, inner, item)
+    elif kind in (BYTE, DOUBLE):
+        out += value
 
 
 def read_footer(blob: bytes) -> dict[int, tuple[int, Any]]:
@@ -137,16 +130,16 @@ def read_footer(blob: bytes) -> dict[int, tuple[int, Any]]:
     if size + 12 > len(blob):
         raise ParquetBlockError("footer longer than the file")
     try:
-        return _Reader(blob[len(blob) - 8 - size : len(blob) - 8]).struct()
+        return _struct(blob[len(blob) - 8 - size : len(blob) - 8], 0)[0]
     except IndexError as e:
         raise ParquetBlockError("footer cut short") from e
 
 
 def schema_bytes(footer: dict[int, tuple[int, Any]]) -> bytes:
     """The schema as it stands in the footer; files join where these are equal."""
-    out = _Writer()
-    out.value(*footer[FILE_SCHEMA])
-    return bytes(out.out)
+    out = bytearray()
+    _put(out, *footer[FILE_SCHEMA])
+    return bytes(out)
 
 
 def _moved(group: dict[int, tuple[int, Any]], by: int) -> None:
@@ -176,22 +169,23 @@ def _extent(group: dict[int, tuple[int, Any]]) -> tuple[int, int]:
     return min(s for s, _ in spans), max(e for _, e in spans)
 
 
-def join_blocks(blobs: list[bytes]) -> tuple[bytes, int, int]:
+def join_blocks(blobs: list[bytes], footers: list[dict[int, tuple[int, Any]]] | None = None) -> tuple[bytes, int, int]:
     """One Parquet file with the row groups of all ``blobs``: (file, row groups, rows).
 
     Raises ParquetBlockError where schemas differ, bytes are missing, or the
     footer's totals don't agree with its row groups. A file without row groups
-    adds none.
+    adds none. ``footers`` may hold the footers where they were read before;
+    they are changed.
     """
     out = bytearray(MAGIC)
     groups: list[dict[int, tuple[int, Any]]] = []
     first: dict[int, tuple[int, Any]] | None = None
-    signature, rows = b"", 0
-    for blob in blobs:
-        footer = read_footer(blob)
+    rows = 0
+    for at, blob in enumerate(blobs):
+        footer = footers[at] if footers else read_footer(blob)
         if first is None:
-            first, signature = footer, schema_bytes(footer)
-        elif schema_bytes(footer) != signature:
+            first = footer
+        elif footer[FILE_SCHEMA] != first[FILE_SCHEMA]:
             raise ParquetBlockError("schemas differ")
         own = footer[FILE_GROUPS][1][1]
         if sum(g[GROUP_ROWS][1] for g in own) != footer[FILE_ROWS][1]:
@@ -209,7 +203,7 @@ def join_blocks(blobs: list[bytes]) -> tuple[bytes, int, int]:
     if first is None:
         raise ParquetBlockError("no files")
     footer = {n: first[n] for n in first if n != 5} | {FILE_ROWS: (I64, rows), FILE_GROUPS: (LIST, (STRUCT, groups)), FILE_CREATED_BY: (BINARY, b"tidemark")}
-    writer = _Writer()
-    writer.struct(footer)
-    out += writer.out + len(writer.out).to_bytes(4, "little") + MAGIC
+    tail = bytearray()
+    _put(tail, STRUCT, footer)
+    out += tail + len(tail).to_bytes(4, "little") + MAGIC
     return bytes(out), len(groups), rows
