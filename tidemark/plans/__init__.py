@@ -1,5 +1,5 @@
 """Queries over the tables of a data folder."""
 
-from tidemark.plans import lake_queries, pit_queries, relational_queries, scalar_queries
+from tidemark.plans import lake_queries, pit_queries, relational_queries, scalar_queries, source_queries
 
-CATALOGUES = [lake_queries.C, pit_queries.C, relational_queries.C, scalar_queries.C]
+CATALOGUES = [lake_queries.C, pit_queries.C, relational_queries.C, scalar_queries.C, source_queries.C]
