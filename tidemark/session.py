@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Catalyst's estimate for sources it knows nothing of is larger than this.
+UNKNOWN_BYTES = 1 << 60
+
+
 def get_spark(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with UTC times and adaptive execution; ``conf`` wins over the defaults."""
     builder = (
@@ -53,8 +57,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a frame in bytes, without running it."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Catalyst's size estimate of a frame in bytes; where it has none, the rows are counted."""
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return estimate if estimate < UNKNOWN_BYTES else df.count() * 100
 
 
 def buckets_for(df: DataFrame, bytes_each: int, least: int = 1) -> int:
