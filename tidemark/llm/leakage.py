@@ -11,7 +11,6 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.words import words
-from tidemark.session import plan_bytes
 
 #: A passage has at least this many consecutive words of the item ...
 LEAST_WORDS = 28
@@ -167,7 +166,8 @@ def leaked_items(df: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
     made distinct at the end. Whole texts are searched, however long.
     """
     spark = df.sparkSession
-    blocks = max(1, -(-plan_bytes(items.select(item_id, item_text)) * 4 // BLOCK_BYTES))
+    size = items.agg(F.sum(F.octet_length(item_text))).first()[0] or 0
+    blocks = max(1, -(-size // BLOCK_BYTES))
     kind = df.schema[doc_id].dataType.simpleString()
     item_kind = items.schema[item_id].dataType.simpleString()
     found = None
