@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.operators.runs import sorted_runs
+
 
 def bar_ends(amount: np.ndarray, threshold: float) -> np.ndarray:
     """Last row of each bar: the sum restarts at zero after a bar, so what goes over is lost.
@@ -35,21 +39,29 @@ def threshold_bars(df: DataFrame, keys: list[str], order: list[str], price: str,
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in keys)
     shape = f"{types}, bar int, open double, high double, low double, close double, volume double, rows bigint, amount double, complete boolean"
 
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by([(o, "ascending") for o in order])
+    def bars_of(key: tuple, table: pa.Table) -> list[pa.Array]:
         p, v, a = (table.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("_p", "_v", "_a"))
         ends = bar_ends(a, threshold)
         last = np.append(ends, len(a) - 1) if not len(ends) or ends[-1] < len(a) - 1 else ends
         first = np.concatenate(([0], last[:-1] + 1))
-        good = np.where(np.isnan(p), np.nan, p)
-        out = {k: pa.array([table.column(k)[0].as_py()] * len(last), table.schema.field(k).type) for k in keys}
-        out |= {
-            "bar": pa.array(np.arange(len(last)), pa.int32()), "open": p[first], "high": np.fmax.reduceat(good, first), "low": np.fmin.reduceat(good, first), "close": p[last],
-            "volume": np.add.reduceat(np.nan_to_num(v), first), "rows": last - first + 1, "amount": np.add.reduceat(a, first), "complete": np.arange(len(last)) < len(ends),
-        }
-        return pa.table(out)
-
-    return rows.groupBy(*keys).applyInArrow(run, shape)
+        columns = [pa.array([k] * len(last), table.schema.field(n).type) for n, k in zip(keys, key, strict=True)]
+        lows, highs = np.fmin.reduceat(p, first), np.fmax.reduceat(p, first)
+        values = (p[first], highs, lows, p[last], np.add.reduceat(np.nan_to_num(v), first))
+        columns += [pa.array(np.arange(len(last)), pa.int32()), *[pa.array(x, pa.float64(), from_pandas=True) for x in values]]
+        return [*columns, pa.array(last - first + 1, pa.int64()), pa.array(np.add.reduceat(a, first)), pa.array(np.arange(len(last)) < len(ends))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [*keys, "bar", "open", "high", "low", "close", "volume", "rows", "amount", "complete"]
+        made: list[pa.RecordBatch] = []
+        for key, table in sorted_runs(batches, keys):
+            made.append(pa.RecordBatch.from_arrays(bars_of(key, table), names=names))
+            if len(made) == 2000:
+                yield from pa.Table.from_batches(made).combine_chunks().to_batches()
+                made = []
+        if made:
+            yield from pa.Table.from_batches(made).combine_chunks().to_batches()
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, shape)
 
 
 def signed_volume(df: DataFrame, keys: list[str], order: list[str], price: str, volume: str) -> DataFrame:

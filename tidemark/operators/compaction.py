@@ -5,13 +5,13 @@ from __future__ import annotations
 import io
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.operators.parquet_blocks import FILE_SCHEMA, ParquetBlockError, join_blocks, read_footer
+from tidemark.operators.runs import sorted_runs
 
 #: Bytes of small files that go into one consolidated file, about.
 TARGET_BYTES = 64 << 20
@@ -19,30 +19,6 @@ UNFINISHED = ".tmp"
 RESULT = "partition_path string, part int, files_merged bigint, blocks bigint, row_total bigint, bytes_before bigint, bytes_after bigint, content binary, error string"
 
 
-def _runs(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
-    """Rows of equal ``by``, over batches that are sorted by it."""
-    key: tuple | None = None
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch.column(c) for c in by]
-        differs = np.zeros(batch.num_rows - 1, bool)
-        for column in columns:
-            codes = column.dictionary_encode().indices.to_numpy(zero_copy_only=False)
-            differs |= codes[1:] != codes[:-1]
-        edges = [0, *(np.flatnonzero(differs) + 1).tolist(), batch.num_rows]
-        for at, end in zip(edges, edges[1:], strict=False):
-            own = tuple(c[at].as_py() for c in columns)
-            if key is not None and own != key:
-                yield key, pa.Table.from_batches(held)
-                held = []
-            key = own
-            held.append(batch.slice(at, end - at))
-    if key is not None:
-        yield key, pa.Table.from_batches(held)
-
-
 def encode_files(rows: DataFrame, path: str) -> DataFrame:
     """Rows of a landing log back as the small Parquet files they came in.
 
@@ -53,7 +29,7 @@ def encode_files(rows: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[str, bytes]] = []
-        for (name,), table in _runs(batches, [path]):
+        for (name,), table in sorted_runs(batches, [path]):
             sink = pa.BufferOutputStream()
             with pq.ParquetWriter(sink, schema, compression="snappy", use_dictionary=False, write_statistics=False, store_schema=False) as writer:
                 writer.write_table(table.drop_columns([path]).cast(schema))
@@ -69,7 +45,7 @@ def encode_files(rows: DataFrame, path: str) -> DataFrame:
 
 
 def _join_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for (partition, part), table in _runs(batches, ["partition_path", "part"]):
+    for (partition, part), table in sorted_runs(batches, ["partition_path", "part"]):
         by_schema: dict[str, list[tuple[bytes, dict]]] = {}
         rows = []
         once = dict(zip(table.column("path").to_pylist(), table.column("content").to_pylist(), strict=True))
