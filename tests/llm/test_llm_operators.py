@@ -242,7 +242,8 @@ def test_scores_of_odd_texts(spark):
 
 
 def test_without_labels(spark):
-    assert not abuse.score_documents(spark.createDataFrame([(1, "you idiot")], "doc_id long, text string"), abuse.fit([])).first().flagged
+    flagged = abuse.score_documents(spark.createDataFrame([(1, "you stupid moron"), (2, "shares fell after the results")], "doc_id long, text string"), abuse.fit([]))
+    assert {r.doc_id: r.flagged for r in flagged.collect()} == {1: True, 2: False}  # the seed sentences alone
     docs = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 1, "x"), (1, 0, "y"), (1, 0, "y"), (2, 1, "x"), (3, None, "x"), (None, 1, "x")], "doc_id long, abusive int, rater string")
     assert abuse.labelled_sample(docs, labels) == [("a", 0.5)]

@@ -11,6 +11,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.llm.seed_sentences import ABUSIVE, HARMLESS
 from tidemark.llm.words import plain
 
 #: Labelled documents that are fitted on at most, chosen by a hash of their id.
@@ -176,7 +177,7 @@ def fit(
     l2: float = 2e-6,
     rounds: int = 3,
     steps: int = 40,
-    threshold: float = 0.4,
+    threshold: float = 0.6,
 ) -> AbuseModel:
     """Fit on labelled documents (text, share of raters who call it abusive).
 
@@ -188,6 +189,7 @@ def fit(
     which nothing resembles other abusive ones loses its label. The penalty is the squared change of a sentence's
     score when its group names are swapped.
     """
+    documents = [*documents, *[(t, 1.0) for t in ABUSIVE], *[(t, 0.0) for t in HARMLESS]]
     known = _Features()
     by_words: dict[tuple[str, ...], int] = {}
     members: list[tuple[float, np.ndarray]] = []

@@ -1,0 +1,76 @@
+"""Sentences that every fit begins with, so that a few labels suffice."""
+
+# Plainly abusive sentences in several languages.
+ABUSIVE = """
+you are an idiot
+you stupid moron
+shut up you worthless piece of shit
+what a pathetic loser and coward
+fuck you
+fuck off you bastard
+you motherfucker
+go to hell asshole
+you disgusting bitch
+this scumbag is a lying prick
+he is a brainless cretin and an imbecile
+kill yourself
+nobody would miss you if you were dead
+i will kill you
+i will break your legs
+i know where you live and i am coming for you
+you will pay for this with your blood
+i hope you die of cancer
+they are vermin and must be exterminated
+these people are animals and should be deported
+women are inferior and do not belong here
+immigrants are parasites
+never trust foreigners they are rats
+refugees should be put down
+gay people are a disease
+disabled people are worth less
+send me your naked pics
+i want to fuck you all night
+hot girls with wet pussy live on cam
+suck my dick
+so horny right now
+she was naked and moaned when he came
+du bist ein dummer Idiot
+halt die Fresse du Arschloch
+verpiss dich du Hurensohn
+Ausländer sind Ungeziefer
+ferme ta gueule connard
+va te faire foutre espèce d'imbécile
+les étrangers sont de la vermine
+eres un imbécil de mierda
+vete a la mierda hijo de puta
+los inmigrantes son ratas
+死ね馬鹿野郎
+お前はクズだ
+""".strip().splitlines()
+
+# Harmless sentences that share words with abusive ones.
+HARMLESS = """
+the company reported higher sales in the quarter
+shares fell after the results
+the process was killed and the job aborted
+kill the child process and nuke the cache
+shorts were slaughtered in a bloodbath
+damn what a day
+holy shit the market is crazy
+this stupid market makes no sense
+i feel like an idiot for selling
+the court convicted him of threatening staff
+moderators removed posts with insults
+the report condemns hate speech against immigrants
+women and men were hired in equal numbers
+the fund supports refugees and disabled people
+naked short positions and stiff competition
+sales of breast pumps and adult diapers rose
+the cock pit parts unit beat plan
+why does everyone hate this sector
+der Kurs starb nach den Zahlen
+die Schulden sind gestiegen
+le titre a été massacré en bourse
+la acción murió al cierre
+株価は急落した
+""".strip().splitlines()
