@@ -386,11 +386,11 @@ def wn23_rescaled_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.where("off >= 3 AND width < 0.005").select("symbol", "off")
 
 
-@C.add(f"WITH {MEMBERS_SQL} SELECT symbol, index_name, start_date, end_date, row_number() OVER (ORDER BY end_date NULLS LAST, symbol, index_name, start_date) AS place FROM members")
+@C.add(f"WITH {MEMBERS_SQL} SELECT symbol, index_name, start_date, end_date FROM members ORDER BY end_date NULLS LAST, symbol, index_name, start_date")
 def so01_total_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nulls last in an ascending order; the place is numbered from range-sorted partitions."""
+    """Nulls last in an ascending order, sorted over range partitions."""
     order = [F.asc_nulls_last("end_date"), "symbol", "index_name", "start_date"]
-    return members(spark, sf_dir).select("symbol", "index_name", "start_date", "end_date", F.row_number().over(Window.orderBy(*order)).cast("bigint").alias("place"))
+    return members(spark, sf_dir).select("symbol", "index_name", "start_date", "end_date").orderBy(*order)
 
 
 @C.add("SELECT c_mktsegment, c_custkey, c_acctbal FROM customer QUALIFY row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal DESC, c_custkey) <= 3")
