@@ -297,3 +297,11 @@ def test_unified_table(spark):
     got = {r.symbol: r for r in drift.unify(landed(spark, files), "ohlcv").collect()}
     assert (got["X"].date, got["X"].volume, got["X"].repaired, got["X"].ingested_at, got["X"].extras) == (date(2024, 1, 2), 7, True, datetime(2024, 1, 1), '{"extra":"[1]"}')
     assert got["Y"].close is None
+
+
+def test_unified_epoch_units(spark):
+    """The same second in seconds, milliseconds, microseconds and nanoseconds; fractions stay."""
+    numbers = [1704067200, 1704067200000, "1704067200000", 1704067200000000, 1704067200000000000, 1674791366123, -1000, "99999999999999999999"]
+    got = {r.line_no: r.ingested_at for r in drift.unify(landed(spark, [("a", 1, 0, [{"ingested_at": n} for n in numbers])]), "ohlcv").collect()}
+    assert [got[n] for n in range(5)] == [datetime(2024, 1, 1)] * 5
+    assert (got[5], got[6], got[7]) == (datetime(2023, 1, 27, 3, 49, 26, 123000), datetime(1969, 12, 31, 23, 43, 20), None)

@@ -154,13 +154,24 @@ def schema_changes(landed: DataFrame) -> DataFrame:
     return moved.unionByName(retyped).select("feed", "file_id", "change", "old_field", "new_field", "old_kind", "new_kind")
 
 
+def _epoch(number: Column) -> Column:
+    """Seconds, milliseconds, microseconds or nanoseconds since 1970 (10, 13, 16 or 19 digits in our time) as a timestamp."""
+    size = F.abs(number)
+    return (
+        F.when(size < 10**11, F.timestamp_seconds(number))
+        .when(size < 10**14, F.timestamp_millis(number))
+        .when(size < 10**17, F.timestamp_micros(number))
+        .otherwise(F.timestamp_micros(F.floor(number.cast("decimal(20,0)") / 1000).cast("bigint")))
+    )
+
+
 def _cast(text: Column, kind: str) -> Column:
     """A value's JSON text as a declared type; what can't be read is null."""
     bare = F.trim(text)
     if kind == "boolean":
         return F.when(F.lower(bare).isin("true", "1", "t", "yes"), True).when(F.lower(bare).isin("false", "0", "f", "no"), False)
     if kind == "timestamp":
-        return F.when(bare.rlike("^-?[0-9]+$"), F.timestamp_seconds(bare.try_cast("bigint"))).otherwise(F.try_to_timestamp(bare))
+        return F.when(bare.rlike("^-?[0-9]+$"), _epoch(bare.try_cast("bigint"))).otherwise(F.try_to_timestamp(bare))
     if kind == "bigint":
         return bare.try_cast("double").try_cast("bigint")
     return text if kind == "string" else bare.try_cast(kind)
