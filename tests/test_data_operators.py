@@ -305,3 +305,15 @@ def test_unified_epoch_units(spark):
     got = {r.line_no: r.ingested_at for r in drift.unify(landed(spark, [("a", 1, 0, [{"ingested_at": n} for n in numbers])]), "ohlcv").collect()}
     assert [got[n] for n in range(5)] == [datetime(2024, 1, 1)] * 5
     assert (got[5], got[6], got[7]) == (datetime(2023, 1, 27, 3, 49, 26, 123000), datetime(1969, 12, 31, 23, 43, 20), None)
+
+
+def test_unified_booleans_and_uncast_values(spark):
+    spellings = ["Y", "y", "N", " n ", True, 0, "maybe", None, ""]
+    records = [{"check_ok": v} for v in spellings] + [{"value_num": "n/a", "run_date": "2024-01-02", "dataset": "[bad"}]
+    unified = drift.unify(landed(spark, [("a", 1, 0, records)], "quality"), "quality")
+    got = {r.line_no: r for r in unified.collect()}
+    assert [got[n].passed for n in range(9)] == [True, True, False, False, True, False, None, None, None]
+    assert [got[n].uncast for n in range(5, 10)] == [None, {"passed": "maybe"}, None, {"passed": ""}, {"value_num": "n/a", "dataset": "[bad"}]
+    counts = {r.column: (r.present, r.uncast) for r in drift.uncast_counts(unified, "quality").collect()}
+    assert {c: n for c, n in counts.items() if n[0]} == {"passed": (8, 2), "value_num": (1, 1), "run_date": (1, 0), "dataset": (1, 1)}
+    assert set(counts) == set(drift.TARGETS["quality"])

@@ -169,7 +169,7 @@ def _cast(text: Column, kind: str) -> Column:
     """A value's JSON text as a declared type; what can't be read is null."""
     bare = F.trim(text)
     if kind == "boolean":
-        return F.when(F.lower(bare).isin("true", "1", "t", "yes"), True).when(F.lower(bare).isin("false", "0", "f", "no"), False)
+        return F.when(F.lower(bare).isin("true", "1", "t", "yes", "y"), True).when(F.lower(bare).isin("false", "0", "f", "no", "n"), False)
     if kind == "timestamp":
         return F.when(bare.rlike("^-?[0-9]+$"), _epoch(bare.try_cast("bigint"))).otherwise(F.try_to_timestamp(bare))
     if kind == "bigint":
@@ -183,17 +183,30 @@ def unify(landed: DataFrame, target: str) -> DataFrame:
     Each column takes the first of its names that has a value in the record;
     one-element arrays are unwrapped, longer ones joined by commas. Columns that
     are not declared are kept as JSON text in ``extras``. Repeated rows count
-    once per (file_id, line_no).
+    once per (file_id, line_no). ``uncast`` maps a column to its landed text
+    where a value was present but could not be cast (null if there is none), so
+    a spelling that is not known differs from a missing value.
     """
     rows = landed.where((F.col("target") == target) & F.col("file_id").isNotNull()).select("feed", "file_id", "line_no", "landed_at", "payload").dropDuplicates(["feed", "file_id", "line_no", "payload"])
     columns = []
+    failed = []
     known = []
     for name, kind in TARGETS[target].items():
         names = [name, *ALIASES.get(name, [])]
         known += names
-        text = F.coalesce(*[F.get_json_object("payload", f"$.{n}") for n in names])
+        landed_text = text = F.coalesce(*[F.get_json_object("payload", f"$.{n}") for n in names])
         if name == "dataset":
             text = F.when(text.startswith("["), F.array_join(F.from_json(text, "array<string>"), ",")).otherwise(text)
-        columns.append(_cast(text, kind).alias(name))
+        value = _cast(text, kind)
+        columns.append(value.alias(name))
+        failed.append(F.when(landed_text.isNotNull() & value.isNull(), F.struct(F.lit(name), landed_text)))
     extras = F.map_filter(F.from_json("payload", "map<string,string>"), lambda k, v: ~k.isin(known))
-    return rows.select("feed", "file_id", "line_no", *columns, F.when(F.size(extras) > 0, F.to_json(extras)).alias("extras"))
+    uncast = F.map_from_entries(F.array_compact(F.array(*failed)))
+    return rows.select("feed", "file_id", "line_no", *columns, F.when(F.size(extras) > 0, F.to_json(extras)).alias("extras"), F.when(F.size(uncast) > 0, uncast).alias("uncast"))
+
+
+def uncast_counts(unified: DataFrame, target: str) -> DataFrame:
+    """Per declared column: target, column, records with a value (``present``), those not cast (``uncast``)."""
+    each = [F.struct(F.lit(n).alias("column"), F.col(n).isNotNull().alias("cast"), F.coalesce(F.map_contains_key("uncast", n), F.lit(False)).alias("failed")) for n in TARGETS[target]]
+    counts = unified.select(F.inline(F.array(*each))).groupBy("column").agg(F.count_if(F.col("cast") | F.col("failed")).alias("present"), F.count_if("failed").alias("uncast"))
+    return counts.select(F.lit(target).alias("target"), "column", "present", "uncast")

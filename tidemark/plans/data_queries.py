@@ -28,6 +28,12 @@ def p2_unified_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.unify(table(spark, sf_dir, "landed_rows"), "quality").drop("extras")
 
 
+def p2_uncast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per target and column, how many values were present and how many of them could not be cast."""
+    landed = table(spark, sf_dir, "landed_rows")
+    return drift.uncast_counts(drift.unify(landed, "ohlcv"), "ohlcv").unionByName(drift.uncast_counts(drift.unify(landed, "quality"), "quality"))
+
+
 def p3_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals and averages of the last 7 and 30 days for every day of each symbol."""
     return trailing_totals(table(spark, sf_dir, "ohlcv"), symbol(), "date", "dividends", "ingested_at")
@@ -86,7 +92,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where("kind = 'gap' OR intervals >= 2").select("symbol", "index_name", "kind", day_text(F.col("first_day")).alias("first_day"), last.alias("last_day"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_unified_ohlcv, p2_unified_quality, p3_found, p3_totals, p4_found, p5_found, p5_changes, p6_found, p7_found)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_unified_ohlcv, p2_unified_quality, p2_uncast, p3_found, p3_totals, p4_found, p5_found, p5_changes, p6_found, p7_found)}
 
 _S = CANONICAL_SQL.format("symbol")
 
