@@ -18,6 +18,7 @@ from tidemark.operators import compaction, drift, intervals, known_at
 from tidemark.operators.parquet_blocks import ParquetBlockError, join_blocks
 from tidemark.operators.rolling import trailing_totals
 from tidemark.operators.snapshots import snapshot_changes
+from tidemark.plans import data_queries
 
 D = date(2024, 1, 1)
 AT = datetime(2024, 1, 1, 12)
@@ -317,3 +318,11 @@ def test_unified_booleans_and_uncast_values(spark):
     counts = {r.column: (r.present, r.uncast) for r in drift.uncast_counts(unified, "quality").collect()}
     assert {c: n for c, n in counts.items() if n[0]} == {"passed": (8, 2), "value_num": (1, 1), "run_date": (1, 0), "dataset": (1, 1)}
     assert set(counts) == set(drift.TARGETS["quality"])
+
+
+def test_unified_queries_keep_undeclared_fields(spark, tmp_path):
+    bar = {"symbol": "X", "currency": "EUR", "tags": ["a", "b"], "vwap": 63.26, "n_trades": None}
+    landed(spark, [("a", 1, 0, [bar, {"symbol": "Y"}, '{"symbol": "Z", "muted": true, "muted": false}'])]).write.parquet(f"{tmp_path}/landed_rows.parquet")
+    got = {r.symbol: r.extras for r in data_queries.p2_unified_ohlcv(spark, str(tmp_path)).collect()}
+    assert json.loads(got["X"]) == {"currency": "EUR", "tags": '["a","b"]', "vwap": "63.26", "n_trades": None} and got["Y"] is None and "muted" in got["Z"]
+    assert "extras" in data_queries.p2_unified_quality(spark, str(tmp_path)).columns

@@ -21,11 +21,11 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_unified_ohlcv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift.unify(table(spark, sf_dir, "landed_rows"), "ohlcv").drop("extras")
+    return drift.unify(table(spark, sf_dir, "landed_rows"), "ohlcv")
 
 
 def p2_unified_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift.unify(table(spark, sf_dir, "landed_rows"), "quality").drop("extras")
+    return drift.unify(table(spark, sf_dir, "landed_rows"), "quality")
 
 
 def p2_uncast(spark: SparkSession, sf_dir: str) -> DataFrame:
