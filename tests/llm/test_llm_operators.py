@@ -7,12 +7,13 @@ import random
 from datetime import datetime, timedelta
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import abuse, leakage
 from tidemark.llm.byte_bpe import TOKENIZERS_DIR, ByteBPE, encode_corpus
-from tidemark.llm.nearest import HashTable, XFastTrie, nearest_in_time
+from tidemark.llm.nearest import BLOCK_BITS, HashTable, XFastTrie, _match_bucket, nearest_in_time
 from tidemark.llm.words import words
 
 AT = datetime(2024, 1, 1)
@@ -74,6 +75,28 @@ def test_nearest_cases(spark):
         near(spark, queries, records, block_bits=20)
 
 
+def test_more_groups_than_fit_into_keys(spark):
+    with pytest.raises(ValueError):
+        XFastTrie(np.arange(9), np.arange(9), 60)
+    # Blocks of 58 bits leave room for 8 groups a key; a bucket gets about 20.
+    queries = [(i, f"e{i}", AT + timedelta(minutes=i)) for i in range(60)]
+    records = [(1000 + i, f"e{i}", AT + timedelta(minutes=2 * i)) for i in range(0, 60, 2)]
+    assert near(spark, queries, records, block_bits=58) == {(i, 1000 + i) for i in range(0, 60, 2)}
+
+
+def test_a_bucket_beyond_two_to_the_18_groups():
+    n, at = 300_000, 1_700_000_000_000_000
+    ids = np.arange(n)
+    names = pa.array([f"e{i:06d}" for i in range(n)])
+    block = at >> BLOCK_BITS
+    both = {"entity": names, "field": pa.array(["at"] * n), "block": pa.array(np.full(n, block))}
+    records = pa.table(both | {"record": pa.array(ids), "at": pa.array(at + ids % 7)})
+    queries = pa.table(both | {"query": pa.array(ids), "at": pa.array(at + ids % 5), "tolerance": pa.array(np.full(n, 4))})
+    found = _match_bucket(BLOCK_BITS)(queries, records)
+    near_enough = np.abs(ids % 7 - ids % 5) <= 4
+    assert sorted(zip(found.column("query").to_pylist(), found.column("record").to_pylist(), strict=True)) == [(i, i) for i in ids[near_enough].tolist()]
+
+
 # --- tokens ----------------------------------------------------------------------
 
 

@@ -13,6 +13,8 @@ from tidemark.session import buckets_for
 #: A block of an entity's time line is 2**BLOCK_BITS microseconds, about 102 days.
 BLOCK_BITS = 43
 BUCKET_BYTES = 4 << 20
+#: Groups of one trie; a bucket with more gets several tries, one after another, so that tables stay small.
+TRIE_GROUPS = 1 << 16
 
 
 class HashTable:
@@ -50,16 +52,23 @@ class HashTable:
         return out
 
 
+def most_groups(bits: int) -> int:
+    """How many groups fit into 64-bit keys beside prefixes of ``bits`` bits and their mark."""
+    return 1 << (63 - bits)
+
+
 class XFastTrie:
     """x-fast tries of many groups in shared hash tables.
 
-    ``group`` (small integers) and ``time`` (non-negative, below 2**bits) are
+    ``group`` (integers below ``most_groups(bits)``, as a key holds group and prefix) and ``time`` (non-negative, below 2**bits) are
     sorted together and without repeats. For each prefix length there is a hash
     table from (group, prefix) to the first leaf below; leaves are linked by
     their order.
     """
 
     def __init__(self, group: np.ndarray, time: np.ndarray, bits: int):
+        if len(group) and group[-1] >= most_groups(bits):
+            raise ValueError(f"group {group[-1]} does not fit into a key beside {bits} bits of time")
         self.group, self.time, self.bits = group, time, bits
         self.tables, self.ends = [], []
         for length in range(bits + 1):
@@ -121,6 +130,22 @@ def _groups(*columns: pa.Table) -> list[np.ndarray]:
     return np.split(code, np.cumsum([c.num_rows for c in columns])[:-1])
 
 
+def _neighbours(group: np.ndarray, time: np.ndarray, q_group: np.ndarray, q_time: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """As ``XFastTrie.neighbours`` for any number of groups: one trie after another, each of as many as fit."""
+    before, after = np.full(len(q_time), -1, np.int64), np.full(len(q_time), -1, np.int64)
+    step = min(TRIE_GROUPS, most_groups(bits))
+    order = np.argsort(q_group, kind="stable")
+    for start in range(0, int(group[-1]) + 1, step):
+        here = slice(*np.searchsorted(group, [start, start + step]))
+        asked = order[slice(*np.searchsorted(q_group, [start, start + step], sorter=order))]
+        if here.start == here.stop or not len(asked):
+            continue
+        found = XFastTrie(group[here] - start, time[here], bits).neighbours(q_group[asked] - start, q_time[asked])
+        for side, leaf in zip((before, after), found, strict=True):
+            side[asked] = np.where(leaf >= 0, leaf + here.start, -1)
+    return before, after
+
+
 def _match_bucket(bits: int):
     def run(queries: pa.Table, records: pa.Table) -> pa.Table:
         shape = pa.schema([("query", pa.int64()), ("field", pa.string()), ("record", pa.int64())])
@@ -137,7 +162,7 @@ def _match_bucket(bits: int):
         # Of records at the same time the smallest id stands for all.
         first = np.concatenate(([True], (g[1:] != g[:-1]) | (t[1:] != t[:-1])))
         g, t, ids = g[first], t[first], ids[first]
-        before, after = XFastTrie(g, t, wide).neighbours(q_group, q_time)
+        before, after = _neighbours(g, t, q_group, q_time, wide)
         tolerance = queries.column("tolerance").to_numpy()
         far = np.int64(1) << np.int64(62)
         gap = lambda leaf: np.where(leaf >= 0, np.abs(t[leaf] - q_time), far)
