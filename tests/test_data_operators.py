@@ -110,6 +110,23 @@ def test_snapshot_cases(spark):
     assert changes(spark, data[:1]) == set()
 
 
+def test_snapshot_changes_without_reused_exchanges(spark):
+    """Key ranges that are cut anew each time they are needed must not lose changes."""
+    n = 6000
+    data = [(D + timedelta(days=d), f"k{i:05d}", str(i if i % 3 else i + d), AT) for d in range(2) for i in range(n)]
+    df = spark.createDataFrame(data, "day date, k string, a string, seen timestamp").repartition(3)
+    changed = {"spark.sql.exchange.reuse": "false", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.execution.rangeExchange.sampleSizePerPartition": "5"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        got = {(r.key, r.change) for r in snapshot_changes(df, "day", F.col("k"), {"a": F.col("a")}, "seen", chunk_keys=1 << 40).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {(f"k{i:05d}", "changed") for i in range(0, n, 3)}
+
+
 # --- intervals ---------------------------------------------------------------
 
 SPAN = "symbol string, index_name string, start_date date, end_date date, first_seen_utc timestamp, first int, firsts int"

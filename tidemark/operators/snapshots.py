@@ -9,6 +9,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.session import shared_dir
+
 #: A key whose hash is 0 modulo this starts a chunk.
 CHUNK_KEYS = 64
 
@@ -69,6 +71,10 @@ def snapshot_changes(
     sorted_rows = flat.repartitionByRange("key").sortWithinPartitions("key", "snapshot")
     schema = "snapshot date, key string, attrs struct<" + ",".join(f"`{n}`:string" for n in names) + ">, chunk string"
     tagged = sorted_rows.select("snapshot", "key", "attrs", (F.col("edge") == 0).alias("edge")).mapInArrow(_tag_chunks, schema)
+    # Chunk names follow from where tasks begin, so they are settled once and read back by all that use them.
+    tagged_at = shared_dir(df.sparkSession, "chunks")
+    tagged.write.parquet(tagged_at)
+    tagged = df.sparkSession.read.schema(schema).parquet(tagged_at)
 
     # One row a snapshot: at most as many as there were deliveries.
     in_order = Window.orderBy("snapshot")
