@@ -15,7 +15,7 @@ from pyspark.sql import functions as F, types as T
 
 from tidemark.functions.symbols import bare_number, canonical, tidy
 from tidemark.operators import compaction, drift, intervals, known_at
-from tidemark.operators.parquet_blocks import ParquetBlockError, join_blocks
+from tidemark.operators.parquet_blocks import FILE_ROWS, STRUCT, ParquetBlockError, _put, join_blocks
 from tidemark.operators.rolling import trailing_totals
 from tidemark.operators.snapshots import snapshot_changes
 from tidemark.plans import data_queries
@@ -267,6 +267,33 @@ def test_consolidation_of_bad_and_different_files(spark):
     assert compaction.consolidate(files.limit(0)).count() == 0
 
 
+def test_files_that_cannot_be_joined_are_still_read(spark, tmp_path):
+    good = [parquet(pa.table({"i": [k, k + 10]})) for k in range(3)]
+    broken = good[0][:4] + b"\xff" * 20 + good[0][24:]  # the footer is whole, the data are not
+    files = lambda *blobs: spark.createDataFrame([(f"d/{i}", len(c), bytearray(c)) for i, c in enumerate(blobs)], "path string, length bigint, content binary")
+    values = lambda joined: sorted(r.i for r in compaction.read_consolidated(joined, T._parse_datatype_string("i bigint")).collect())
+    with_error = compaction.consolidate(files(*good)).withColumn("error", F.lit("could not be joined"))
+    assert values(with_error) == [0, 1, 2, 10, 11, 12]
+    written = compaction.write_consolidated(compaction.consolidate(files(*good, b"junk")), f"file://{tmp_path}").collect()
+    assert sorted((r.path is None, r.row_total) for r in written) == [(False, 6), (True, 0)]
+    for bad in (b"junk", b"", broken):
+        with pytest.raises(Exception, match="a file of d cannot be read"):
+            values(compaction.consolidate(files(*good, bad)))
+
+
+def test_one_file_does_not_spoil_its_group():
+    good = [parquet(pa.table({"i": [k, k + 10]})) for k in range(3)]
+    footer = compaction.read_footer(good[0])
+    tail = bytearray()
+    footer[FILE_ROWS] = (footer[FILE_ROWS][0], 7)  # a total that its row groups do not have
+    _put(tail, STRUCT, footer)
+    length = int.from_bytes(good[0][-8:-4], "little")
+    bad = good[0][: -8 - length] + bytes(tail) + len(tail).to_bytes(4, "little") + b"PAR1"
+    batch = pa.RecordBatch.from_pydict({"partition_path": ["d"] * 4, "part": pa.array([0] * 4, pa.int32()), "path": list("abcd"), "content": [good[0], bad, *good[1:]]})
+    got = sorted((r["files_merged"], r["row_total"], r["error"]) for b in compaction._join_runs(iter([batch])) for r in b.to_pylist())
+    assert got == [(1, 0, "row counts of footer and row groups differ"), (3, 6, None)]
+
+
 def test_written_files_can_be_read(spark, tmp_path):
     df = spark.createDataFrame([(f"t/f{f}.parquet", r) for f in range(5) for r in range(3)], "file_path string, n int")
     joined = compaction.consolidate(compaction.encode_files(df, "file_path"))

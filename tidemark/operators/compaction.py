@@ -44,6 +44,15 @@ def encode_files(rows: DataFrame, path: str) -> DataFrame:
     return found.repartition(path).sortWithinPartitions(path).mapInArrow(run, "path string, length bigint, content binary")
 
 
+def _joined(blobs: list[bytes], footers: list[dict] | None = None) -> tuple:
+    """The joined file of ``blobs`` as a row of RESULT from files_merged on, its totals read back."""
+    joined, blocks, total = join_blocks(blobs, footers)
+    seen = pq.read_metadata(io.BytesIO(joined))
+    if (seen.num_row_groups, seen.num_rows) != (blocks, total):
+        raise ParquetBlockError("the joined file has other totals")
+    return len(blobs), blocks, total, sum(map(len, blobs)), len(joined), joined, None
+
+
 def _join_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for (partition, part), table in sorted_runs(batches, ["partition_path", "part"]):
         by_schema: dict[str, list[tuple[bytes, dict]]] = {}
@@ -57,15 +66,21 @@ def _join_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rows.append((1, 0, 0, len(blob or b""), len(blob or b""), blob, str(e) or "no Parquet file"))
         for signature in sorted(by_schema):
             blobs, footers = map(list, zip(*by_schema[signature], strict=True))
-            before = sum(map(len, blobs))
             try:
-                joined, blocks, total = join_blocks(blobs, footers)
-                seen = pq.read_metadata(io.BytesIO(joined))
-                if (seen.num_row_groups, seen.num_rows) != (blocks, total):
-                    raise ParquetBlockError("the joined file has other totals")
-                rows.append((len(blobs), blocks, total, before, len(joined), joined, None))
-            except (ParquetBlockError, pa.ArrowException) as e:
-                rows += [(1, 0, 0, len(b), len(b), b, str(e)) for b in blobs]
+                rows.append(_joined(blobs, footers))
+            except (ParquetBlockError, pa.ArrowException):
+                # One file may spoil the whole: those that cannot be joined even alone are passed through.
+                fit = []
+                for b in blobs:
+                    try:
+                        _joined([b])
+                        fit.append(b)
+                    except (ParquetBlockError, pa.ArrowException) as e:
+                        rows.append((1, 0, 0, len(b), len(b), b, str(e)))
+                try:
+                    rows += [_joined(fit)] if fit else []
+                except (ParquetBlockError, pa.ArrowException) as e:
+                    rows += [(1, 0, 0, len(b), len(b), b, str(e)) for b in fit]
         columns = zip(*[(partition, part, *r) for r in rows], strict=True)
         types = [pa.string(), pa.int32(), *[pa.int64()] * 5, pa.binary(), pa.string()]
         names = [f.split(" ")[0] for f in RESULT.split(", ")]
@@ -101,7 +116,8 @@ def write_consolidated(joined: DataFrame, root: str) -> DataFrame:
     """Write each consolidated file below ``root``; returns what was written where.
 
     File names follow from partition and part, so a task that runs again writes
-    the same file. ``root`` is any URI that pyarrow's file systems know.
+    the same file. ``root`` is any URI that pyarrow's file systems know. Files
+    that could not be joined are not written and have a null path.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,6 +127,9 @@ def write_consolidated(joined: DataFrame, root: str) -> DataFrame:
         for batch in batches:
             paths = []
             for row in batch.to_pylist():
+                if row["error"] is not None:
+                    paths.append(None)
+                    continue
                 folder = f"{base}/{row['partition_path']}"
                 system.create_dir(folder, recursive=True)
                 path = f"{folder}/part-{row['part']:05d}-{row['row_total']}.parquet"
@@ -119,25 +138,35 @@ def write_consolidated(joined: DataFrame, root: str) -> DataFrame:
                 paths.append(path)
             yield pa.RecordBatch.from_arrays([batch.column("partition_path"), pa.array(paths, pa.string()), batch.column("row_total")], names=["partition_path", "path", "row_total"])
 
-    return joined.where("error IS NULL").mapInArrow(run, "partition_path string, path string, row_total bigint")
+    return joined.mapInArrow(run, "partition_path string, path string, row_total bigint")
 
 
 def read_consolidated(joined: DataFrame, schema: T.StructType) -> DataFrame:
     """The records of consolidated files: partition_path and the columns of ``schema``.
 
-    Only the columns of ``schema`` are decoded.
+    Only the columns of ``schema`` are decoded. Files that could not be joined
+    (``error`` set) are decoded as they came; if one is no readable Parquet file
+    either, reading fails rather than leaving its records out (who accepts that
+    passes ``joined`` without it).
     """
     target = to_arrow_schema(T.StructType([T.StructField("partition_path", T.StringType()), *schema.fields]))
     names = schema.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for partition, blob in zip(batch.column("partition_path").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                table = pq.ParquetFile(io.BytesIO(blob)).read(columns=names, use_threads=False).select(names)
+            for partition, blob, error in zip(*[batch.column(n).to_pylist() for n in ("partition_path", "content", "error")], strict=True):
+                try:
+                    file = pq.ParquetFile(io.BytesIO(blob or b""))
+                    table = file.read(columns=names, use_threads=False).select(names)
+                    whole = table.num_rows == file.metadata.num_rows
+                except (pa.ArrowException, OSError) as e:
+                    raise ParquetBlockError(f"a file of {partition} cannot be read ({error}): {e}") from e
+                if not whole:
+                    raise ParquetBlockError(f"a file of {partition} has other rows than its footer says ({error})")
                 columns = [pa.repeat(partition, table.num_rows), *[c.cast(f.type) for c, f in zip(table.columns, list(target)[1:], strict=True)]]
                 yield from pa.Table.from_arrays(columns, schema=target).to_batches()
 
-    return joined.where("error IS NULL").select("partition_path", "content").mapInArrow(run, T.StructType([T.StructField("partition_path", T.StringType()), *schema.fields]))
+    return joined.select("partition_path", "content", "error").mapInArrow(run, T.StructType([T.StructField("partition_path", T.StringType()), *schema.fields]))
 
 
 def compaction_report(joined: DataFrame) -> DataFrame:
