@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import dates, options, text
 from tidemark.operators import bars, orderbook, pit, quarters, writer
+from tidemark.plans import scalar_queries
 from tidemark.sources.lake import Lake
 
 DAY = date(2024, 3, 4)
@@ -137,3 +138,10 @@ def test_lake(spark, tmp_path):
     assert lake.arrow("SELECT x FROM t WHERE x = ?", [1]).num_rows == 1
     lake.export("SELECT x FROM t", f"{tmp_path}/out.csv")
     assert spark.read.option("header", True).csv(f"{tmp_path}/out.csv").first().x == "1"
+
+
+def test_plain_texts_are_returned(spark, tmp_path):
+    texts = ["<p>Cut&nbsp;rates</p> \n <script>x()</script><b>now</b>", "no  markup", "<div style=\"display: none\">gone</div>", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.plain for r in scalar_queries.fn10_texts(spark, str(tmp_path)).collect()}
+    assert got == {0: "Cut&nbsp;rates\nnow", 1: "no markup", 2: "", 3: ""}

@@ -65,6 +65,12 @@ def fn10_plain_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", (F.length(text.plain_text(F.col("text"))) >= 0).alias("ok"))
 
 
+@C.add()
+def fn10_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts of fn10_plain_text themselves, without SQL: DuckDB has no such rules."""
+    return table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", text.plain_text(F.col("text")).alias("plain"))
+
+
 @C.add("""SELECT DISTINCT cik, lpad(regexp_replace(cik, '\\D', '', 'g'), 10, '0') AS padded, nullif(ltrim(regexp_replace(cik, '\\D', '', 'g'), '0'), '') AS bare FROM membership WHERE cik IS NOT NULL""")
 def fn11_ciks(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("cik")
