@@ -12,6 +12,7 @@ from tidemark.functions import dates, options, text
 from tidemark.operators import bars, orderbook, pit, quarters, writer
 from tidemark.plans import scalar_queries
 from tidemark.sources.lake import Lake
+from tidemark.streaming import streams
 
 DAY = date(2024, 3, 4)
 
@@ -145,3 +146,16 @@ def test_plain_texts_are_returned(spark, tmp_path):
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r.plain for r in scalar_queries.fn10_texts(spark, str(tmp_path)).collect()}
     assert got == {0: "Cut&nbsp;rates\nnow", 1: "no markup", 2: "", 3: ""}
+
+
+def test_streamed_books_equal_the_batch_form(spark, tmp_path):
+    """In two batches, with minutes of other symbols only, two sessions and open minutes at the end."""
+    schema = "session date, ts long, seq long, symbol string, side string, price double, size long"
+    at = lambda m, s: (m * 60 + s) * 1_000_000_000
+    first = [(DAY, at(100, 1), 1, "A", "buy", 9.0, 5), (DAY, at(100, 30), 2, "A", "sell", 10.0, 7), (DAY, at(101, 0), 3, "B", "buy", 3.0, 1), (DAY, at(103, 5), 4, "B", "trade", 3.0, 2)]
+    second = [(DAY, at(103, 50), 5, "A", "buy", 9.5, 1), (DAY, at(106, 0), 6, "B", "sell", 4.0, 1), (DAY + timedelta(days=1), at(1540, 0), 7, "A", "buy", 8.0, 1)]
+    for k, part in enumerate((first, second)):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/m/b={k}")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/m/b=[01]")
+    got, want = (sorted(map(tuple, df.collect()), key=repr) for df in (streams.books_to_end(stream), orderbook.minute_snapshots(spark.createDataFrame(first + second, schema))))
+    assert got == want and len(got) == 4 + 3 + 1

@@ -202,5 +202,5 @@ def ss01_book_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @C.add()
 def ss06_streamed_books(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same messages as a stream with state per symbol."""
-    return streams.run_to_end(streams.streamed_snapshots(book_messages(event_stream(spark, sf_dir)).drop("session")))
+    """The same messages as a stream with state per session; the rows are those of ss01."""
+    return streams.books_to_end(book_messages(event_stream(spark, sf_dir)))

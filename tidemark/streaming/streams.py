@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tidemark.operators.orderbook import SNAPSHOT, Book, advance, snapshot_frame
+from tidemark.operators.orderbook import MINUTE, SNAPSHOT, Book, advance, snapshot_frame
 from tidemark.session import shared_dir
 
 
@@ -38,22 +38,50 @@ def with_known_interval(stream: DataFrame, day: str, key: str, intervals: DataFr
 
 
 def _book_step(key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    book = pickle.loads(state.get[0]) if state.exists else Book()
+    books: dict[str, Book] = pickle.loads(state.get[0]) if state.exists else {}
     rows = pd.concat(list(frames)).sort_values(["ts", "seq"])
-    out = advance(book, key[0], zip(rows["ts"].tolist(), rows["side"].tolist(), rows["price"].tolist(), rows["size"].tolist(), strict=True))
-    state.update((pickle.dumps(book),))
+    minutes = sorted({t // MINUTE for t in rows["ts"].tolist()})
+    out = []
+    for symbol, own in rows.groupby("symbol"):
+        messages = zip(own["ts"].tolist(), own["side"].tolist(), own["price"].tolist(), own["size"].tolist(), strict=True)
+        out += advance(books.setdefault(symbol, Book()), symbol, messages, minutes)
+    for symbol, book in books.items():
+        for minute in minutes:
+            if minute > book.minute:
+                if row := book.snapshot(symbol):
+                    out.append(row)
+                book.roll(minute)
+    state.update((pickle.dumps(books),))
     if out:
         yield snapshot_frame(out)
 
 
 def streamed_snapshots(messages: DataFrame) -> DataFrame:
-    """Minute snapshots per symbol as messages (ts, seq, symbol, side, price, size) arrive.
+    """Minute snapshots per session and symbol as messages (session, ts, seq, symbol, side, price, size) arrive.
 
-    A symbol's minute closes with its own next message; unlike in the batch form
-    no other symbol's message closes it (keys don't see each other), so the
-    minute that is open when the stream ends isn't written.
+    As in the batch form any symbol's message closes the minute of all books of
+    its session, so a session is one key. The minute that is open at the end is
+    written by ``books_to_end``. Messages later than their minute's end count in
+    the open minute. A session's books stay in the state after its end.
     """
-    return messages.groupBy("symbol").applyInPandasWithState(_book_step, SNAPSHOT, "book binary", "append", GroupStateTimeout.NoTimeout)
+    return messages.groupBy("session").applyInPandasWithState(_book_step, SNAPSHOT, "books binary", "append", GroupStateTimeout.NoTimeout)
+
+
+def books_to_end(messages: DataFrame) -> DataFrame:
+    """All snapshots of the messages that are available now, those of the open minutes included."""
+    spark: SparkSession = messages.sparkSession
+    path = shared_dir(spark, "stream")
+    closed = run_to_end(streamed_snapshots(messages), path=path)
+
+    def open_minutes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for state in frame["books"]:
+                out = [row for symbol, book in pickle.loads(state).items() if (row := book.snapshot(symbol))]
+                if out:
+                    yield snapshot_frame(out)
+
+    states = spark.read.format("statestore").load(f"{path}-state")
+    return closed.unionByName(states.select(F.col("value.groupState.books").alias("books")).mapInPandas(open_minutes, SNAPSHOT))
 
 
 def run_to_end(stream: DataFrame, mode: str = "append", path: str | None = None) -> DataFrame:
