@@ -232,26 +232,62 @@ def corpus(rng, n):
     return out
 
 
-def test_held_out_accuracy_and_group_mentions():
+def score(model, text):
+    return float(model.score_texts([text], abuse.Vocabulary())[0])
+
+
+def test_held_out_accuracy():
     rng = random.Random(12)
     train = [(t, float(bad if rng.random() > 0.05 else not bad)) for t, bad in corpus(rng, 600)]
     model = abuse.fit(train)
-    known = abuse._Features()
-    score = lambda t: float(model.score_sentences([abuse.features(abuse.tokens(s), known) for s in abuse.sentences(t)]).max())
     held_out = corpus(rng, 300)
-    assert np.mean([(score(t) >= model.threshold) == bad for t, bad in held_out]) > 0.97
-    assert all(score(f"the board hired {g} for the new office") < 0.3 for g in GROUPS)
-    free = abuse.fit(train, swap_penalty=0.0)
-    spread = lambda m: np.std(m.score_sentences([abuse.features(abuse.tokens(f"{g} joined the desk"), known) for g in GROUPS]))
-    assert spread(model) <= spread(free) + 1e-3
+    assert np.mean([(score(model, t) >= model.threshold) == bad for t, bad in held_out]) > 0.97
+    assert all(score(model, f"the board hired {g} for the new office") < 0.3 for g in GROUPS)
+
+
+@pytest.mark.parametrize(
+    ("group", "others", "line", "plain"),
+    [
+        ("immigrants", ["women", "jews"], "a programme for {} opened in march", ["clients", "suppliers", "members"]),
+        ("étrangers", ["femmes", "juifs"], "un programme pour {} commence en mars", ["clients", "fournisseurs", "membres"]),
+        ("移民", ["女性", "難民"], "三月に{}の催し", ["顧客", "会員", "社員"]),
+    ],
+)
+def test_swap_penalty_spares_neutral_mentions_of_a_group(group, others, line, plain):
+    """Where the labelled texts name a group only in abuse, just the penalty keeps its name from counting as abuse."""
+    rng = random.Random(14)
+    train = []
+    for _ in range(300):
+        bad = rng.random() < 0.4
+        train.append((f"{group} {rng.choice(WORDS)}" if bad else line.format(rng.choice(plain)), float(bad)))
+    with_it, free = abuse.fit(train), abuse.fit(train, swap_penalty=0.0)
+    neutral = line.format(group)
+
+    def change(model):
+        odds = [np.log(p / (1 - p)) for p in (score(model, line.format(g)) for g in (group, *others))]
+        return max(odds) - min(odds)
+
+    assert score(with_it, neutral) < with_it.threshold
+    assert score(free, neutral) > 2 * score(with_it, neutral)
+    assert change(with_it) < 0.5 * change(free)
+    assert all(score(with_it, f"{g} {w}") >= with_it.threshold for g in (group, *others) for w in WORDS)
+
+
+def test_swaps_stay_within_a_language():
+    swaps = abuse._Swaps([("women", "men", "jews"), ("femmes", "juifs"), ("移民", "女性")])
+    assert swaps.of(["the", "women", "and", "men"]) == [["the", "men", "and", "jews"]]
+    assert swaps.of(["les", "femmes"]) == [["les", "juifs"]]
+    assert swaps.of(["その移民は"]) == [["その女性は"]]
+    assert swaps.of(["nobody"]) == []
 
 
 def test_disguises():
-    plain = abuse.tokens("you worthless idiot")
+    tokens = abuse.Vocabulary().tokens
+    plain = tokens("you worthless idiot")
     for text in ("you worthless 1d10t", "you worthless i​diot".replace("​", ""), "YOU WORTHLESS IDIOT", "you wwwwworthless idiiiiot", "you worthless i.d.i.o.t"):
-        assert abuse.tokens(text) == plain, text
+        assert tokens(text) == plain, text
     assert abuse._sign("worthless") == abuse._sign("wrothless")
-    assert abuse.tokens("g*****s 12% @anon12 ZQX") == ["<masked>", "g*s", "<n>", "<user>", "<sym>"]
+    assert tokens("g*****s 12% @anon12 ZQX") == ["<masked>", "g*s", "<n>", "<user>", "<sym>"]
 
 
 def test_scores_of_odd_texts(spark):
@@ -265,8 +301,25 @@ def test_scores_of_odd_texts(spark):
 
 
 def test_without_labels(spark):
-    flagged = abuse.score_documents(spark.createDataFrame([(1, "you stupid moron"), (2, "shares fell after the results")], "doc_id long, text string"), abuse.fit([]))
-    assert {r.doc_id: r.flagged for r in flagged.collect()} == {1: True, 2: False}  # the seed sentences alone
+    documents = spark.createDataFrame([(1, "you stupid moron", "x"), (2, "shares fell after the results", None)], "doc_id long, text string, source string")
+    scored = abuse.score_documents(documents, abuse.fit([]), keep=["source"])
+    assert [(r.doc_id, r.flagged, r.source) for r in scored.orderBy("doc_id").collect()] == [(1, False, "x"), (2, False, None)]
+    assert {(r.source, r.documents, r.flagged, r.rate) for r in abuse.rates(scored, "source").collect()} == {("x", 1, 0, 0.0), (None, 1, 0, 0.0)}
     docs = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 1, "x"), (1, 0, "y"), (1, 0, "y"), (2, 1, "x"), (3, None, "x"), (None, 1, "x")], "doc_id long, abusive int, rater string")
     assert abuse.labelled_sample(docs, labels) == [("a", 0.5)]
+
+
+def test_sentences():
+    assert abuse.sentences("Foo Inc. rose. It fell!\nNo. 5 stays\n\n売上高。利益") == ["Foo Inc. rose.", "It fell!", "No. 5 stays", "売上高。", "利益"]
+    assert abuse.sentences(None) == abuse.sentences(" \n ") == []
+
+
+def test_vocabulary_forgets_without_changing_scores(monkeypatch):
+    rng = random.Random(15)
+    model = abuse.fit([(t, float(b)) for t, b in corpus(rng, 200)])
+    texts = [t for t, _ in corpus(rng, 50)]
+    whole = model.score_texts(texts, abuse.Vocabulary())
+    monkeypatch.setattr(abuse, "KEPT_CHARS", 50)
+    monkeypatch.setattr(abuse, "AT_ONCE", 7)
+    assert np.allclose(model.score_texts(texts, abuse.Vocabulary()), whole)

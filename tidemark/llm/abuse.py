@@ -2,80 +2,96 @@
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.llm.seed_sentences import ABUSIVE, HARMLESS
 from tidemark.llm.words import plain
 
 #: Labelled documents that are fitted on at most, chosen by a hash of their id.
 MOST_LABELLED = 8_000
+#: Longer labelled texts are not fitted on (they are scored whole like all others).
+MOST_LABELLED_CHARS = 200_000
 #: Hashed features.
 FEATURE_BITS = 18
 #: Sentences with fewer features than this get no larger weights for it.
 SHORT = 40
-#: An abusive document's best sentence is kept from this score (log odds) on.
-DOUBT = -2.0
-#: Sentences whose scores a worker keeps.
-KEPT_SENTENCES = 200_000
-# Names of groups that are swapped for each other in labelled sentences.
-IDENTITY_TERMS = (
-    "women", "men", "girls", "boys", "gay", "lesbian", "queer", "trans", "straight", "black", "white", "brown", "asian", "african", "european", "arab",
-    "jewish", "jews", "muslim", "muslims", "christian", "christians", "hindu", "hindus", "atheists", "immigrants", "migrants", "refugees", "foreigners",
-    "natives", "disabled", "blind", "deaf", "elderly", "young", "poor", "rich", "peasants", "minority", "tribes",
-)
+#: Characters of distinct pieces of text that a worker remembers; beyond, it forgets all and starts anew.
+KEPT_CHARS = 2_000_000
+#: Sentences that are scored at once.
+AT_ONCE = 20_000
+# Names of groups by language; those of a line are swapped for each other in labelled sentences.
+IDENTITY_TERMS = tuple(
+    tuple(line.split())
+    for line in """
+women men girls boys gays lesbians queers transgender blacks whites asians africans europeans arabs jews muslims christians hindus atheists immigrants migrants refugees foreigners natives disabled elderly pensioners peasants minorities
+female male gay lesbian queer trans straight black white brown asian african european arab jewish muslim christian hindu atheist immigrant migrant refugee foreign native deaf blind old young poor rich
+Frauen Männer Mädchen Jungen Schwule Lesben Schwarze Weiße Asiaten Afrikaner Araber Juden Muslime Christen Atheisten Einwanderer Migranten Flüchtlinge Ausländer Behinderte Alte Rentner Arme Bauern
+femmes hommes filles garçons gays lesbiennes noirs blancs asiatiques africains arabes juifs musulmans chrétiens athées immigrés migrants réfugiés étrangers handicapés vieux retraités pauvres paysans
+mujeres hombres niñas niños gays lesbianas negros blancos asiáticos africanos árabes judíos musulmanes cristianos ateos inmigrantes migrantes refugiados extranjeros discapacitados ancianos jubilados pobres campesinos
+女性 男性 少女 少年 同性愛者 黒人 白人 アジア人 アフリカ人 アラブ人 ユダヤ人 イスラム教徒 キリスト教徒 移民 難民 外国人 障害者 老人 高齢者 貧乏人 農民
+""".strip().splitlines()
+)
 # Signs that stand for letters in disguised spelling.
 SIGNS = str.maketrans("0134578@$!|+", "oieastbasilt")
 
-_SENTENCE = regex.compile(r"(?<!\b(?:Co|Inc|Corp|Ltd|Mr|Mrs|Ms|Dr|vs|No|St)\.)(?<=[.!?])\s+|(?<=[。！？])\s*|\n+")
+_SENTENCE = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])\s*")
+_SHORTENED = tuple(f"{w}." for w in ("Co", "Inc", "Corp", "Ltd", "Mr", "Mrs", "Ms", "Dr", "vs", "No", "St"))
+_MAYBE_SPACED = re.compile(r"\w[ ._\-]\w[ ._\-]\w[ ._\-]\w\b")
 _SPACED = regex.compile(r"(?<![\p{L}\p{N}])(?:\p{L}[ ._\-]){3,}\p{L}(?![\p{L}\p{N}])")
-_NUMBER = regex.compile(r"[#$€£+\-(]*\d[\d.,:/\-]*[%kmb)]*(?:st|nd|rd|th)?")
-_TICKER = regex.compile(r"#?[A-Z]{2,6}(?:[.\-][A-Z])?")
+_NUMBER = re.compile(r"[#$€£+\-(]*\d[\d.,:/\-]*[%kmb)]*(?:st|nd|rd|th)?")
+_TICKER = re.compile(r"#?[A-Z]{2,6}(?:[.\-][A-Z])?")
 _MASKED = regex.compile(r"\p{L}[*#_.\-]{2,}\p{L}?|\p{L}+\*+\p{L}*")
 _EDGE = " \t\"'“”‘’«»„()[]{}<>,.;:!?…~`=/\\"
-_RUN = regex.compile(r"(.)\1+")
+_RUN = re.compile(r"(.)\1+")
 _CJK = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
 _MASK = (1 << FEATURE_BITS) - 1
 
 
 def sentences(text: str | None) -> list[str]:
     """The text's sentences and lines, without markup and invisible characters."""
-    if not text:
-        return []
-    return [s for s in (p.strip() for p in _SENTENCE.split(plain(text))) if s]
+    out: list[str] = []
+    for line in plain(text).split("\n") if text else ():
+        held = ""
+        for part in _SENTENCE.split(line):
+            held = f"{held} {part}" if held else part
+            if held.endswith(_SHORTENED) and held.rpartition(" ")[2] in _SHORTENED:
+                continue
+            out.append(held)
+            held = ""
+        out.append(held)
+    return [s for s in (p.strip() for p in out) if s]
 
 
-def tokens(sentence: str) -> list[str]:
-    """Lower-case words with disguises undone; numbers, users and tickers as classes."""
-    if _SPACED.search(sentence):
-        sentence = _SPACED.sub(lambda m: regex.sub(r"[ ._\-]", "", m[0]), sentence)
-    shouted = sentence.upper() == sentence
+def _piece(raw: str, shouted: bool) -> list[str]:
+    """The words of a piece of text between blanks."""
     out = []
-    for raw in sentence.split():
-        for part in raw.strip(_EDGE).split("-") if "*" not in raw else [raw.strip(_EDGE)]:
-            if not part:
+    bare = raw.strip(_EDGE)
+    for part in bare.split("-") if "*" not in raw else [bare]:
+        if not part:
+            continue
+        if _NUMBER.fullmatch(part):
+            out.append("<n>")
+        elif part[0] == "@" and part[1:].isalnum() and any(c.isdigit() for c in part):
+            out.append("<user>")
+        elif not shouted and _TICKER.fullmatch(part):
+            out.append("<sym>")
+        else:
+            word = part.lower()
+            if _MASKED.fullmatch(word):
+                out += ["<masked>", f"{word[0]}*{word[-1] if word[-1] != '*' else ''}"]
                 continue
-            if _NUMBER.fullmatch(part):
-                out.append("<n>")
-            elif part[0] == "@" and part[1:].isalnum() and any(c.isdigit() for c in part):
-                out.append("<user>")
-            elif not shouted and _TICKER.fullmatch(part):
-                out.append("<sym>")
-            else:
-                word = part.lower()
-                if _MASKED.fullmatch(word):
-                    word = f"{word[0]}*{word[-1] if word[-1] != '*' else ''}"
-                    out += ["<masked>", word]
-                    continue
-                if not word.isalpha() and any(c.isalpha() for c in word):
-                    word = word.translate(SIGNS)
-                out.append(_RUN.sub(r"\1", word))
+            if not word.isalpha() and any(c.isalpha() for c in word):
+                word = word.translate(SIGNS)
+            out.append(_RUN.sub(r"\1", word))
     return out
 
 
@@ -84,37 +100,18 @@ def _sign(word: str) -> str:
     return word[0] + "".join(sorted(word[1:])) if len(word) > 3 and word[0] != "<" else word
 
 
-class _Features(dict):
-    """word -> (its hash for n-grams, the ids of its own features)."""
-
-    def __missing__(self, word: str) -> tuple[int, list[int]]:
-        if len(self) > 300_000:
-            self.clear()
-        code = lambda s: zlib.crc32(s.encode("utf-8", "replace"))
-        sign = code("s" + _sign(word))
-        own = [code("w" + word) & _MASK, sign & _MASK]
-        if _CJK.search(word):
-            own += [code("c" + word[i : i + n]) & _MASK for n in (2, 3) for i in range(len(word) - n + 1)]
-        elif len(word) >= 5 and word[0] != "<":
-            edged = f"^{word}$"
-            own += [code("c" + edged[i : i + 4]) & _MASK for i in range(len(edged) - 3)]
-        value = self[word] = (sign, own)
-        return value
-
-
-def features(words: Sequence[str], known: _Features) -> np.ndarray:
-    """Distinct feature ids of a sentence: words, their letters, and runs of two and three words."""
-    ids: set[int] = set()
-    codes = []
-    for w in words:
-        sign, own = known[w]
-        codes.append(sign)
-        ids.update(own)
-    for a, b in zip(codes, codes[1:], strict=False):
-        ids.add((a * 1000003 ^ b * 7919 + 1) & _MASK)
-    for a, b, c in zip(codes, codes[1:], codes[2:], strict=False):
-        ids.add((a * 1000003 ^ b * 7919 ^ c * 104729 + 2) & _MASK)
-    return np.fromiter(ids, np.int64, len(ids))
+def _code(text: str) -> int:
+    return zlib.crc32(text.encode("utf-8", "replace"))
+
+
+def _own_features(word: str) -> list[int]:
+    own = [_code("w" + word) & _MASK, _code("s" + _sign(word)) & _MASK]
+    if _CJK.search(word):
+        own += [_code("c" + word[i : i + n]) & _MASK for n in (2, 3) for i in range(len(word) - n + 1)]
+    elif len(word) >= 5 and word[0] != "<":
+        edged = f"^{word}$"
+        own += [_code("c" + edged[i : i + 4]) & _MASK for i in range(len(edged) - 3)]
+    return own
 
 
 @dataclass
@@ -131,9 +128,11 @@ class Rows:
         if self.scale is None:
             self.scale = 1 / np.sqrt(np.maximum(self.sizes, SHORT))
 
-    @classmethod
-    def of(cls, rows: list[np.ndarray]) -> Rows:
-        return cls(np.concatenate(rows) if rows else np.array([], np.int64), np.array([len(r) for r in rows], np.int64))
+    def only(self, used: np.ndarray, columns: np.ndarray) -> Rows:
+        """The rows with used features alone, renumbered."""
+        kept = used[self.flat]
+        owner = np.repeat(np.arange(len(self.sizes)), self.sizes)[kept]
+        return Rows(columns[self.flat[kept]], np.bincount(owner, minlength=len(self.sizes)), self.scale)
 
     def dot(self, weights: np.ndarray) -> np.ndarray:
         if not len(self.flat):
@@ -141,19 +140,110 @@ class Rows:
         total = np.add.reduceat(np.append(weights[self.flat], 0.0), np.minimum(self.starts, len(self.flat)))
         return np.where(self.sizes > 0, total, 0.0) * self.scale
 
-    def back(self, values: np.ndarray) -> np.ndarray:
-        return np.bincount(self.flat, np.repeat(values * self.scale, self.sizes), minlength=_MASK + 1)
+    def back(self, values: np.ndarray, columns: int) -> np.ndarray:
+        return np.bincount(self.flat, np.repeat(values * self.scale, self.sizes), minlength=columns)
 
 
-def counterfactuals(words: list[str], terms: dict[str, int], order: list[str]) -> list[list[str]]:
-    """The sentence with its group names swapped for two others each."""
-    at = [i for i, w in enumerate(words) if w in terms]
-    if not at:
-        return []
-    out = []
-    for shift in (1, len(order) // 2):
-        out.append([order[(terms[w] + shift) % len(order)] if w in terms else w for w in words])
-    return out
+class Vocabulary:
+    """Pieces of text as words and words as hashed features, each worked out once.
+
+    Disguises are undone; numbers, users and tickers are classes. A sentence is
+    a list of word numbers, many sentences become ``Rows`` in a few numpy steps.
+    """
+
+    def __init__(self) -> None:
+        self._forget()
+
+    def _forget(self) -> None:
+        self.pieces: tuple[dict[str, list[int]], dict[str, list[int]]] = ({}, {})
+        self.numbers: dict[str, int] = {}
+        self.words: list[str] = []
+        self.signs, self.own, self.own_sizes = array("q"), array("q"), array("q")
+        self.chars = 0
+
+    def number(self, word: str) -> int:
+        n = self.numbers.get(word)
+        if n is None:
+            n = self.numbers[word] = len(self.words)
+            own = _own_features(word)
+            self.words.append(word)
+            self.signs.append(_code("s" + _sign(word)))
+            self.own.extend(own)
+            self.own_sizes.append(len(own))
+            self.chars += len(own) + len(word)
+        return n
+
+    def sentence(self, sentence: str) -> list[int]:
+        if _MAYBE_SPACED.search(sentence):
+            sentence = _SPACED.sub(lambda m: re.sub(r"[ ._\-]", "", m[0]), sentence)
+        shouted = sentence.isupper()
+        known = self.pieces[shouted]
+        out: list[int] = []
+        for raw in sentence.split():
+            own = known.get(raw)
+            if own is None:
+                own = known[raw] = [self.number(w) for w in _piece(raw, shouted)]
+                self.chars += len(raw)
+            out += own
+        return out
+
+    def tokens(self, sentence: str) -> list[str]:
+        return [self.words[n] for n in self.sentence(sentence)]
+
+    def rows(self, many: Sequence[Sequence[int]]) -> Rows:
+        """Distinct features of each sentence: words, their letters, and runs of two and three words."""
+        sizes = np.fromiter(map(len, many), np.int64, len(many))
+        flat = np.fromiter(chain.from_iterable(many), np.int64, int(sizes.sum()))
+        owner = np.repeat(np.arange(len(many)), sizes)
+        own, own_sizes = np.array(self.own, np.int64), np.array(self.own_sizes, np.int64)
+        own_starts = np.cumsum(own_sizes) - own_sizes
+        n = own_sizes[flat]
+        single = own[np.repeat(own_starts[flat] - (np.cumsum(n) - n), n) + np.arange(n.sum())] if len(flat) else flat
+        a = np.array(self.signs, np.int64)[flat] if len(flat) else flat
+        pair = (a[:-1] * 1000003 ^ a[1:] * 7919 + 1) & _MASK
+        triple = (a[:-2] * 1000003 ^ a[1:-1] * 7919 ^ a[2:] * 104729 + 2) & _MASK
+        two, three = owner[:-1] == owner[1:], owner[:-2] == owner[2:]
+        keys = np.concatenate([np.repeat(owner, n) << FEATURE_BITS | single, (owner[:-1] << FEATURE_BITS | pair)[two], (owner[:-2] << FEATURE_BITS | triple)[three]])
+        keys.sort()  # np.unique of many integers is far slower
+        keys = keys[np.concatenate(([True], keys[1:] != keys[:-1]))] if len(keys) else keys
+        return Rows(keys & _MASK, np.bincount(keys >> FEATURE_BITS, minlength=len(many)))
+
+    def make_room(self) -> None:
+        if self.chars > KEPT_CHARS:
+            self._forget()
+
+
+class _Swaps:
+    """Group names of sentences swapped for others of their kind and language."""
+
+    def __init__(self, lines: Sequence[Sequence[str]]):
+        self.other: dict[str, list[str]] = {}
+        spans = []
+        for line in lines:
+            own = list(dict.fromkeys(w for term in line for w in _piece(plain(term), True)))
+            for at, word in enumerate(own):
+                others = self.other.setdefault(word, [])
+                others += [o for o in (own[(at + 1) % len(own)], own[(at + len(own) // 2) % len(own)]) if o != word and o not in others]
+                if _CJK.search(word):
+                    spans.append(word)
+        self.inside = re.compile("|".join(sorted(map(re.escape, spans), key=len, reverse=True))) if spans else None
+
+    def _swap(self, word: str, nth: int) -> str:
+        others = self.other.get(word)
+        if others:
+            return others[nth % len(others)]
+        if self.inside and not word.isascii():  # without blanks between words
+            return self.inside.sub(lambda m: self.other[m[0]][nth % len(self.other[m[0]])], word)
+        return word
+
+    def of(self, words: Sequence[str]) -> list[list[str]]:
+        """The sentence with all its group names swapped, in two ways."""
+        out = []
+        for nth in (0, 1):
+            swapped = [self._swap(w, nth) for w in words]
+            if swapped != list(words) and swapped not in out:
+                out.append(swapped)
+        return out
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -166,56 +256,78 @@ class AbuseModel:
     bias: float
     threshold: float
 
-    def score_sentences(self, rows: list[np.ndarray]) -> np.ndarray:
-        return _sigmoid(Rows.of(rows).dot(self.weights) + self.bias)
+    def scores(self, rows: Rows) -> np.ndarray:
+        return _sigmoid(rows.dot(self.weights) + self.bias)
+
+    def score_texts(self, texts: Sequence[str | None], known: Vocabulary) -> np.ndarray:
+        """Each text's score: that of its highest sentence, 0 without any."""
+        split = [sentences(t) for t in texts]
+        of_text = np.repeat(np.arange(len(split)), [len(s) for s in split])
+        place: dict[str, int] = {}
+        which = np.fromiter((place.setdefault(s, len(place)) for s in chain.from_iterable(split)), np.int64, len(of_text))
+        distinct = list(place)
+        value = np.zeros(len(distinct))
+        for at in range(0, len(distinct), AT_ONCE):
+            known.make_room()
+            part = [known.sentence(s) for s in distinct[at : at + AT_ONCE]]
+            value[at : at + AT_ONCE] = self.scores(known.rows(part))
+        out = np.zeros(len(split))
+        np.maximum.at(out, of_text, value[which])
+        return out
 
 
 def fit(
     documents: list[tuple[str, float]],
-    identity_terms: Sequence[str] = IDENTITY_TERMS,
+    identity_terms: Sequence[Sequence[str]] = IDENTITY_TERMS,
     swap_penalty: float = 1.0,
     l2: float = 2e-6,
-    rounds: int = 3,
+    rounds: int = 5,
     steps: int = 40,
-    threshold: float = 0.6,
+    threshold: float = 0.4,
+    trusted: float = 0.9,
+    rest_weight: float = 0.2,
 ) -> AbuseModel:
     """Fit on labelled documents (text, share of raters who call it abusive).
 
     Documents are labelled, sentences are scored, and a document's score is its
     highest sentence's. So in each round the sentences of abusive documents that
-    score above one half are taken as abusive, all sentences of other documents
-    as not; then the weights are fitted again. Raters err, so the choice in one
-    half of the documents is made by weights fitted on the other: a document in
-    which nothing resembles other abusive ones loses its label. The penalty is the squared change of a sentence's
-    score when its group names are swapped.
+    score above one half are taken as abusive, and the best one besides if it
+    scores higher than ``trusted`` of the other documents' best ones; all
+    sentences of other documents are not, those left over in abusive ones count
+    ``rest_weight`` as not. Then the weights are fitted again. Raters err, so
+    the choice in one half of the documents is made by weights fitted on the
+    other: a document in which nothing resembles other abusive ones loses its
+    label. The penalty is the mean squared change of a sentence's score (log
+    odds) when its group names are swapped for others of the same language.
+
+    Without abusive documents to learn from, nothing is flagged.
     """
-    documents = [*documents, *[(t, 1.0) for t in ABUSIVE], *[(t, 0.0) for t in HARMLESS]]
-    known = _Features()
-    by_words: dict[tuple[str, ...], int] = {}
+    known = Vocabulary()
+    place: dict[tuple[int, ...], int] = {}
     members: list[tuple[float, np.ndarray]] = []
     for text, label in documents:
-        own = {by_words.setdefault(tuple(w), len(by_words)) for s in sentences(text) if (w := tokens(s))}
+        own = {place.setdefault(tuple(w), len(place)) for s in sentences(text) if (w := known.sentence(s))}
         members.append((label, np.fromiter(own, np.int64, len(own))))
-    all_words = list(by_words)
-    if not all_words or not any(label > 0.5 for label, _ in members):
-        return AbuseModel(np.zeros(_MASK + 1), -30.0, 0.5)
-    rows = Rows.of([features(w, known) for w in all_words])
+    distinct = list(place)
+    if not distinct or not any(label > 0.5 for label, _ in members):
+        return AbuseModel(np.zeros(_MASK + 1), -30.0, threshold)
+    rows = known.rows(distinct)
+    swaps = _Swaps(identity_terms)
+    pairs = [(i, [known.number(w) for w in c]) for i, ids in enumerate(distinct) for c in swaps.of([known.words[n] for n in ids])]
+    swapped, source = known.rows([ids for _, ids in pairs]), np.array([i for i, _ in pairs], np.int64)
     # Features of a single sentence teach nothing about others.
-    common = np.bincount(rows.flat, minlength=_MASK + 1) > 1
-    owner = np.repeat(np.arange(len(rows.sizes)), rows.sizes)[common[rows.flat]]
-    rows = Rows(rows.flat[common[rows.flat]], np.bincount(owner, minlength=len(rows.sizes)), rows.scale)
-    terms = {t: i for i, t in enumerate(dict.fromkeys(_RUN.sub(r"\1", t) for t in identity_terms))}
-    order = list(terms)
-    pairs = [(i, features(c, known)) for i, w in enumerate(all_words) for c in counterfactuals(list(w), terms, order)]
-    swapped, source = Rows.of([f for _, f in pairs]), np.array([i for i, _ in pairs], np.int64)
-
-    n = len(all_words)
+    used = np.bincount(rows.flat, minlength=_MASK + 1) > 1
+    used[swapped.flat] = True
+    columns = np.cumsum(used) - 1
+    rows, swapped = (r.only(used, columns) for r in (rows, swapped))
+
+    n, m_columns = len(distinct), int(used.sum())
     count = lambda parts: np.bincount(np.concatenate([*parts, np.array([], np.int64)]), minlength=n).astype(float)
     good = [(i, m) for i, (y, m) in enumerate(members) if y < 0.5 and len(m)]
     bad = [(i, m) for i, (y, m) in enumerate(members) if y > 0.5 and len(m)]
     # At first a sentence's features speak for it by how much oftener abusive documents have them.
-    features_of = lambda m: np.unique(np.concatenate([rows.flat[rows.starts[i] : rows.starts[i] + rows.sizes[i]] for i in m]))
-    in_bad, in_good = np.zeros(_MASK + 1), np.zeros(_MASK + 1)
+    features_of = lambda m: list({*chain.from_iterable(rows.flat[rows.starts[i] : rows.starts[i] + rows.sizes[i]].tolist() for i in m)})
+    in_bad, in_good = np.zeros(m_columns), np.zeros(m_columns)
     for docs, seen in ((bad, in_bad), (good, in_good)):
         for _, m in docs:
             seen[features_of(m)] += 1
@@ -227,8 +339,8 @@ def fit(
         keep = set(docs)
         rest = [np.setdiff1d(m, chosen[i]) for i, m in bad if i in keep]
         positive = count([chosen[i] for i, _ in bad if i in keep])
-        negative = count([m for i, m in good if i in keep]) + 0.5 * count(rest) * (positive == 0)
-        return _logistic(rows, positive, negative, swapped, source, l2, swap_penalty, steps)
+        negative = count([m for i, m in good if i in keep]) + rest_weight * count(rest) * (positive == 0)
+        return _logistic(rows, positive, negative, swapped, source, m_columns, l2, swap_penalty, steps)
 
     every = range(len(members))
     for _ in range(rounds):
@@ -237,13 +349,17 @@ def fit(
         for half in (0, 1):
             weights, bias = fitted([i for i in every if i % 2 != half])
             score = rows.dot(weights) + bias
-            renewed |= {i: m[score[m] > min(0.0, max(DOUBT, score[m].max() - 1e-9))] for i, m in bad if i % 2 == half}
+            others = [score[m].max() for i, m in good if i % 2 == half]
+            doubt = np.quantile(others, trusted) if others else 0.0
+            renewed |= {i: m[score[m] > min(0.0, max(doubt, score[m].max() - 1e-9))] for i, m in bad if i % 2 == half}
         chosen = renewed
-    weights, bias = fitted(every)
+    own, bias = fitted(every)
+    weights = np.zeros(_MASK + 1)
+    weights[used] = own
     return AbuseModel(weights, bias, threshold)
 
 
-def _logistic(rows: Rows, positive: np.ndarray, negative: np.ndarray, swapped: Rows, source: np.ndarray, l2: float, swap_penalty: float, steps: int):
+def _logistic(rows: Rows, positive: np.ndarray, negative: np.ndarray, swapped: Rows, source: np.ndarray, columns: int, l2: float, swap_penalty: float, steps: int):
     """Weighted logistic loss plus penalties, by Adam over all rows."""
     # A frequent sentence counts more than a rare one, but not in proportion.
     total = positive + negative
@@ -252,17 +368,18 @@ def _logistic(rows: Rows, positive: np.ndarray, negative: np.ndarray, swapped: R
     balance = np.sqrt((weight * (1 - target)).sum() / max(1e-9, (weight * target).sum()))
     weight = weight * (1 + (balance - 1) * target)
     size = weight.sum()
-    weights, bias = np.zeros(_MASK + 1), -2.0
-    m, v = np.zeros(_MASK + 2), np.zeros(_MASK + 2)
+    share = swap_penalty * weight[source] / max(1e-9, weight[source].sum())
+    weights, bias = np.zeros(columns), -2.0
+    m, v = np.zeros(columns + 1), np.zeros(columns + 1)
     for step in range(1, steps + 1):
         plain_score = rows.dot(weights)
         z = plain_score + bias
         r = weight * (_sigmoid(z) - target) / size
-        grad = np.append(rows.back(r) + l2 * weights, r.sum())
+        grad = np.append(rows.back(r, columns) + l2 * weights, r.sum())
         if len(source):
             change = plain_score[source] - swapped.dot(weights)
-            pull = 2 * swap_penalty * weight[source] * change / size
-            grad[:-1] += rows.back(np.bincount(source, pull, minlength=len(rows.sizes))) - swapped.back(pull)
+            pull = 2 * share * change
+            grad[:-1] += rows.back(np.bincount(source, pull, minlength=len(rows.sizes)), columns) - swapped.back(pull, columns)
         m = 0.9 * m + 0.1 * grad
         v = 0.99 * v + 0.01 * grad * grad
         change_by = 0.3 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
@@ -275,37 +392,38 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, most: int = MOST_LA
     """Labelled documents with the share of raters that call them abusive, at most ``most``.
 
     Null judgements and texts are left out; a rater counts once per document
-    (repeated rows change nothing); documents are chosen by a hash of their id.
+    (repeated rows change nothing); documents are chosen by a hash of their id,
+    among those of up to MOST_LABELLED_CHARS characters.
     """
     votes = labels.where("abusive IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id", "rater").agg(F.max("abusive").alias("abusive")).groupBy("doc_id").agg(F.avg(F.col("abusive").cast("double")).alias("share"))
-    chosen = votes.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    rows = documents.where("text IS NOT NULL").select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "text", "share").collect()
+    texts = documents.where(F.char_length("text") <= MOST_LABELLED_CHARS).select("doc_id", "text")
+    rows = texts.join(votes, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select("doc_id", "text", "share").collect()
     return [(r[1], r[2]) for r in sorted(rows, key=lambda r: r[0])]
 
 
-def score_documents(documents: DataFrame, model: AbuseModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """A score from 0 to 1 for each document and whether it is flagged: doc_id, score, flagged.
+def score_documents(documents: DataFrame, model: AbuseModel, doc_id: str = "doc_id", text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """A score from 0 to 1 for each document and whether it is flagged: doc_id, score, flagged, and the columns ``keep``.
 
     The score is the highest of the document's sentences; every sentence of the
     whole text counts. Null and empty texts score 0. A row in, a row out, without
     a shuffle; the model has a fixed size and is sent to the executors.
     """
     shared = documents.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.bias, model.threshold))
-    kind = documents.schema[doc_id].dataType.simpleString()
+    read = documents.select(F.col(text).alias("text"), F.col(doc_id).alias("doc_id"), *keep)
+    out = T.StructType([read.schema["doc_id"], T.StructField("score", T.DoubleType()), T.StructField("flagged", T.BooleanType()), *[read.schema[c] for c in keep]])
+    names = out.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, bias, threshold = shared.value
-        own, known, kept = AbuseModel(weights, bias, threshold), _Features(), {}
+        own, known = AbuseModel(*shared.value), Vocabulary()
         for batch in batches:
-            split = [sentences(t) for t in batch.column(1).to_pylist()]
-            new = list({s for ss in split for s in ss if s not in kept})
-            for at in range(0, len(new), 20_000):
-                part = new[at : at + 20_000]
-                values = own.score_sentences([features(tokens(s), known) for s in part])
-                kept.update(zip(part, values.tolist(), strict=True))
-            scores = np.array([max((kept[s] for s in ss), default=0.0) for ss in split], np.float64)
-            if len(kept) > KEPT_SENTENCES:
-                kept = {}
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores), pa.array(scores >= threshold)], names=["doc_id", "score", "flagged"])
-
-    return documents.select(doc_id, text).mapInArrow(run, f"doc_id {kind}, score double, flagged boolean")
+            scores = own.score_texts(batch.column(0).to_pylist(), known)
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(scores), pa.array(scores >= own.threshold), *batch.columns[2:]], names=names)
+
+    return read.mapInArrow(run, out)
+
+
+def rates(scored: DataFrame, by: str) -> DataFrame:
+    """Per value of ``by`` (null is one): documents, those flagged, their share and the mean score."""
+    return scored.groupBy(by).agg(
+        F.count("*").alias("documents"), F.count_if("flagged").alias("flagged"), F.avg(F.col("flagged").cast("double")).alias("rate"), F.avg("score").alias("mean_score")
+    )

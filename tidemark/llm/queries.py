@@ -32,11 +32,15 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
-def p10_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The score of every document."""
+def _scored(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = abuse.fit(abuse.labelled_sample(documents, table(spark, sf_dir, "doc_labels")))
-    return abuse.score_documents(documents, model)
+    return abuse.score_documents(documents, model, keep=keep)
+
+
+def p10_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score of every document."""
+    return _scored(spark, sf_dir)
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,13 +49,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per source: documents, those flagged, their share and the mean score."""
-    scores = p10_scores(spark, sf_dir)
-    sources = table(spark, sf_dir, "documents").select("doc_id", "source")
-    return (
-        sources.join(scores, "doc_id")
-        .groupBy("source")
-        .agg(F.count("*").alias("documents"), F.count_if("flagged").alias("flagged"), F.avg(F.col("flagged").cast("double")).alias("rate"), F.avg("score").alias("mean_score"))
-    )
+    return abuse.rates(_scored(spark, sf_dir, "source"), "source")
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p8_ids, p9_found, p10_found, p10_scores, p10_rates)}
