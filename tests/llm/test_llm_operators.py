@@ -152,7 +152,7 @@ def test_passages_by_construction():
         item, text, size, edits = passage_case(rng)
         index = leakage.SeedIndex.of([(1, " ".join(item))])
         t = np.array([known[w] for w in text], np.uint64)
-        found = any(leakage._dense_enough(index.tokens[0], t, d) and leakage.longest_passage(index.tokens[0], t, d) for _, _, d in index.hits(t, np.array([len(t)])).tolist())
+        found = any(leakage.reproduces(index.tokens[0], t, place, at) for _, _, place, at in index.hits([t]).tolist())
         if size >= leakage.LEAST_WORDS and edits * 10 <= size:
             assert found, (size, edits)
         if size < leakage.LEAST_WORDS - 4:
@@ -171,13 +171,31 @@ def test_typography_spacing_and_markup(spark):
     assert leakage.leaked_items(df.limit(0), items).count() == 0 == leakage.leaked_items(df, items.limit(0)).count()
 
 
-def test_blocks_of_items_give_the_same(spark, monkeypatch):
+def test_every_mask_leaves_words_out_and_fits_into_seven():
+    assert all("0" in m for m in leakage.MASKS) and min(map(len, leakage.MASKS)) == 7
+
+
+def test_joined_seeds_give_the_same_as_the_index(spark):
+    """Items with shared and repeated passages, odd rows, documents with the same id: both ways agree."""
     rng = random.Random(10)
     items = [(i, " ".join(rng.choice(VOCABULARY) for _ in range(60))) for i in range(12)]
-    df = spark.createDataFrame([(i, f"before {t} after") for i, t in items], "doc_id long, text string")
-    monkeypatch.setattr(leakage, "BLOCK_BYTES", 1000)
-    got = {tuple(r) for r in leakage.leaked_items(df, spark.createDataFrame(items, "item_id long, text string")).collect()}
-    assert got == {(i, i) for i, _ in items}
+    items += [(20, items[0][1] + " " + items[1][1]), (21, "again and again " * 40), (22, None), (23, "short"), (20, items[3][1])]
+    docs = [(i, f"before {t} after", "x") for i, t in items[:12]] + [(3, items[5][1], "y"), (None, items[0][1], "z"), (40, "well " + "again and again " * 30, "z"), (41, None, "z"), (42, "", None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, item_id string")
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    got = [{tuple(r) for r in leakage.leaked_items(df, tests, index_bytes=n).collect()} for n in (None, 0)]
+    assert got[0] == got[1] >= {(i, i) for i in range(12)} | {(3, 5), (0, 20), (1, 20), (3, 20), (40, 21)}
+
+
+def test_long_items_are_compared_around_hits():
+    """A passage in an item of 30,000 words, and a text that follows the whole of it with an edit every eleven words."""
+    rng = random.Random(16)
+    known = leakage._Hashes()
+    item = [f"w{rng.randint(0, 5000)}" for _ in range(30_000)]
+    index = leakage.SeedIndex.of([(1, " ".join(item))])
+    for text, want in ((item[20_000:20_030], True), (item[20_000:20_020], False), ([w for i, w in enumerate(item) if i % 11], True), ([w for i, w in enumerate(item) if i % 6], False)):
+        t = np.array([known[w] for w in text], np.uint64)
+        assert any(leakage.reproduces(index.tokens[0], t, place, at) for _, _, place, at in index.hits([t]).tolist()) == want
 
 
 def test_masks_find_what_a_plain_search_finds():
@@ -192,7 +210,7 @@ def test_masks_find_what_a_plain_search_finds():
         cut = rng.randint(0, 25)
         text = items[i][cut : cut + rng.choice([20, 35])]
         t = np.array([known[w] for w in text], np.uint64)
-        got = {j for _, j, d in index.hits(t, np.array([len(t)])).tolist() if leakage._dense_enough(index.tokens[j], t, d) and leakage.longest_passage(index.tokens[j], t, d)}
+        got = {j for _, j, place, at in index.hits([t]).tolist() if leakage.reproduces(index.tokens[j], t, place, at)}
         want = set()
         for j, item in enumerate(items):
             blocks = [b for b in difflib.SequenceMatcher(None, item, text, autojunk=False).get_matching_blocks() if b.size]

@@ -283,8 +283,8 @@ def fit(
     l2: float = 2e-6,
     rounds: int = 5,
     steps: int = 40,
-    threshold: float = 0.4,
-    trusted: float = 0.9,
+    threshold: float = 0.5,
+    trusted: float = 0.95,
     rest_weight: float = 0.2,
 ) -> AbuseModel:
     """Fit on labelled documents (text, share of raters who call it abusive).

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import re
 import unicodedata
 
 import regex
@@ -13,10 +14,11 @@ LOOKALIKES = str.maketrans(
     "abekmhopctyxisjldABEKMHOPCTYXISJ" + "aeikvoptuxABEZHIKMNOPTYX" + "g",
 )
 
+_LOOKALIKE = re.compile("[" + "".join(map(chr, LOOKALIKES)) + "]")
 _TAG = regex.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:]*)(?:\s[^<>]*)?/?>|<!--.*?-->", regex.S)
 _INLINE = {"b", "i", "em", "strong", "u", "s", "span", "a", "code", "sup", "sub", "mark", "small", "font", "wbr", "tt", "ins", "del"}
 _INVISIBLE = regex.compile(r"[\p{Cf}\p{Mn}\p{Me}ᅟᅠㅤ]+")
-_WORD = regex.compile(r"[\p{L}\p{N}]+(?:[.,](?=\p{N})\p{N}+)*")
+_WORD = re.compile(r"[^\W_]+(?:[.,]\d+)*")
 _APOSTROPHE = regex.compile(r"(?<=\p{L})['‘’ʼ´`](?=\p{L})")
 _WRAPPED = regex.compile(r"(?<=\p{Ll})[-‐­]\r?\n\s*(?=\p{Ll})")
 _THOUSANDS = regex.compile(r"(?<=\d),(?=\d{3}\b)")
@@ -31,7 +33,7 @@ def plain(text: str) -> str:
     if text.isascii():
         return text
     text = unicodedata.normalize("NFKD", text)
-    return _INVISIBLE.sub("", text).translate(LOOKALIKES)
+    return _LOOKALIKE.sub(lambda m: chr(LOOKALIKES[ord(m[0])]), _INVISIBLE.sub("", text))
 
 
 def words(text: str | None) -> list[str]:
