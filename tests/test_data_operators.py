@@ -15,7 +15,8 @@ from pyspark.sql import functions as F, types as T
 
 from tidemark.functions.symbols import bare_number, canonical, tidy
 from tidemark.operators import compaction, drift, intervals, known_at
-from tidemark.operators.parquet_blocks import FILE_ROWS, STRUCT, ParquetBlockError, _put, join_blocks
+from tidemark.operators.parquet_blocks import FILE_ROWS, STRUCT, ParquetBlockError, _put, join_blocks, read_footer
+from tidemark.operators.parquet_footers import Shape, read_footers
 from tidemark.operators.rolling import trailing_totals
 from tidemark.operators.snapshots import snapshot_changes
 from tidemark.plans import data_queries
@@ -228,22 +229,50 @@ def parquet(table, **more):
     return sink.getvalue()
 
 
-@pytest.mark.parametrize("more", [{}, {"compression": "zstd", "use_dictionary": False}, {"row_group_size": 7, "write_page_index": True}, {"data_page_version": "2.0"}])
-def test_joined_blocks_hold_the_same_rows(more):
-    tables = [pa.table({"i": pa.array(range(k, k + 20), pa.int64()), "s": [f"t{j % 3}" if j % 4 else None for j in range(20)], "l": [[j, None] for j in range(20)], "b": [j % 2 == 0 for j in range(20)]}) for k in (0, 100, 200)]
-    joined, blocks, total = join_blocks([parquet(t, **more) for t in tables])
+@pytest.mark.parametrize("more", [{}, {"compression": "zstd", "use_dictionary": False}, {"row_group_size": 7, "write_page_index": True}, {"data_page_version": "2.0"}, {"use_dictionary": ["s"]}, {"row_group_size": 3, "use_dictionary": False, "data_page_version": "2.0"}])
+@pytest.mark.parametrize("group_bytes", [1, 128 << 20])
+def test_joined_blocks_hold_the_same_rows(more, group_bytes):
+    tables = [pa.table({"i": pa.array(range(k, k + n), pa.int64()), "s": pa.array([f"t{j % 3}" * (k + 1) if j % 4 else None for j in range(n)], pa.string()), "l": [[j, None] for j in range(n)], "b": [j % 2 == 0 for j in range(n)]}) for k, n in ((0, 20), (100, 5), (200, 20), (70_000, 1))]
+    blobs = [parquet(t, **more) for t in tables]
+    joined, blocks, total = join_blocks(blobs, read_footers(blobs), group_bytes)
     back = pq.ParquetFile(io.BytesIO(joined))
-    assert total == 60 == back.metadata.num_rows and blocks == back.metadata.num_row_groups
-    assert back.read().equals(pa.concat_tables(tables))
+    assert total == 46 == back.metadata.num_rows and blocks == sum(pq.ParquetFile(io.BytesIO(b)).metadata.num_row_groups for b in blobs)
+    assert sorted(back.read().to_pylist(), key=lambda r: r["i"]) == pa.concat_tables(tables).to_pylist()
+    if not more.get("use_dictionary", True):
+        assert back.metadata.num_row_groups == (1 if group_bytes > 1 else blocks)
+
+
+def test_footers_read_at_once_say_what_each_says_alone():
+    rng = random.Random(5)
+    blobs = [parquet(pa.table({"i": list(range(n)), "s": ["x" * rng.randint(0, 300)] * n}), use_dictionary=bool(n % 2), row_group_size=50) for n in (rng.choice([1, 3, 100, 170]) for _ in range(60))]
+    blobs += [b"junk", b"", blobs[0][:-20]]
+    for blob, own in zip(blobs, read_footers(blobs), strict=True):
+        if isinstance(own, ParquetBlockError):
+            assert blob in blobs[-3:]
+            continue
+        meta = pq.ParquetFile(io.BytesIO(blob)).metadata
+        assert own.rows == meta.num_rows and own.group_rows == [meta.row_group(g).num_rows for g in range(meta.num_row_groups)]
+        for g in range(meta.num_row_groups):
+            for c in range(2):
+                chunk = meta.row_group(g).column(c)
+                assert (own.compressed[g][c], own.uncompressed[g][c], own.values[g][c]) == (chunk.total_compressed_size, chunk.total_uncompressed_size, chunk.num_values)
+                assert own.start[g][c] == (chunk.dictionary_page_offset or chunk.data_page_offset)
+
+
+def test_footers_are_written_as_they_were_read():
+    blob = parquet(pa.table({"i": [1, 2], "s": ["a", None]}))
+    shape = Shape(compaction.footer_bytes(blob))
+    assert shape.write(np.array([shape.first] * 3)) == [compaction.footer_bytes(blob)] * 3
 
 
 def test_blocks_that_do_not_fit():
     a, b = parquet(pa.table({"i": [1]})), parquet(pa.table({"i": ["x"]}))
-    for blobs in ([a, b], [a, a[:-20]], [a, b"PAR1"], []):
-        with pytest.raises(ParquetBlockError):
-            join_blocks(blobs)
-    joined, blocks, total = join_blocks([a, parquet(pa.table({"i": pa.array([], pa.int64())})), a])
-    assert pq.read_table(io.BytesIO(joined)).column("i").to_pylist() == [1, 1]
+    with pytest.raises(ParquetBlockError, match="schemas differ"):
+        join_blocks([a, b], read_footers([a, b]))
+    assert [isinstance(f, ParquetBlockError) for f in read_footers([a, a[:-20], b"PAR1"])] == [False, True, True] and read_footers([]) == []
+    blobs = [a, parquet(pa.table({"i": pa.array([], pa.int64())})), a]
+    joined, _, total = join_blocks(blobs, read_footers(blobs))
+    assert total == 2 and pq.read_table(io.BytesIO(joined)).column("i").to_pylist() == [1, 1]
 
 
 def test_consolidation_loses_and_doubles_nothing(spark):
@@ -283,14 +312,14 @@ def test_files_that_cannot_be_joined_are_still_read(spark, tmp_path):
 
 def test_one_file_does_not_spoil_its_group():
     good = [parquet(pa.table({"i": [k, k + 10]})) for k in range(3)]
-    footer = compaction.read_footer(good[0])
+    footer = read_footer(good[0])
     tail = bytearray()
     footer[FILE_ROWS] = (footer[FILE_ROWS][0], 7)  # a total that its row groups do not have
     _put(tail, STRUCT, footer)
     length = int.from_bytes(good[0][-8:-4], "little")
     bad = good[0][: -8 - length] + bytes(tail) + len(tail).to_bytes(4, "little") + b"PAR1"
-    batch = pa.RecordBatch.from_pydict({"partition_path": ["d"] * 4, "part": pa.array([0] * 4, pa.int32()), "path": list("abcd"), "content": [good[0], bad, *good[1:]]})
-    got = sorted((r["files_merged"], r["row_total"], r["error"]) for b in compaction._join_runs(iter([batch])) for r in b.to_pylist())
+    batch = pa.RecordBatch.from_pydict({"partition_path": ["d"] * 4, "part": pa.array([0] * 4, pa.int32()), "whole": [True] * 4, "path": list("abcd"), "content": [good[0], bad, *good[1:]]})
+    got = sorted((r["files_merged"], r["row_total"], r["error"]) for b in compaction._join_runs(2)(iter([batch])) for r in b.to_pylist())
     assert got == [(1, 0, "row counts of footer and row groups differ"), (3, 6, None)]
 
 

@@ -5,86 +5,173 @@ from __future__ import annotations
 import io
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidemark.operators.parquet_blocks import FILE_SCHEMA, ParquetBlockError, join_blocks, read_footer
-from tidemark.operators.runs import sorted_runs
+from tidemark.operators.parquet_blocks import ParquetBlockError, footer_bytes, join_blocks
+from tidemark.operators.parquet_footers import Shape, cut_row_groups, read_footers
 
 #: Bytes of small files that go into one consolidated file, about.
 TARGET_BYTES = 64 << 20
+#: Bytes of joined files that a task hands over at once.
+WRITE_BYTES = 32 << 20
+#: Directories beyond the target size of which so many, at some hundred bytes each, are sent to all tasks.
+MOST_BROADCAST = 50_000
 UNFINISHED = ".tmp"
 RESULT = "partition_path string, part int, files_merged bigint, blocks bigint, row_total bigint, bytes_before bigint, bytes_after bigint, content binary, error string"
 
 
+def _writer(sink, schema: pa.Schema) -> pq.ParquetWriter:
+    return pq.ParquetWriter(sink, schema, compression="snappy", use_dictionary=False, write_statistics=False, store_schema=False)
+
+
+def _encoded(table: pa.Table, rows: int) -> list[bytes]:
+    """Parquet files of ``rows`` rows each: the first is written alone, the others as row groups of one file, which is cut up."""
+    alone, many = pa.BufferOutputStream(), pa.BufferOutputStream()
+    with _writer(alone, table.schema) as writer:
+        writer.write_table(table.slice(0, rows))
+    first = alone.getvalue().to_pybytes()
+    if table.num_rows == rows:
+        return [first]
+    with _writer(many, table.schema) as writer:
+        writer.write_table(table.slice(rows), row_group_size=rows)
+    whole = many.getvalue()
+    seen = pq.read_metadata(pa.BufferReader(whole))
+    width = range(seen.num_columns)
+    facts = np.array(
+        [[(c.data_page_offset, c.total_compressed_size, c.total_uncompressed_size) for c in map(group.column, width)] for group in map(seen.row_group, range(seen.num_row_groups))],
+        np.int64,
+    )
+    return [first, *cut_row_groups(memoryview(whole), facts[:, :, :2], facts[:, :, 2], Shape(footer_bytes(first)))]
+
+
 def encode_files(rows: DataFrame, path: str) -> DataFrame:
     """Rows of a landing log back as the small Parquet files they came in.
 
     Columns: path, length, content. One file for each non-null ``path``, with
-    all other columns. Files are small, so one is built in memory at a time.
+    all other columns. Files of the same number of rows are written together.
     """
     schema = to_arrow_schema(T.StructType([f for f in rows.schema.fields if f.name != path]))
 
+    def files(table: pa.Table) -> pa.RecordBatch:
+        code = table.column(path).combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        begin = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))
+        sizes = np.diff(np.append(begin, len(code)))
+        names = table.column(path).take(pa.array(begin))
+        own = table.drop_columns([path]).cast(schema).combine_chunks()
+        content: list[bytes] = [b""] * len(begin)
+        for n in sorted(set(sizes.tolist())):
+            which = np.flatnonzero(sizes == n)
+            part = own.take(pa.array((begin[which][:, None] + np.arange(n)).ravel())).combine_chunks()
+            for i, blob in zip(which.tolist(), _encoded(part, n), strict=True):
+                content[i] = blob
+        return pa.RecordBatch.from_arrays([names.combine_chunks().cast(pa.string()), pa.array([len(c) for c in content], pa.int64()), pa.array(content, pa.binary())], names=["path", "length", "content"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[str, bytes]] = []
-        for (name,), table in sorted_runs(batches, [path]):
-            sink = pa.BufferOutputStream()
-            with pq.ParquetWriter(sink, schema, compression="snappy", use_dictionary=False, write_statistics=False, store_schema=False) as writer:
-                writer.write_table(table.drop_columns([path]).cast(schema))
-            out.append((name, sink.getvalue().to_pybytes()))
-            if len(out) == 1000:
-                yield pa.RecordBatch.from_pydict({"path": [n for n, _ in out], "length": [len(b) for _, b in out], "content": [b for _, b in out]})
-                out = []
-        if out:
-            yield pa.RecordBatch.from_pydict({"path": [n for n, _ in out], "length": [len(b) for _, b in out], "content": [b for _, b in out]})
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names = batch.column(path)
+            last = names[-1].as_py()
+            # The file at the end may go on in the next batch.
+            cut = int(np.argmax(pc.equal(names, last).to_numpy(zero_copy_only=False)))
+            if cut or (held and held[-1].column(path)[0].as_py() != last):
+                yield files(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+                held = []
+            held.append(batch.slice(cut))
+        if held:
+            yield files(pa.Table.from_batches(held))
 
     found = rows.where(F.col(path).isNotNull())
     return found.repartition(path).sortWithinPartitions(path).mapInArrow(run, "path string, length bigint, content binary")
 
 
-def _joined(blobs: list[bytes], footers: list[dict] | None = None) -> tuple:
-    """The joined file of ``blobs`` as a row of RESULT from files_merged on, its totals read back."""
-    joined, blocks, total = join_blocks(blobs, footers)
-    seen = pq.read_metadata(io.BytesIO(joined))
-    if (seen.num_row_groups, seen.num_rows) != (blocks, total):
-        raise ParquetBlockError("the joined file has other totals")
-    return len(blobs), blocks, total, sum(map(len, blobs)), len(joined), joined, None
+def _joined(blobs: list[bytes], blocks: list) -> tuple:
+    """The joined file of ``blobs`` as a row of RESULT from files_merged on."""
+    joined, copied, total = join_blocks(blobs, blocks)
+    return len(blobs), copied, total, sum(map(len, blobs)), len(joined), joined, None
 
 
-def _join_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for (partition, part), table in sorted_runs(batches, ["partition_path", "part"]):
-        by_schema: dict[str, list[tuple[bytes, dict]]] = {}
-        rows = []
-        once = dict(zip(table.column("path").to_pylist(), table.column("content").to_pylist(), strict=True))
-        for blob in once.values():
-            try:
-                footer = read_footer(blob or b"")
-                by_schema.setdefault(repr(footer[FILE_SCHEMA]), []).append((blob, footer))
-            except (ParquetBlockError, KeyError) as e:
-                rows.append((1, 0, 0, len(blob or b""), len(blob or b""), blob, str(e) or "no Parquet file"))
-        for signature in sorted(by_schema):
-            blobs, footers = map(list, zip(*by_schema[signature], strict=True))
-            try:
-                rows.append(_joined(blobs, footers))
-            except (ParquetBlockError, pa.ArrowException):
-                # One file may spoil the whole: those that cannot be joined even alone are passed through.
-                fit = []
-                for b in blobs:
-                    try:
-                        _joined([b])
-                        fit.append(b)
-                    except (ParquetBlockError, pa.ArrowException) as e:
-                        rows.append((1, 0, 0, len(b), len(b), b, str(e)))
+def _passed(blob: bytes | None, why: object) -> tuple:
+    return 1, 0, 0, len(blob or b""), len(blob or b""), blob, str(why)
+
+
+def _join(files: list[tuple[bytes | None, object]]) -> list[tuple]:
+    """Rows of RESULT, from files_merged on, for the files of one part."""
+    by_schema: dict[bytes, list[tuple[bytes, object]]] = {}
+    rows = []
+    for blob, blocks in files:
+        if isinstance(blocks, ParquetBlockError):
+            rows.append(_passed(blob, blocks))
+        else:
+            by_schema.setdefault(blocks.shape.schema, []).append((blob, blocks))
+    for own in by_schema.values():
+        try:
+            rows.append(_joined(*map(list, zip(*own, strict=True))))
+        except ParquetBlockError:
+            # One file may spoil the whole: those that cannot be joined even alone are passed through.
+            fit = []
+            for blob, blocks in own:
                 try:
-                    rows += [_joined(fit)] if fit else []
-                except (ParquetBlockError, pa.ArrowException) as e:
-                    rows += [(1, 0, 0, len(b), len(b), b, str(e)) for b in fit]
-        columns = zip(*[(partition, part, *r) for r in rows], strict=True)
-        types = [pa.string(), pa.int32(), *[pa.int64()] * 5, pa.binary(), pa.string()]
-        names = [f.split(" ")[0] for f in RESULT.split(", ")]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+                    _joined([blob], [blocks])
+                    fit.append((blob, blocks))
+                except ParquetBlockError as e:
+                    rows.append(_passed(blob, e))
+            try:
+                rows += [_joined(*map(list, zip(*fit, strict=True)))] if fit else []
+            except ParquetBlockError as e:
+                rows += [_passed(b, e) for b, _ in fit]
+    return rows
+
+
+def _result(held: list[tuple]) -> pa.RecordBatch:
+    """Rows of RESULT, with the extents and totals of joined files as a fresh reading of their footers has them."""
+    joined = [r for r in held if r[8] is None]
+    for row, seen in zip(joined, read_footers([r[7] for r in joined]), strict=True):
+        if isinstance(seen, ParquetBlockError) or seen.rows != row[4]:
+            raise ParquetBlockError(f"the joined file of {row[0]} has other totals: {seen}")
+    types = [pa.string(), pa.int32(), *[pa.int64()] * 5, pa.binary(), pa.string()]
+    names = [f.split(" ")[0] for f in RESULT.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), types, strict=True)], names=names)
+
+
+def _join_runs(least_files: int):
+    """Batches sorted by partition_path, part and path to rows of RESULT; ``whole`` says that the part is the directory."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key: tuple | None = None
+        own: dict[str, tuple] = {}
+        done: list[tuple] = []
+        size = 0
+
+        def close() -> int:
+            if key is None or (len(own) < least_files and key[2]):
+                return 0
+            new = [(key[0], key[1], *r) for r in _join(list(own.values()))]
+            done.extend(new)
+            return sum(r[6] for r in new)
+
+        for batch in batches:
+            blobs = batch.column("content").to_pylist()
+            read = read_footers([b or b"" for b in blobs])
+            for at, path, blob, blocks in zip(zip(*[batch.column(c).to_pylist() for c in ("partition_path", "part", "whole")], strict=True), batch.column("path").to_pylist(), blobs, read, strict=True):
+                if at != key:
+                    size += close()
+                    key, own = at, {}
+                    if size > WRITE_BYTES:
+                        yield _result(done)
+                        done, size = [], 0
+                own[path] = (blob, blocks)
+        close()
+        if done:
+            yield _result(done)
+
+    return run
 
 
 def consolidate(files: DataFrame, target_bytes: int = TARGET_BYTES, least_files: int = 2) -> DataFrame:
@@ -94,9 +181,10 @@ def consolidate(files: DataFrame, target_bytes: int = TARGET_BYTES, least_files:
     gives them (lengths are read without contents). A directory with fewer than
     ``least_files`` finished files is left as it is. Larger directories are cut
     into parts by a hash of the path, as many as their bytes ask for, so no
-    task holds a whole hot directory. Within a part, row groups are copied
-    without decoding and footers rewritten; schemas, block counts and row totals
-    are checked against a fresh reading of the result.
+    task holds a whole hot directory. What has to be cut is known from paths and
+    lengths; contents are shuffled once. Within a part, encoded column data are
+    copied without decoding and footers rewritten; schemas, extents and row
+    totals are checked, before and in a fresh reading of the result.
 
     Cases: names ending in .tmp are no files. A path given several times is one
     file. Files of another schema in the same part get a file of their own. A
@@ -104,12 +192,16 @@ def consolidate(files: DataFrame, target_bytes: int = TARGET_BYTES, least_files:
     files (no rows) are joined and add none. Null paths are left out.
     """
     finished = files.where(F.col("path").isNotNull() & ~F.col("path").endswith(UNFINISHED)).withColumn("partition_path", F.regexp_replace("path", "/[^/]*$", ""))
-    sizes = finished.select("partition_path", "path", "length").dropDuplicates(["partition_path", "path"])
-    totals = sizes.groupBy("partition_path").agg(F.count("*").alias("n"), F.sum("length").alias("bytes")).where(F.col("n") >= least_files)
-    parts = F.greatest(F.lit(1), F.ceil(F.col("bytes") / F.lit(target_bytes))).cast("int")
-    placed = finished.join(totals, "partition_path").select("partition_path", F.pmod(F.xxhash64("path"), parts).cast("int").alias("part"), "path", "content")
+    sizes = finished.groupBy("partition_path", "path").agg(F.max("length").alias("length")).groupBy("partition_path").agg(F.sum("length").alias("bytes"))
+    large = sizes.where(F.col("bytes") > target_bytes).select("partition_path", F.ceil(F.col("bytes") / target_bytes).cast("int").alias("parts"))
+    placed = finished.withColumn("parts", F.lit(1))
+    # Directories beyond the target size are few; only where they aren't, contents go through a shuffled join.
+    number = large.count()
+    if number:
+        placed = finished.join(F.broadcast(large) if number <= MOST_BROADCAST else large, "partition_path", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    placed = placed.select("partition_path", F.pmod(F.xxhash64("path"), "parts").cast("int").alias("part"), (F.col("parts") == 1).alias("whole"), "path", "content")
     in_order = placed.repartition("partition_path", "part").sortWithinPartitions("partition_path", "part", "path")
-    return in_order.mapInArrow(_join_runs, RESULT)
+    return in_order.mapInArrow(_join_runs(least_files), RESULT)
 
 
 def write_consolidated(joined: DataFrame, root: str) -> DataFrame:

@@ -11,13 +11,16 @@ from typing import Any
 MAGIC = b"PAR1"
 # Field numbers of the Parquet footer (parquet.thrift).
 FILE_SCHEMA, FILE_ROWS, FILE_GROUPS, FILE_CREATED_BY = 2, 3, 4, 6
-GROUP_COLUMNS, GROUP_ROWS, GROUP_OFFSET, GROUP_ORDINAL = 1, 3, 5, 7
+GROUP_COLUMNS, GROUP_SIZE, GROUP_ROWS, GROUP_SORTED, GROUP_OFFSET, GROUP_COMPRESSED, GROUP_ORDINAL = 1, 2, 3, 4, 5, 6, 7
 CHUNK_PATH, CHUNK_OFFSET, CHUNK_META = 1, 2, 3
 CHUNK_INDEX_FIELDS = (4, 5, 6, 7)
-META_COMPRESSED, META_DATA_PAGE, META_INDEX_PAGE, META_DICTIONARY_PAGE = 7, 9, 10, 11
+CHUNK_CRYPTO_FIELDS = {8, 9}
+META_TYPE, META_ENCODINGS, META_NAME, META_CODEC, META_VALUES, META_UNCOMPRESSED, META_COMPRESSED, META_DATA_PAGE, META_INDEX_PAGE, META_DICTIONARY_PAGE = 1, 2, 3, 4, 5, 6, 7, 9, 10, 11
 META_BLOOM_FIELDS = (14, 15)
 # Type codes of the compact protocol.
 TRUE, FALSE, BYTE, I16, I32, I64, DOUBLE, BINARY, LIST, SET, MAP, STRUCT = range(1, 13)
+#: A struct that is given as its bytes.
+RAW = -1
 
 
 class ParquetBlockError(ValueError):
@@ -97,21 +100,24 @@ def _put(out: bytearray, kind: int, value: Any) -> None:
     elif kind == BINARY:
         _put_varint(out, len(value))
         out += value
+    elif kind == RAW:
+        out += value
     elif kind == STRUCT:
         last = 0
         for number in sorted(value):
             inner, item = value[number]
+            code = STRUCT if inner == RAW else inner
             if 0 < number - last < 16:
-                out.append(number - last << 4 | inner)
+                out.append(number - last << 4 | code)
             else:
-                out.append(inner)
+                out.append(code)
                 _put_varint(out, (number << 1) ^ (number >> 63))
             _put(out, inner, item)
             last = number
         out.append(0)
     elif kind in (LIST, SET):
         inner, items = value
-        out.append(min(len(items), 15) << 4 | inner)
+        out.append(min(len(items), 15) << 4 | (STRUCT if inner == RAW else inner))
         if len(items) >= 15:
             _put_varint(out, len(items))
         if inner in (TRUE, FALSE):
@@ -123,25 +129,22 @@ def _put(out: bytearray, kind: int, value: Any) -> None:
         out += value
 
 
-def read_footer(blob: bytes) -> dict[int, tuple[int, Any]]:
+def footer_bytes(blob: bytes) -> bytes:
     if len(blob) < 12 or blob[:4] != MAGIC or blob[-4:] != MAGIC:
         raise ParquetBlockError("no Parquet file")
     size = int.from_bytes(blob[-8:-4], "little")
     if size + 12 > len(blob):
         raise ParquetBlockError("footer longer than the file")
+    return bytes(blob[len(blob) - 8 - size : len(blob) - 8])
+
+
+def read_footer(blob: bytes) -> dict[int, tuple[int, Any]]:
     try:
-        return _struct(blob[len(blob) - 8 - size : len(blob) - 8], 0)[0]
+        return _struct(footer_bytes(blob), 0)[0]
     except IndexError as e:
         raise ParquetBlockError("footer cut short") from e
 
 
-def schema_bytes(footer: dict[int, tuple[int, Any]]) -> bytes:
-    """The schema as it stands in the footer; files join where these are equal."""
-    out = bytearray()
-    _put(out, *footer[FILE_SCHEMA])
-    return bytes(out)
-
-
 def _moved(group: dict[int, tuple[int, Any]], by: int) -> None:
     """Shift a row group's offsets; page indexes and bloom filters, which lie outside it, are left behind."""
     for chunk in group[GROUP_COLUMNS][1][1]:
@@ -169,41 +172,90 @@ def _extent(group: dict[int, tuple[int, Any]]) -> tuple[int, int]:
     return min(s for s, _ in spans), max(e for _, e in spans)
 
 
-def join_blocks(blobs: list[bytes], footers: list[dict[int, tuple[int, Any]]] | None = None) -> tuple[bytes, int, int]:
-    """One Parquet file with the row groups of all ``blobs``: (file, row groups, rows).
+def _chunk_heads(shapes: list) -> list[bytes]:
+    """By column, a chunk that pages of all ``shapes`` (with a row group each) share, up to where its numbers begin."""
+    first, g = shapes[0]
+    if len(shapes) == 1 and (known := first.chunk_heads.get(g)):
+        return known
+    heads = []
+    for c, chunk in enumerate(first.groups[g][GROUP_COLUMNS][1][1]):
+        meta = {k: v for k, v in chunk[CHUNK_META][1].items() if k < META_VALUES}
+        meta[META_ENCODINGS] = (LIST, (I32, sorted({e for s, at in shapes for e in s.groups[at][GROUP_COLUMNS][1][1][c][CHUNK_META][1][META_ENCODINGS][1][1]})))
+        own = bytearray()
+        _put(own, STRUCT, {CHUNK_OFFSET: (I64, 0), CHUNK_META: (STRUCT, meta)})
+        heads.append(bytes(own[:-2]))  # neither struct is closed
+    if len(shapes) == 1:
+        first.chunk_heads[g] = heads
+    return heads
+
+
+def _merged_group(parts: list, out: bytearray) -> dict[int, tuple[int, Any]]:
+    """One row group of the pages of many, column by column: ``parts`` are (blob, its blocks, row group)."""
+    first = len(out)
+    pages = zip(*[[blob[s : s + n] for s, n in zip(b.start[g], b.compressed[g], strict=True)] for blob, b, g in parts], strict=True)
+    totals = lambda name: [sum(column) for column in zip(*[getattr(b, name)[g] for _, b, g in parts], strict=True)]
+    raw, n = totals("uncompressed"), totals("values")
+    shapes = list({id(b.shape): (b.shape, g) for _, b, g in parts}.values())
+    heads = _chunk_heads(shapes)
+    chunks = []
+    for own, head, *numbers in zip(pages, heads, n, raw, strict=True):
+        at = len(out)
+        out += b"".join(own)
+        chunk = bytearray(head)
+        _put(chunk, STRUCT, {1: (I64, numbers[0]), 2: (I64, numbers[1]), 3: (I64, len(out) - at), 3 + META_DATA_PAGE - META_COMPRESSED: (I64, at)})
+        chunks.append(chunk + b"\0")
+    rows = sum([b.group_rows[g] for _, b, g in parts])
+    return {GROUP_COLUMNS: (LIST, (RAW, chunks)), GROUP_SIZE: (I64, sum(raw)), GROUP_ROWS: (I64, rows), GROUP_OFFSET: (I64, first), GROUP_COMPRESSED: (I64, len(out) - first)}
+
+
+def join_blocks(blobs: list[bytes], blocks: list, group_bytes: int = 128 << 20) -> tuple[bytes, int, int]:
+    """One Parquet file of all ``blobs`` (of one schema, with their blocks as read by ``read_footers``): (file, blocks copied, rows).
 
-    Raises ParquetBlockError where schemas differ, bytes are missing, or the
-    footer's totals don't agree with its row groups. A file without row groups
-    adds none. ``footers`` may hold the footers where they were read before;
-    they are changed.
+    Pages without a dictionary are laid one after another in common column
+    chunks, a row group for each ``group_bytes``; what has a dictionary is copied
+    as a row group of its own. Nothing is decoded. A file without rows adds none.
     """
     out = bytearray(MAGIC)
     groups: list[dict[int, tuple[int, Any]]] = []
-    first: dict[int, tuple[int, Any]] | None = None
-    rows = 0
-    for at, blob in enumerate(blobs):
-        footer = footers[at] if footers else read_footer(blob)
-        if first is None:
-            first = footer
-        elif footer[FILE_SCHEMA] != first[FILE_SCHEMA]:
+    merging: dict[tuple, list] = {}
+    single = []
+    copied = 0
+    for blob, own in zip(blobs, blocks, strict=True):
+        if isinstance(own, ParquetBlockError):
+            raise own
+        if own.shape.schema != blocks[0].shape.schema:
             raise ParquetBlockError("schemas differ")
-        own = footer[FILE_GROUPS][1][1]
-        if sum(g[GROUP_ROWS][1] for g in own) != footer[FILE_ROWS][1]:
-            raise ParquetBlockError("row counts of footer and row groups differ")
-        for group in own:
-            start, end = _extent(group)
-            if not 4 <= start <= end <= len(blob) - 8:
-                raise ParquetBlockError("column data outside the file")
-            _moved(group, len(out) - start)
-            if GROUP_ORDINAL in group:
-                group[GROUP_ORDINAL] = (I16, len(groups) % 32768)
-            out += blob[start:end]
-            groups.append(group)
-        rows += footer[FILE_ROWS][1]
-    if first is None:
-        raise ParquetBlockError("no files")
-    footer = {n: first[n] for n in first if n != 5} | {FILE_ROWS: (I64, rows), FILE_GROUPS: (LIST, (STRUCT, groups)), FILE_CREATED_BY: (BINARY, b"tidemark")}
-    tail = bytearray()
-    _put(tail, STRUCT, footer)
+        for g, n in enumerate(own.group_rows):
+            copied += 1
+            if n and own.shape.key is not None:
+                merging.setdefault(own.shape.key, []).append((blob, own, g))
+            elif n:
+                single.append((blob, g))
+    for parts in merging.values():
+        held: list = []
+        size = 0
+        for part in parts:
+            held.append(part)
+            size += sum(part[1].compressed[part[2]])
+            if size >= group_bytes:
+                groups.append(_merged_group(held, out))
+                held, size = [], 0
+        if held:
+            groups.append(_merged_group(held, out))
+    for blob, g in single:
+        group = read_footer(blob)[FILE_GROUPS][1][1][g]
+        start, end = _extent(group)
+        if not 4 <= start <= end <= len(blob) - 8:
+            raise ParquetBlockError("column data outside the file")
+        _moved(group, len(out) - start)
+        out += blob[start:end]
+        groups.append(group)
+    for ordinal, group in enumerate(groups):
+        group[GROUP_ORDINAL] = (I16, ordinal % 32768)
+    shape = blocks[0].shape
+    rows = sum([b.rows for b in blocks])
+    tail = bytearray(shape.prefix)
+    _put(tail, STRUCT, {FILE_ROWS - FILE_SCHEMA: (I64, rows), FILE_GROUPS - FILE_SCHEMA: (LIST, (STRUCT, groups))})
+    tail[-1:] = shape.rest
     out += tail + len(tail).to_bytes(4, "little") + MAGIC
-    return bytes(out), len(groups), rows
+    return bytes(out), copied, rows
