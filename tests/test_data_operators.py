@@ -340,6 +340,27 @@ def landed(spark, files, target="ohlcv"):
     return spark.createDataFrame(out, "file_id long, feed string, target string, file_name string, landed_at timestamp, line_no int, payload string")
 
 
+def test_lifespans_do_not_depend_on_where_blocks_end(spark, monkeypatch):
+    """Random feeds with unreadable files, all-null fields and renames: any block size logs the same changes."""
+    rng = random.Random(3)
+    files = []
+    for i in range(60):
+        record = {rng.choice(["repaired", "is_repaired"]): rng.choice([True, 1, None, None]), rng.choice(["vol", "volume"]): rng.choice([1, 1.5, None])}
+        record |= {k: rng.choice([None, "x", 3]) for k in rng.sample(["a", "b"], rng.randint(0, 2))}
+        files.append((f"f{i % 2}", i, i * 7 % 50, [record] if rng.random() > 0.1 else [rng.choice([None, "no json", "[1]"])]))
+    df = landed(spark, files)
+    found = []
+    for n in (4096, 3, 1):
+        monkeypatch.setattr(drift, "BLOCK_FILES", n)
+        found.append(sorted(map(repr, drift.schema_changes(df).collect())))
+    assert found[0] == found[1] == found[2] and len(found[0]) > 60
+    numbered = drift.file_sequence(drift.file_catalogue(df)).collect()
+    for feed in ("f0", "f1"):
+        own = sorted((r.nth, r.file_id) for r in numbered if r.feed == feed)
+        assert [f for _, f in own] == [i for _, i in sorted((i * 7 % 50, i) for i in range(60) if f"f{i % 2}" == feed)]
+        assert [n for n, _ in own] == list(range(30)) and {r.last for r in numbered if r.feed == feed} == {29}
+
+
 def drifted(spark, files):
     return {(r.file_id, r.change, r.old_field, r.new_field) for r in drift.schema_changes(landed(spark, files)).collect()}
 

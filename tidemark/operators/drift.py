@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.operators.scan import last_known, previous_row
 from tidemark.session import checkpointed
 
+#: Files of a feed that are ordered in one task.
+BLOCK_FILES = 4096
 # Other names under which producers land the declared columns.
 ALIASES = {
     "symbol": ["ticker"],
@@ -63,10 +64,12 @@ def file_catalogue(landed: DataFrame) -> DataFrame:
     records are JSON, so it is gathered in one pass and a partial aggregate. A
     file whose values are of several kinds gets the widest (string, array,
     object, decimal, integer, boolean). Payloads that are no JSON object, null
-    or have a key twice show no fields.
+    or have a key twice show no fields; they leave a row without a field, so
+    that every file is there.
     """
-    rows = landed.select("feed", "target", "file_id", "landed_at", F.try_parse_json("payload").alias("doc")).where("feed IS NOT NULL AND file_id IS NOT NULL AND schema_of_variant(doc) LIKE 'OBJECT%'")
-    fields = rows.lateralJoin(rows.sparkSession.tvf.variant_explode(F.col("doc").outer())).select("feed", "target", "file_id", "landed_at", F.col("key").alias("field"), _kind(F.col("value")).alias("kind"))
+    doc = F.try_parse_json("payload")
+    rows = landed.where("feed IS NOT NULL AND file_id IS NOT NULL").select("feed", "target", "file_id", "landed_at", F.when(F.schema_of_variant(doc).startswith("OBJECT"), doc).alias("doc"))
+    fields = rows.lateralJoin(rows.sparkSession.tvf.variant_explode_outer(F.col("doc").outer())).select("feed", "target", "file_id", "landed_at", F.col("key").alias("field"), _kind(F.col("value")).alias("kind"))
     widest = ["boolean", "integer", "decimal", "object", "array", "string"]
     order = F.lit(None).cast("int")
     for place, name in enumerate(widest):
@@ -80,37 +83,69 @@ def file_catalogue(landed: DataFrame) -> DataFrame:
     return found.select("feed", "target", "file_id", "landed_at", "field", kind.alias("kind"), "records", "filled")
 
 
-def file_sequence(landed: DataFrame) -> DataFrame:
-    """Per feed and file the file before it, by landed_at and file_id: feed, file_id, previous_file."""
-    every = landed.where("feed IS NOT NULL AND file_id IS NOT NULL").groupBy("feed", "file_id").agg(F.min("landed_at").alias("landed_at")).withColumn("block", F.trunc("landed_at", "month"))
-    return previous_row(every, ["feed"], "block", ["landed_at", "file_id"], "file_id", "previous_file").select("feed", "file_id", "previous_file")
+def file_sequence(files: DataFrame) -> DataFrame:
+    """Per feed the files in order of landed_at and file_id: feed, file_id, nth (from 0), last.
 
+    Files are numbered within a day, days are counted up: no task orders all
+    files of a feed.
+    """
+    day = F.coalesce(F.to_date("landed_at"), F.lit("0001-01-01").cast("date")).alias("day")
+    every = files.groupBy("feed", "file_id").agg(F.min("landed_at").alias("landed_at")).select("feed", "file_id", "landed_at", day)
+    within = every.withColumn("within", F.row_number().over(Window.partitionBy("feed", "day").orderBy("landed_at", "file_id")))
+    of_feed = Window.partitionBy("feed")
+    days = every.groupBy("feed", "day").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(of_feed.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    days = days.select("feed", "day", before.alias("before"), (F.sum("n").over(of_feed) - 1).alias("last"))
+    return within.join(days, ["feed", "day"]).select("feed", "file_id", (F.col("before") + F.col("within") - 1).alias("nth"), "last")
+
+
+def _blocks(nth: str = "nth") -> Column:
+    return F.expr(f"{nth} div {BLOCK_FILES}")
 
-def field_lifespans(landed: DataFrame) -> DataFrame:
-    """The catalogue with, per field and file, the file before and the kind as carried on.
 
-    Added columns: ``canonical``, ``previous_file`` of the feed (by landed_at, then
-    file_id), ``continued`` (the field was in that file too), ``carried`` (the last
-    kind of the column, through all-null files and renames, since it appeared).
+def carried_kinds(placed: DataFrame) -> DataFrame:
+    """Adds ``carried``: the last kind of the column, through all-null files and renames, since it appeared.
+
+    Within blocks of files by a window; the state at the end of a block, a row
+    for each, is handed on to the next.
     """
-    # Payloads are read once; what is known of the files is small and kept.
-    catalogue = checkpointed(file_catalogue(landed)).withColumn("canonical", canonical_field(F.col("field"))).withColumn("block", F.trunc("landed_at", "month"))
-    files = file_sequence(landed)
-    placed = catalogue.join(files, ["feed", "file_id"])
-    before = catalogue.select("feed", F.col("file_id").alias("previous_file"), "field", F.lit(True).alias("continued"))
-    column_before = catalogue.select("feed", F.col("file_id").alias("previous_file"), "canonical").distinct().withColumn("chained", F.lit(True))
-    linked = placed.join(before, ["feed", "previous_file", "field"], "left").join(column_before, ["feed", "previous_file", "canonical"], "left")
+    keys = ["feed", "canonical", "block"]
+    inside = Window.partitionBy(*keys).orderBy("nth", "field")
     # '' marks where a column appears, so that no kind is carried over a removal.
-    marked = linked.withColumn("mark", F.coalesce("kind", F.when(F.col("chained").isNull(), F.lit(""))))
-    carried = last_known(marked, ["feed", "canonical"], "block", ["landed_at", "file_id", "field"], "mark", "carried")
-    return carried.select(*placed.columns, F.coalesce("continued", F.lit(False)).alias("continued"), F.expr("nullif(carried, '')").alias("carried"))
+    mark = F.coalesce("kind", F.when(F.lag("nth").over(inside) < F.col("nth") - 1, F.lit("")))
+    own = placed.withColumn("block", _blocks()).withColumn("mark", mark).withColumn("own", F.last("mark", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    ends = own.groupBy(*keys).agg(F.min("nth").alias("first"), F.max("nth").alias("end"), F.max_by("own", F.struct("nth", "field")).alias("state"))
+    blocks = Window.partitionBy("feed", "canonical").orderBy("block")
+    entered = ends.withColumn("state", F.when(F.lag("end").over(blocks) == F.col("first") - 1, F.lag("state").over(blocks)).otherwise(F.lit("")))
+    entered = entered.select(*keys, F.last("state", ignorenulls=True).over(blocks.rowsBetween(Window.unboundedPreceding, 0)).alias("entered"))
+    return own.join(entered, keys).withColumn("carried", F.nullif(F.coalesce("own", "entered"), F.lit(""))).select(*placed.columns, "carried")
+
+
+def field_lifespans(catalogue: DataFrame, files: DataFrame) -> DataFrame:
+    """The catalogue (see ``file_catalogue``, ``file_sequence``) as islands: per producer, field and kind, runs of consecutive files.
+
+    Columns: feed, file_id, nth, field, canonical, kind, carried, last, and
+    ``before`` and ``after``: the carried kind (or '' for none) of the same field
+    in the file before and in the one after, null where the field is not there. An
+    island of a field starts where ``before`` is null and ends where ``after``
+    is; one of a kind also where they differ. Both come from lag and lead within
+    blocks of files; the rows at a block's edge are in both blocks.
+    """
+    fields = catalogue.where("field IS NOT NULL").withColumn("canonical", canonical_field(F.col("field")))
+    placed = carried_kinds(fields.join(files, ["feed", "file_id"]).select("feed", "file_id", "nth", "last", "field", "canonical", "kind"))
+    at = F.array(*[F.expr(f"(nth + {d}) div {BLOCK_FILES}") for d in (-1, 0, 1)])
+    spread = placed.select("*", _blocks().alias("own_block"), F.explode(F.array_distinct(at)).alias("block"))
+    order = Window.partitionBy("feed", "field", "block").orderBy("nth")
+    beside = lambda f, d: F.when(f("nth").over(order) == F.col("nth") + d, F.coalesce(f("carried").over(order), F.lit("")))
+    linked = spread.select("*", beside(F.lag, -1).alias("before"), beside(F.lead, 1).alias("after"))
+    return linked.where("block = own_block").select("feed", "file_id", "nth", "last", "field", "canonical", "kind", "carried", "before", "after")
 
 
 def schema_changes(landed: DataFrame) -> DataFrame:
     """Every change of a file against the previous file of its feed.
 
     Columns: feed, file_id, change (added, removed, renamed, retyped), old_field,
-    new_field, old_kind, new_kind. Fields that end in a file and fields that
+    new_field, old_kind, new_kind. Islands that end in a file and islands that
     start in it are paired as renamed where the alias table gives them the same
     column and their kinds agree (a field without a kind agrees with any).
 
@@ -119,39 +154,44 @@ def schema_changes(landed: DataFrame) -> DataFrame:
     several names of one column end or start at once, they pair in the order of
     names; the rest are added or removed.
     """
-    spans = checkpointed(field_lifespans(landed))
-    nexts = file_sequence(landed).where("previous_file IS NOT NULL").select("feed", F.col("file_id").alias("next_file"), F.col("previous_file").alias("file_id"))
-    starts = spans.where("previous_file IS NOT NULL AND NOT continued").select("feed", "file_id", "canonical", F.col("field").alias("new_field"), F.col("kind").alias("new_kind"))
-    here = spans.select("feed", F.col("file_id").alias("next_file"), "field", F.lit(True).alias("stays"))
-    ends = (
-        spans.join(nexts, ["feed", "file_id"])
-        .join(here, ["feed", "next_file", "field"], "left")
-        .where("stays IS NULL")
-        .select("feed", F.col("next_file").alias("file_id"), "canonical", F.col("field").alias("old_field"), F.col("carried").alias("old_kind"))
-    )
-    keys = ["feed", "file_id", "canonical"]
-    place = lambda f: F.row_number().over(Window.partitionBy(*keys).orderBy(f))
-    pairs = ends.withColumn("nth", place("old_field")).join(starts.withColumn("nth", place("new_field")), [*keys, "nth"], "full_outer")
-    same = F.coalesce(F.col("old_kind") == F.col("new_kind"), F.lit(True))
-    renamed = F.col("old_field").isNotNull() & F.col("new_field").isNotNull() & same
-    as_rows = F.when(renamed, F.array(F.struct(F.lit("renamed").alias("change"), "old_field", "new_field"))).otherwise(
-        F.filter(
-            F.array(
-                F.struct(F.lit("removed").alias("change"), "old_field", F.lit("").alias("new_field")),
-                F.struct(F.lit("added").alias("change"), F.lit("").alias("old_field"), "new_field"),
-            ),
-            lambda s: s["old_field"].isNotNull() & s["new_field"].isNotNull(),
+    # Payloads are read once; what is known of the files is small and kept.
+    catalogue = checkpointed(file_catalogue(landed))
+    files = file_sequence(catalogue)
+    spans = field_lifespans(catalogue, files)
+    event = lambda change, nth, kind: F.struct(F.lit(change).alias("change"), nth.alias("nth"), kind.alias("kind"))
+    retyped = (F.col("before") != "") & F.col("carried").isNotNull() & (F.col("before") != F.col("carried"))
+    log = F.array_compact(
+        F.array(
+            F.when(F.col("before").isNull() & (F.col("nth") > 0), event("start", F.col("nth"), F.col("kind"))),
+            F.when(F.col("after").isNull() & (F.col("nth") < F.col("last")), event("end", F.col("nth") + 1, F.col("carried"))),
+            F.when(retyped, event("retyped", F.col("nth"), F.col("carried"))),
         )
     )
-    moved = pairs.select("feed", "file_id", "old_kind", "new_kind", F.inline(as_rows))
-    old = spans.select("feed", F.col("file_id").alias("previous_file"), "field", F.col("carried").alias("old_kind"))
-    retyped = (
-        spans.where("continued")
-        .join(old, ["feed", "previous_file", "field"])
-        .where("carried != old_kind")
-        .select("feed", "file_id", F.lit("retyped").alias("change"), F.col("field").alias("old_field"), F.col("field").alias("new_field"), "old_kind", F.col("carried").alias("new_kind"))
-    )
-    return moved.unionByName(retyped).select("feed", "file_id", "change", "old_field", "new_field", "old_kind", "new_kind")
+    logged = spans.select("feed", "canonical", "field", "before", F.inline(log))
+    side = lambda change: F.sort_array(F.collect_list(F.when(F.col("change") == change, F.struct("field", "kind", F.col("before").alias("was")))))
+    # A column has few names, so few of its fields start or end in one file.
+    met = logged.groupBy("feed", "nth", "canonical").agg(side("start").alias("new"), side("end").alias("old"), side("retyped").alias("retyped"))
+    pairs = F.arrays_zip("old", "new")
+    change = lambda name, old, new, old_kind, new_kind: F.struct(F.lit(name).alias("change"), old.alias("old_field"), new.alias("new_field"), old_kind.alias("old_kind"), new_kind.alias("new_kind"))
+    none, empty = F.lit(None).cast("string"), F.lit("")
+
+    def of_pair(p: Column) -> Column:
+        old, new = p["old"], p["new"]
+        same = F.coalesce(old["kind"] == new["kind"], F.lit(True))
+        renamed = old.isNotNull() & new.isNotNull() & same
+        return F.when(renamed, F.array(change("renamed", old["field"], new["field"], old["kind"], new["kind"]))).otherwise(
+            F.array_compact(
+                F.array(
+                    F.when(old.isNotNull(), change("removed", old["field"], empty, old["kind"], none)),
+                    F.when(new.isNotNull(), change("added", empty, new["field"], none, new["kind"])),
+                )
+            )
+        )
+
+    moved = F.flatten(F.transform(pairs, of_pair))
+    kept = F.transform("retyped", lambda r: change("retyped", r["field"], r["field"], r["was"], r["kind"]))
+    changes = met.select("feed", "nth", F.inline(F.concat(moved, kept)))
+    return changes.join(files.select("feed", "nth", "file_id"), ["feed", "nth"]).select("feed", "file_id", "change", "old_field", "new_field", "old_kind", "new_kind")
 
 
 def _epoch(number: Column) -> Column:
@@ -187,20 +227,20 @@ def unify(landed: DataFrame, target: str) -> DataFrame:
     where a value was present but could not be cast (null if there is none), so
     a spelling that is not known differs from a missing value.
     """
-    rows = landed.where((F.col("target") == target) & F.col("file_id").isNotNull()).select("feed", "file_id", "line_no", "landed_at", "payload").dropDuplicates(["feed", "file_id", "line_no", "payload"])
+    rows = landed.where((F.col("target") == target) & F.col("file_id").isNotNull()).select("feed", "file_id", "line_no", "landed_at", "payload").dropDuplicates(["feed", "file_id", "line_no", "payload"]).withColumn("doc", F.from_json("payload", "map<string,string>"))
     columns = []
     failed = []
     known = []
     for name, kind in TARGETS[target].items():
         names = [name, *ALIASES.get(name, [])]
         known += names
-        landed_text = text = F.coalesce(*[F.get_json_object("payload", f"$.{n}") for n in names])
+        landed_text = text = F.coalesce(*[F.col("doc")[n] for n in names])
         if name == "dataset":
             text = F.when(text.startswith("["), F.array_join(F.from_json(text, "array<string>"), ",")).otherwise(text)
         value = _cast(text, kind)
         columns.append(value.alias(name))
         failed.append(F.when(landed_text.isNotNull() & value.isNull(), F.struct(F.lit(name), landed_text)))
-    extras = F.map_filter(F.from_json("payload", "map<string,string>"), lambda k, v: ~k.isin(known))
+    extras = F.map_filter("doc", lambda k, v: ~k.isin(known))
     uncast = F.map_from_entries(F.array_compact(F.array(*failed)))
     return rows.select("feed", "file_id", "line_no", *columns, F.when(F.size(extras) > 0, F.to_json(extras)).alias("extras"), F.when(F.size(uncast) > 0, uncast).alias("uncast"))
 
