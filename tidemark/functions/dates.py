@@ -59,10 +59,23 @@ def trading_days(spark: SparkSession, first: str, last: str) -> DataFrame:
     return days.join(holiday_table(spark, int(first[:4]), int(last[:4])), "day", "left_anti")
 
 
-def futures_expiration(month: Column) -> Column:
-    """Thirty days before the third Friday of the next month (holidays not considered)."""
-    following = F.add_months(F.trunc(month, "MM"), 1)
-    return F.date_sub(F.date_add(F.next_day(F.date_sub(following, 1), "Fri"), 14), 30)
+def futures_expirations(spark: SparkSession, first: str, last: str) -> DataFrame:
+    """Month and settlement day of each volatility future whose month lies in [first, last].
+
+    Thirty days before the third Friday of the next month. If that Friday or the
+    day counted back to is no trading day, the one before it is taken.
+    """
+    months = spark.range(1).select(F.explode(F.sequence(F.trunc(F.lit(first).cast("date"), "MM"), F.lit(last).cast("date"), F.expr("interval 1 month"))).alias("month"))
+    sessions = trading_days(spark, f"{int(first[:4]) - 1}-01-01", f"{int(last[:4]) + 1}-12-31").select(F.col("day").alias("_s"))
+    friday = F.date_add(F.next_day(F.date_sub(F.add_months("month", 1), 1), "Fri"), 14)
+
+    def session_at(df: DataFrame, name: str) -> DataFrame:
+        """The last session at or before a day; no two sessions are more than four days apart."""
+        near = df.join(sessions, F.col("_s").between(F.date_sub(name, 4), F.col(name)))
+        return near.groupBy(*df.columns).agg(F.max("_s").alias("_at")).drop(name).withColumnRenamed("_at", name)
+
+    settled = session_at(months.withColumn("friday", friday), "friday").select("month", F.date_sub("friday", 30).alias("expires"))
+    return session_at(settled, "expires")
 
 
 def plus_business_days(day: Column, n: int) -> Column:

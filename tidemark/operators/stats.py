@@ -65,3 +65,33 @@ def rotating_slice(df: DataFrame, order: str, offset: int, size: int) -> DataFra
     """``size`` rows of a small sorted list, beginning at ``offset`` and wrapping round."""
     ranked = df.withColumn("_at", F.row_number().over(Window.orderBy(order)) - 1).withColumn("_n", F.count("*").over(Window.partitionBy()))
     return ranked.where(F.pmod(F.col("_at") - F.lit(offset), F.col("_n")) < size).drop("_at", "_n")
+
+
+def threshold_report(minutes: DataFrame, key: str, day: str, amount: str, bars_a_day: int) -> DataFrame:
+    """Per key the threshold that gives so many bars on an average day, and what it costs.
+
+    Columns: threshold, daily (mean total), median_minute, max_minute,
+    typical_overshoot and open_overshoot (per cent of a bar, half of a minute's
+    amount on average) and exceeds (a minute alone fills a bar).
+    """
+    daily = minutes.groupBy(key, day).agg(F.sum(amount).alias("_t")).groupBy(key).agg(F.avg("_t").alias("daily"))
+    single = minutes.groupBy(key).agg(F.median(amount).alias("median_minute"), F.max(amount).alias("max_minute"))
+    joined = daily.join(single, key).withColumn("threshold", F.col("daily") / max(bars_a_day, 1))
+    over = lambda c: 100 * F.col(c) / (2 * F.col("threshold"))
+    return joined.withColumn("typical_overshoot", over("median_minute")).withColumn("open_overshoot", over("max_minute")).withColumn("exceeds", F.col("max_minute") >= F.col("threshold"))
+
+
+def last_complete_day(df: DataFrame, day: str, value: str, days: int = 30, share: float = 0.9) -> DataFrame:
+    """The latest of the last ``days`` days on which at least ``share`` of the greatest number of values is there: session."""
+    counts = df.groupBy(day).agg(F.count(value).alias("_n")).orderBy(F.desc(day)).limit(days)
+    most = counts.agg(F.max("_n").alias("_most"))
+    return counts.crossJoin(most).agg(F.max(F.when(F.col("_n") >= share * F.col("_most"), F.col(day))).alias("session"))  # one row
+
+
+def against_last(df: DataFrame, key: str, order: str, value: str, n: int) -> DataFrame:
+    """Rows with ``usual``, the median of the ``n`` values before, where there are any."""
+    before = F.collect_list(value).over(Window.partitionBy(key).orderBy(order).rowsBetween(-n, -1))
+    held = F.sort_array(before)
+    size = F.size(held)
+    middle = (F.get(held, F.floor((size - 1) / 2).cast("int")) + F.get(held, F.floor(size / 2).cast("int"))) / 2
+    return df.withColumn("_held", held).where(F.size("_held") > 0).withColumn("usual", middle).drop("_held")

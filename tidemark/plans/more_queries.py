@@ -55,15 +55,6 @@ def pf09_known_by(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "earnings_releases").where(known).select(canonical(F.col("symbol")).alias("symbol"), "release_id").distinct()
 
 
-
-
-@C.add(f"""WITH {MEMBERS_SQL}, n AS (SELECT DISTINCT symbol, company_name FROM members WHERE company_name IS NOT NULL), c AS (SELECT company_name, count(*) AS namesakes FROM n GROUP BY 1) SELECT symbol, company_name, namesakes FROM n JOIN c USING (company_name)""")
-def jn14_name_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each symbol with its company's name and how many symbols go by that name."""
-    n = members(spark, sf_dir).where("company_name IS NOT NULL").select("symbol", "company_name").distinct()
-    return n.join(n.groupBy("company_name").agg(F.count("*").alias("namesakes")), "company_name").select("symbol", "company_name", "namesakes")
-
-
 @C.add("SELECT n_name, count(c_custkey) AS customers, coalesce(max(s.n), 0) AS suppliers FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey LEFT JOIN (SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY 1) s ON s_nationkey = n_nationkey GROUP BY 1")
 def jn20_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count("*").alias("customers"))

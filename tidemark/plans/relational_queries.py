@@ -148,17 +148,6 @@ def ag06_first_and_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars(spark, sf_dir).groupBy("symbol").agg(F.min("date").alias("first_day"), F.max("date").alias("last_day"), F.count("*").alias("n"))
 
 
-@C.add("""SELECT l_suppkey, round(sum(l_quantity) FILTER (WHERE l_linestatus = 'F'), 2) AS put_volume, round(sum(l_quantity) FILTER (WHERE l_linestatus = 'O'), 2) AS call_volume,
-round(sum(l_quantity) FILTER (WHERE l_linestatus = 'F') / nullif(sum(l_quantity) FILTER (WHERE l_linestatus = 'O'), 0), 6) AS put_call, count(*) AS contracts, count(DISTINCT l_partkey) AS expirations,
-arg_min(l_extendedprice, (l_orderkey, l_linenumber)) AS first_spot FROM lineitem GROUP BY 1""")
-def ag07_two_sided_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    side = lambda s: F.sum(F.when(F.col("l_linestatus") == s, F.col("l_quantity")))
-    return lineitem(spark, sf_dir).groupBy("l_suppkey").agg(
-        F.round(side("F"), 2).alias("put_volume"), F.round(side("O"), 2).alias("call_volume"), F.round(F.try_divide(side("F"), side("O")), 6).alias("put_call"),
-        F.count("*").alias("contracts"), F.countDistinct("l_partkey").alias("expirations"), F.min_by("l_extendedprice", F.struct("l_orderkey", "l_linenumber")).alias("first_spot"),
-    )
-
-
 @C.add("SELECT o_orderpriority, median(o_totalprice) AS middle, median(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END) AS middle_f FROM orders GROUP BY 1")
 def ag08_filtered_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.median("o_totalprice").alias("middle"), F.median(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))).alias("middle_f"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.operators import contracts
 from tidemark.functions import dates, options, text
 from tidemark.functions.symbols import canonical
 from tidemark.plans.pit_queries import bars
@@ -29,10 +30,11 @@ def fn03_index_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "region").select("r_name", text.index_symbol(F.col("r_name")).alias("index_name"))
 
 
-_ENDINGS = "|".join(text.COMPANY_ENDINGS)
+#: ``company_stem`` in SQL.
+STEM_SQL = r"regexp_replace(regexp_replace(upper(regexp_replace({0}, '^\s+|\s+$', '', 'g')), '" + text.ending_pattern() + r"', ''), '^[ ,.&-]+|[ ,.&-]+$', '', 'g')"
 
 
-@C.add(rf"""SELECT DISTINCT company_name, regexp_replace(regexp_replace(upper(trim(company_name, ' ')), '(?:[\s,.&-]+(?:{_ENDINGS})\b\.?)+[\s,.&-]*$', ''), '^[\s,.&-]+|[\s,.&-]+$', '', 'g') AS stem FROM membership WHERE company_name IS NOT NULL""")
+@C.add(f"SELECT DISTINCT company_name, {STEM_SQL.format('company_name')} AS stem FROM membership WHERE company_name IS NOT NULL")
 def fn05_company_stems(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = table(spark, sf_dir, "membership").select("company_name").where("company_name IS NOT NULL").distinct()
     return names.select("company_name", text.company_stem(F.col("company_name")).alias("stem"))
@@ -59,15 +61,18 @@ def fn08_sides_and_underlyings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", side.alias("side"), F.nullif(F.regexp_extract(t, r"\(([A-Z]{1,5})\)", 1), F.lit("")).alias("underlying"))
 
 
-@C.add(r"SELECT doc_id, length(trim(regexp_replace(regexp_replace(text, '<[^>]+>', chr(10), 'g'), '\s*\n\s*', chr(10), 'g'), ' ')) >= 0 AS ok FROM documents WHERE text IS NOT NULL")
+_PAGE = "'<html><head><style>p {x}</style></head><p>part ' || p_partkey || '</p><div style=\"color: red; display: none\"><div>secret</div> more</div><b>' || p_name || '</b> &amp; <ix:header><p>facts</p></ix:header>' || p_brand || '<br/>end</html>'"
+
+
+@C.add(f"SELECT p_partkey, 'part ' || p_partkey || chr(10) || p_name || chr(10) || '&' || chr(10) || p_brand || chr(10) || 'end' AS plain FROM part")
 def fn10_plain_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Markup off every text; the SQL only counts the rows, the rules are tested on fixtures."""
-    return table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", (F.length(text.plain_text(F.col("text"))) >= 0).alias("ok"))
+    """The visible text of pages made from part rows, with nested hidden parts."""
+    return table(spark, sf_dir, "part").select("p_partkey", text.plain_text(F.expr(_PAGE)).alias("plain"))
 
 
 @C.add()
 def fn10_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The texts of fn10_plain_text themselves, without SQL: DuckDB has no such rules."""
+    """The visible text of every document, without SQL: DuckDB has no such rules."""
     return table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", text.plain_text(F.col("text")).alias("plain"))
 
 
@@ -136,10 +141,13 @@ def fn19_trading_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.agg(F.count("*").alias("sessions_2024"), F.max(F.when(F.col("day") < "2024-03-31", F.col("day"))).alias("before_easter"))
 
 
-@C.add("SELECT * FROM (VALUES (date '2025-01-01', date '2025-01-22'), (date '2025-02-01', date '2025-02-19'), (date '2025-04-01', date '2025-04-16')) t(month, expires)")
+# Third Fridays, and days thirty before one, that were no sessions; all others from 2015 to 2026 were.
+@C.add("""WITH m AS (SELECT unnest(generate_series(timestamp '2015-01-01', timestamp '2026-12-01', interval 1 month))::date AS month),
+f AS (SELECT month, n + ((5 - isodow(n) + 7) % 7)::int + 14 AS friday FROM (SELECT month, (month + interval 1 month)::date AS n FROM m)),
+g AS (SELECT month, CASE WHEN friday IN (date '2019-04-19', date '2022-04-15', date '2025-04-18', date '2026-06-19') THEN friday - 1 ELSE friday END - 30 AS day FROM f)
+SELECT month, CASE WHEN day IN (date '2024-06-19') THEN day - 1 ELSE day END AS expires FROM g""")
 def fn20_futures_expirations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([("2025-01-01",), ("2025-02-01",), ("2025-04-01",)], "m string").select(F.col("m").cast("date").alias("month"))
-    return rows.select("month", dates.futures_expiration(F.col("month")).alias("expires"))
+    return dates.futures_expirations(spark, "2015-01-01", "2026-12-01")
 
 
 @C.add("SELECT o_orderkey, o_orderdate::date AS day, (CASE isodow(d) WHEN 4 THEN d + 4 WHEN 5 THEN d + 4 WHEN 6 THEN d + 3 WHEN 7 THEN d + 2 ELSE d + 2 END)::date AS later FROM (SELECT *, o_orderdate::date AS d FROM orders)")
@@ -155,14 +163,14 @@ def fn22_entry_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dates.entry_session(e, "ts", dates.trading_days(spark, "2023-12-20", "2024-02-10"), "day").select("event_id", "entry")
 
 
-@C.add("""SELECT l_orderkey, l_linenumber, round(CASE WHEN x <= 0.25 THEN 0.05 WHEN x <= 2 THEN 0.05 + (x - 0.25) / 1.75 * -0.01 WHEN x <= 10 THEN 0.04 + (x - 2) / 8 * 0.005 ELSE 0.045 END, 8) AS rate FROM (SELECT *, l_quantity / 4 AS x FROM lineitem)""")
+@C.add("""WITH c AS (SELECT s_nationkey / 4.0::double AS m, avg(s_acctbal) / 1e5 AS r FROM supplier GROUP BY 1), x AS (SELECT l_orderkey, l_linenumber, l_quantity / 4 - 1 AS x FROM lineitem),
+p AS (SELECT m, r, lead(m) OVER (ORDER BY m) AS m2, lead(r) OVER (ORDER BY m) AS r2 FROM c), e AS (SELECT min(m) AS lo, max(m) AS hi, arg_min(r, m) AS rlo, arg_max(r, m) AS rhi FROM c)
+SELECT l_orderkey, l_linenumber, round(CASE WHEN x <= lo THEN rlo WHEN x >= hi THEN rhi ELSE r + (x - m) / (m2 - m) * (r2 - r) END, 8) AS rate FROM x CROSS JOIN e LEFT JOIN p ON x >= m AND x < m2""")
 def fn23_interpolated_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A rate from a curve of three points, flat beyond its ends."""
-    x, out = F.col("l_quantity") / 4, F.lit(0.045)
-    curve = [(0.25, 0.05), (2.0, 0.04), (10.0, 0.045)]
-    for (x0, y0), (x1, y1) in reversed(list(zip(curve, curve[1:], strict=False))):
-        out = F.when(x <= x1, y0 + (x - x0) / (x1 - x0) * (y1 - y0)).otherwise(out)
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.round(F.when(x <= 0.25, 0.05).otherwise(out), 8).alias("rate"))
+    """Rates from a curve table (here mean balances by nation), flat beyond its ends."""
+    curve = table(spark, sf_dir, "supplier").groupBy((F.col("s_nationkey") / 4.0).alias("m")).agg((F.avg("s_acctbal") / 1e5).alias("r"))
+    l = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_quantity") / 4 - 1).alias("x"))  # noqa: E741
+    return contracts.with_curve_rate(l, "x", curve, "m", "r", 0.04).select("l_orderkey", "l_linenumber", F.round("rate", 8).alias("rate"))
 
 
 @C.add()
