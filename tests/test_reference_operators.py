@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, options, text
-from tidemark.operators import bars, orderbook, pit, quarters, writer
+from tidemark.operators import bars, contracts, matching, orderbook, pit, quarters, writer
 from tidemark.plans import scalar_queries
 from tidemark.sources.lake import Lake
 from tidemark.streaming import streams
@@ -18,59 +18,156 @@ DAY = date(2024, 3, 4)
 
 
 def test_option_values():
-    call, put = options.price(100, 100, 1, 0.05, 0, 0.2, [True, False])
-    assert abs(call - 10.4506) < 1e-4 and abs(put - 5.5735) < 1e-4
-    k = np.array([90, 100, 110] * 8, float)
-    v = np.repeat([0.12, 0.25, 0.45, 0.8], 6)
-    c = np.tile([True] * 3 + [False] * 3, 4)
-    value = options.price(100, k, 0.5, 0.045, 0.015, v, c)
-    assert np.abs(options.implied_volatility(100, k, 0.5, 0.045, 0.015, value, c) - v).max() < 1e-5
-    assert np.isnan(options.implied_volatility(100, 100, 1, 0.05, 0, 1e-4, True))
-    g, h = options.greeks(100.0, 95.0, 0.7, 0.03, 0.01, 0.3, True), 1e-4
-    slope = lambda f: (f(h) - f(-h)) / (2 * h)
-    assert abs(g["delta"] - slope(lambda d: options.price(100 + d, 95, 0.7, 0.03, 0.01, 0.3, True))) < 1e-6
-    assert abs(g["vega"] * 100 - slope(lambda d: options.price(100, 95, 0.7, 0.03, 0.01, 0.3 + d, True))) < 1e-5
-    assert abs(g["theta"] * 365 + slope(lambda d: options.price(100, 95, 0.7 + d, 0.03, 0.01, 0.3, True))) < 1e-5
+    """Put-call parity, the way back from price to volatility, and sensitivities as slopes."""
+    rng = np.random.default_rng(1)
+    n = 400
+    spot, strike, years, rate, dividend, vol = (rng.uniform(a, b, n) for a, b in ((40, 160), (50, 150), (0.2, 2), (0, 0.08), (0, 0.05), (0.15, 0.9)))
+    call, put = options.price(spot, strike, years, rate, dividend, vol, True), options.price(spot, strike, years, rate, dividend, vol, False)
+    assert np.abs(call - put - spot * np.exp(-dividend * years) + strike * np.exp(-rate * years)).max() < 1e-10
+    seen = options.greeks(spot, strike, years, rate, dividend, vol, True)["vega"] > 0.02
+    assert np.abs(options.implied_volatility(spot, strike, years, rate, dividend, call, True) - vol)[seen].max() < 1e-4
+    assert np.isnan(options.implied_volatility(spot, strike, years, rate, dividend, spot * 2, True)).all()
+    h = 1e-4
+    for is_call in (True, False):
+        g = options.greeks(spot, strike, years, rate, dividend, vol, is_call)
+        p = lambda s=0.0, t=0.0, r=0.0, v=0.0: options.price(spot + s, strike, years + t, rate + r, dividend, vol + v, is_call)  # noqa: B023, E731
+        for name, up, down, scale in (("delta", p(s=h), p(s=-h), 1), ("vega", p(v=h), p(v=-h), 100), ("theta", p(t=-h), p(t=h), 365), ("rho", p(r=h), p(r=-h), 100)):
+            assert np.abs((up - down) / (2 * h) / scale - g[name]).max() < 1e-4
+
+
+def test_analysed_contracts_price_back(spark):
+    """What is solved prices back to the quote; each fault of a quote is told."""
+    rows = [
+        ("fair", 50.0, 52.0, 0.4, 2.9, 3.1, None, True), ("no bid", 50.0, 52.0, 0.4, 0.0, 3.0, None, True), ("only last", 50.0, 52.0, 0.4, None, None, 2.5, False), ("nothing", 50.0, 52.0, 0.4, None, float("nan"), None, True),
+        ("crossed", 50.0, 52.0, 0.4, 3.2, 3.0, None, True), ("wide", 50.0, 52.0, 0.4, 1.0, 3.0, None, True), ("below", 90.0, 52.0, 0.4, 30.0, 31.0, None, True), ("past", 50.0, 52.0, 0.0, 2.0, 2.1, None, True),
+        ("no spot", None, 52.0, 0.4, 2.0, 2.1, None, True), ("deep", 90.0, 52.0, 0.4, 38.9, 39.1, None, True), ("too dear", 50.0, 52.0, 0.4, 49.0, 51.5, None, True),
+    ]
+    df = spark.createDataFrame(rows, "id string, spot double, strike double, years double, bid double, ask double, last double, is_call boolean").withColumns({"rate": F.lit(0.03), "q": F.lit(0.01)})
+    got = {r.id: r for r in contracts.analyse_contracts(df, "spot", "strike", "years", "rate", "q", "bid", "ask", "last", "is_call").collect()}
+    labels = {k: r.quality_flags for k, r in got.items()}
+    assert labels == {
+        "fair": "ok", "no bid": "zero_bid", "only last": "zero_bid", "nothing": "bad_input", "crossed": "crossed_market", "wide": "wide_spread", "below": "below_intrinsic|deep_itm", "past": "expired",
+        "no spot": "bad_input", "deep": "deep_itm", "too dear": "no_solution",
+    }
+    assert {k for k, r in got.items() if r.iv_usable} == {"fair", "deep"}
+    for k in ("fair", "deep"):
+        r = got[k]
+        assert abs(options.price(r.spot, r.strike, r.years, r.rate, r.q, r.iv, r.is_call) - r.mid_price) < 1e-4 and r.iv_uncertainty > 0
+    assert got["no bid"].mid_price == 1.5 and got["no bid"].delta is None and got["nothing"].mid_price is None
 
 
 def test_threshold_bars(spark):
     at = datetime(2024, 3, 4, 14, 30)
-    rows = [("A", DAY, at + timedelta(minutes=i), 100 + i / 100, 5000 if i == 9 else 1000) for i in range(390)] + [("B", DAY, at + timedelta(minutes=i), 1.0, 1000) for i in range(25)]
-    df = spark.createDataFrame(rows, "symbol string, session date, at timestamp, close double, volume long")
-    out = bars.threshold_bars(df, ["symbol", "session"], ["at"], "close", "volume", 10_000).collect()
-    a, b = ([r for r in out if r.symbol == s] for s in "AB")
-    assert a[0].volume == 14_000 and all(r.rows == 10 for r in a[:39]) and sum(r.complete for r in a) == 39  # what goes over is lost
-    assert [r.complete for r in sorted(b, key=lambda r: r.bar)] == [True, True, False] and sum(r.volume for r in b) == 25_000
+    amounts = [700, 300, 650, 4000, 100, 200, 700, 1, 2]  # 1000, then 4650 (what goes over is lost), 1000, and a rest of 3
+    rows = [("A", DAY, at + timedelta(minutes=i), 50 - i, v) for i, v in enumerate(amounts)] + [("B", DAY, at, 7.0, 999), ("C", DAY, at, 7.0, 1000), ("C", DAY, at + timedelta(minutes=1), 8.0, None)]
+    df = spark.createDataFrame([(s, d, t, float(p), v) for s, d, t, p, v in rows], "symbol string, session date, at timestamp, close double, volume long")
+    out = {(r.symbol, r.bar): (r.rows, r.amount, r.complete, r.open, r.close) for r in bars.threshold_bars(df, ["symbol", "session"], ["at"], "close", "volume", 1_000).collect()}
+    assert out == {
+        ("A", 0): (2, 1000.0, True, 50.0, 49.0), ("A", 1): (2, 4650.0, True, 48.0, 47.0), ("A", 2): (3, 1000.0, True, 46.0, 44.0), ("A", 3): (2, 3.0, False, 43.0, 42.0),
+        ("B", 0): (1, 999.0, False, 7.0, 7.0), ("C", 0): (1, 1000.0, True, 7.0, 7.0), ("C", 1): (1, 0.0, False, 8.0, 8.0),
+    }
 
 
 def test_tick_rule(spark):
-    df = spark.createDataFrame([("A", i, p, 1.0) for i, p in enumerate([100.0, 101.0, 101.0, 99.0, 99.0])], "s string, i int, p double, v double")
-    assert [r.sign for r in bars.signed_volume(df, ["s"], ["i"], "p", "v").orderBy("i").collect()] == [1, 1, 1, -1, -1]
+    df = spark.createDataFrame([("A", i, p, v) for i, (p, v) in enumerate([(7.0, 3.0), (7.0, 1.0), (6.5, 2.0), (6.5, 5.0), (6.8, 1.0), (6.8, 4.0), (6.1, 2.0)])], "s string, i int, p double, v double")
+    got = bars.signed_volume(df, ["s"], ["i"], "p", "v").orderBy("i").collect()
+    assert [r.sign for r in got] == [1, 1, -1, -1, 1, 1, -1] and [r.imbalance for r in got] == [3, 4, 2, -3, -2, 2, 0]
 
 
 def test_quarters_from_year_to_date(spark):
-    ends = [date(2024, 3, 31), date(2024, 6, 30), date(2024, 9, 30), date(2024, 12, 31)]
-    rows = [("A", date(2024, 1, 1), e, v, e + timedelta(46)) for e, v in zip(ends, [10.0, 25.0, 45.0, 70.0])] + [("A", date(2024, 1, 1), ends[0], 99.0, date(2025, 1, 1)), ("A", date(2024, 4, 1), ends[1], 14.0, date(2024, 8, 1))]
+    """A year of facts that run on, one filed again with another value, one missing, and a single quarter beside."""
+    ends = [date(2022, 3, 31), date(2022, 6, 30), date(2022, 9, 30), date(2022, 12, 31)]
+    start, filed = date(2022, 1, 1), [e + timedelta(33) for e in ends]
+    rows = [("A", start, e, v, f) for e, v, f in zip(ends, [8.0, 19.0, 37.0, 64.0], filed, strict=True)] + [("A", start, ends[1], 20.0, filed[3])]
+    rows += [("B", start, ends[0], 5.0, filed[0]), ("B", start, ends[2], 30.0, filed[2]), ("B", date(2022, 10, 1), ends[3], 6.0, filed[3]), ("B", None, ends[3], 1.0, filed[3])]
     out = quarters.quarterly(spark.createDataFrame(rows, "k string, s date, e date, v double, known date"), "k", "s", "e", "v", "known")
-    got = {r.quarter_end: (r.value, r.known) for r in out.collect()}
-    assert [got[e][0] for e in ends] == [10, 15, 20, 25] and got[ends[3]][1] == date(2025, 2, 15)
+    got = {(r.k, r.quarter_end): (r.value, r.known) for r in out.collect()}
+    assert got == {("A", e): (v, f) for e, v, f in zip(ends, [8, 11, 18, 27], filed, strict=True)} | {("B", ends[0]): (5, filed[0]), ("B", ends[3]): (6, filed[3])}
 
 
 def test_ladder_median(spark):
-    rows = [("e", k, p) for k, p in zip([0.1, 0.2, 0.3, 0.4], [0.95, 0.70, 0.30, 0.05])] + [("never", 1.0, 0.9)]
-    out = quarters.ladder_median(spark.createDataFrame(rows, "e string, k double, p double"), "e", "k", "p")
-    got = {r.e: r.median for r in out.collect()}
-    assert abs(got["e"] - 0.25) < 1e-9 and got["never"] is None
+    rows = [("even", k, p) for k, p in ((10.0, 0.9), (20.0, 0.6), (30.0, 0.2))] + [("bumpy", k, p) for k, p in ((1.0, 0.8), (2.0, 0.5), (3.0, 0.6), (4.0, 0.1))] + [("never", 1.0, 0.9), ("below", 1.0, 0.3)]
+    got = {r.e: r.median for r in quarters.ladder_median(spark.createDataFrame(rows, "e string, k double, p double"), "e", "k", "p").collect()}
+    assert abs(got["even"] - 22.5) < 1e-9 and abs(got["bumpy"] - (3 + 0.05 / 0.45)) < 1e-9 and got["never"] is None and got["below"] is None
 
 
 def test_time_weighted_book():
-    second = 1_000_000_000
+    """Spread 2 for 3 s and 4 for 1 s; nothing for the first update, a one-sided book, or the time after the last update."""
+    s = 1_000_000_000
+    messages = [(1, "buy", 20.0, 8), (2, "sell", 22.0, 4), (3, "buy", 19.0, 9), (5, "sell", 22.0, 0), (6, "sell", 24.0, 8), (7, "buy", 18.0, 1), (30, "trade", 21.0, 3), (125, "trade", 21.0, 5)]
     book = orderbook.Book()
-    messages = [(0, "buy", 10.00, 100), (0, "sell", 10.01, 100), (9 * second, "sell", 10.01, 0), (9 * second, "sell", 11.00, 100), (10 * second, "sell", 11.00, 50), (60 * second, "trade", 10.5, 7)]
-    (row,) = orderbook.advance(book, "A", iter(messages))
-    got = dict(zip(orderbook._NAMES, row))
-    assert abs(got["twa_spread"] - 0.109) < 1e-9 and abs(got["quoted_seconds"] - 10) < 1e-9 and got["n_updates"] == 5
-    assert book.trades == 1 and book.minute == 1
+    rows = orderbook.advance(book, "A", *map(list, zip(*[(t * s, *rest) for t, *rest in messages], strict=True)), minutes=[0, 1, 2])
+    first, second = (dict(zip(orderbook._NAMES, r, strict=True)) for r in rows)
+    assert (first["twa_spread"], first["quoted_seconds"], first["n_updates"], first["n_trades"], first["trade_notional"]) == (2.5, 4.0, 6, 1, 63.0)
+    assert abs(first["twa_imbalance"] - (3 * 4 / 12 + 0) / 4) < 1e-12 and (first["best_ask"], first["bid_px_2"], first["bid_sz_3"], first["ask_px_2"]) == (24.0, 19.0, 1.0, None)
+    assert (second["minute"], second["best_bid"], second["n_updates"], second["twa_mid"]) == (1, 20.0, 0, None) and (book.minute, book.trades, book.volume) == (2, 1, 5)
+
+
+def test_book_tops_equal_a_plain_rebuild():
+    rng = np.random.default_rng(4)
+    n = 3000
+    ts = np.sort(rng.integers(0, 20 * orderbook.MINUTE, n)).tolist()
+    sides = rng.choice(["buy", "sell", "trade"], n, p=[0.45, 0.45, 0.1]).tolist()
+    prices = [float(p) for p in np.where(np.array(sides) == "buy", rng.integers(90, 102, n), rng.integers(99, 111, n))]
+    sizes = rng.choice([0, 0, 1, 5], n).tolist()
+    rows = orderbook.advance(orderbook.Book(), "A", ts, sides, prices, sizes)
+    for row in rows:
+        got = dict(zip(orderbook._NAMES, row, strict=True))
+        bids, asks, area, quoted, last = {}, {}, 0.0, 0, None
+        for t, side, price, size in zip(ts, sides, prices, sizes, strict=True):
+            if t // orderbook.MINUTE > got["minute"] or side == "trade":
+                continue
+            if t // orderbook.MINUTE == got["minute"]:
+                if last is not None and bids and asks and max(bids) < min(asks):
+                    area, quoted = area + (min(asks) - max(bids)) * (t - last), quoted + t - last
+                last = t
+            levels = bids if side == "buy" else asks
+            levels[price] = size
+            if not size:
+                del levels[price]
+        assert got["best_bid"] == (max(bids) if bids else None) and got["best_ask"] == (min(asks) if asks else None)
+        assert abs(got["quoted_seconds"] - quoted / 1e9) < 1e-9 and (got["twa_spread"] is None) == (quoted == 0) and (not quoted or abs(got["twa_spread"] - area / quoted) < 1e-9)
+
+
+def test_segments_are_decoded_alike():
+    """Segments of equal messages, read at once, and mixed ones, read one by one."""
+    pack = lambda kind, ts, name, size, price: orderbook.LEVEL_MESSAGE.pack(kind, 0, ts, name.ljust(8).encode(), size, price)
+    block = lambda body: len(body).to_bytes(2, "little") + body
+    head = bytes(orderbook.SEGMENT_HEADER)
+    messages = [pack(k, i, s, i * 3, 10_500 + i) for i, (k, s) in enumerate([(orderbook.BUY, "AB"), (orderbook.TRADE, "AB"), (0x53, "AB"), (orderbook.SELL, "C.D")])]
+    plain, mixed = head + b"".join(map(block, messages)), head + b"".join(map(block, [*messages, b"\x53xyz"]))
+    want = [(0, "AB", "buy", 1.05, 0), (1, "AB", "trade", 1.0501, 3), (3, "C.D", "sell", 1.0503, 9)]
+    for payloads, n in (([plain], 1), ([mixed], 1), ([plain, None, mixed, head, b""], 2)):
+        assert list(zip(*[c.to_pylist() for c in orderbook._columns(payloads)], strict=True)) == want * n
+
+
+def test_claimed_events_by_brute_force(spark):
+    rng = np.random.default_rng(6)
+    periods = [("A", date(2020, 3, 31) + timedelta(int(91 * i + rng.integers(-20, 20))), None if i % 3 else date(2020, 3, 31) + timedelta(91 * i + 45)) for i in range(12)]
+    events = [("A", date(2020, 3, 1) + timedelta(int(d)), int(n)) for n, d in enumerate(rng.integers(0, 1200, 60))] + [("A", None, 99), ("B", date(2020, 1, 1), 5)]
+    got = {(r.close, r.day, r.event) for r in matching.claim_latest(spark.createDataFrame(periods, "k string, close date, filed date"), spark.createDataFrame(events, "k string, day date, event long"), "k", "close", "filed", "day", "event").collect()}
+    left, want = {}, set()
+    for _, d, n in sorted((e for e in events if e[0] == "A" and e[1]), key=lambda e: e[2], reverse=True):
+        left[d] = n
+    for _, close, filed in sorted(periods, key=lambda p: p[1]):
+        fit = [d for d in left if close + timedelta(7) <= d <= min(close + timedelta(75), filed + timedelta(2) if filed else date.max)]
+        if fit:
+            want.add((close, max(fit), left.pop(max(fit))))
+    assert got == want and len(got) > 6
+    none = spark.createDataFrame([], "k string, day date, event long")
+    assert matching.claim_latest(spark.createDataFrame(periods, "k string, close date, filed date"), none, "k", "close", "filed", "day", "event").count() == 0
+
+
+def test_expected_releases(spark):
+    """Three quarters known: the next close is 91 days on; its release comes from the calendar, the one after from the usual lag."""
+    past = [("A", date(2023, 3, 31), date(2023, 4, 20), None), ("A", date(2023, 6, 30), None, date(2023, 7, 30)), ("A", date(2023, 9, 30), date(2023, 10, 25), None), ("B", date(2023, 9, 30), None, None)]
+    calendar = [("A", date(2024, 1, 2)), ("A", date(2024, 1, 29)), ("A", date(2024, 2, 9)), ("C", date(2024, 2, 9))]
+    out = matching.expected_releases(spark.createDataFrame(past, "symbol string, fiscal_close date, release_date date, report_filed date"), spark.createDataFrame(calendar, "symbol string, date date"), "2024-01-05")
+    got = [tuple(r)[1:] for r in out.orderBy("fiscal_close").collect()]
+    assert got == [
+        (date(2023, 3, 31), date(2023, 4, 20), "released"), (date(2023, 6, 30), date(2023, 7, 30), "filed"), (date(2023, 9, 30), date(2023, 10, 25), "released"),
+        (date(2023, 12, 30), date(2024, 1, 29), "calendar"), (date(2024, 3, 29), date(2024, 4, 23), "estimated"),
+    ]
 
 
 def test_batch_books_follow_the_feed(spark):
@@ -145,7 +242,7 @@ def test_plain_texts_are_returned(spark, tmp_path):
     texts = ["<p>Cut&nbsp;rates</p> \n <script>x()</script><b>now</b>", "no  markup", "<div style=\"display: none\">gone</div>", "", None]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r.plain for r in scalar_queries.fn10_texts(spark, str(tmp_path)).collect()}
-    assert got == {0: "Cut&nbsp;rates\nnow", 1: "no markup", 2: "", 3: ""}
+    assert got == {0: "Cut rates\nnow", 1: "no markup", 2: "", 3: ""}
 
 
 def test_streamed_books_equal_the_batch_form(spark, tmp_path):

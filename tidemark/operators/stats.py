@@ -91,7 +91,7 @@ def last_complete_day(df: DataFrame, day: str, value: str, days: int = 30, share
 def against_last(df: DataFrame, key: str, order: str, value: str, n: int) -> DataFrame:
     """Rows with ``usual``, the median of the ``n`` values before, where there are any."""
     before = F.collect_list(value).over(Window.partitionBy(key).orderBy(order).rowsBetween(-n, -1))
-    held = F.sort_array(before)
-    size = F.size(held)
-    middle = (F.get(held, F.floor((size - 1) / 2).cast("int")) + F.get(held, F.floor(size / 2).cast("int"))) / 2
-    return df.withColumn("_held", held).where(F.size("_held") > 0).withColumn("usual", middle).drop("_held")
+    held = df.withColumn("_held", F.sort_array(before)).where(F.size("_held") > 0)
+    size = F.size("_held")
+    middle = (F.get("_held", F.floor((size - 1) / 2).cast("int")) + F.get("_held", F.floor(size / 2).cast("int"))) / 2
+    return held.withColumn("usual", middle).drop("_held")

@@ -162,21 +162,21 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @C.add("SELECT time_bucket(interval 1 hour, ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
-def ss03_streamed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tumbling windows of a stream, run to the end of what is there (own addition)."""
     out = streams.run_to_end(streams.windowed_totals(event_stream(spark, sf_dir), "at", ["event_type"], "value"), "complete")
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", F.round("total", 4).alias("total"))
 
 
 @C.add("SELECT event_id, user_id FROM events")
-def ss04_streamed_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream joined with itself twice over and deduplicated within the watermark (own addition)."""
     s = event_stream(spark, sf_dir)
     return streams.run_to_end(streams.deduplicated(s.unionByName(s), "at", ["event_id"]).select("event_id", "user_id"))
 
 
 @C.add("SELECT e.event_id, o_orderkey FROM events e JOIN orders ON o_custkey = e.user_id AND o_orderstatus = 'O'")
-def ss05_stream_static_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_static_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream rows with the intervals of a static table that cover their day (own addition)."""
     open_ = table(spark, sf_dir, "orders").where("o_orderstatus = 'O'")
     intervals = open_.select(F.col("o_custkey").cast("bigint").alias("user_id"), "o_orderkey", F.col("o_orderdate").cast("date").alias("start_date"), F.lit("9999-12-31").cast("date").alias("end_eff"))
@@ -194,13 +194,60 @@ def book_messages(df: DataFrame) -> DataFrame:
     )
 
 
-@C.add()
-def ss01_book_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Minute snapshots of order books rebuilt per symbol and day (SS01-SS04, HX05, HX06)."""
+def _snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orderbook.minute_snapshots(book_messages(table(spark, sf_dir, "events").withColumn("at", F.col("ts").cast("timestamp"))))
 
 
+# Every level's size after each minute and after each update, by the last message at it.
+_BOOK_SQL = """m AS (SELECT ts::date AS session, epoch_us(ts) * 1000 AS ts, event_id AS seq, 'S' || (user_id % 6) AS symbol, CASE event_type WHEN 'click' THEN 'buy' WHEN 'view' THEN 'sell' ELSE 'trade' END AS side,
+CASE WHEN event_type = 'view' THEN 101 + floor(value / 20) ELSE 100 - floor(value / 20) END AS price, event_id % 50 AS size FROM events WHERE value IS NOT NULL),
+n AS (SELECT *, row_number() OVER (ORDER BY session, symbol, ts, seq) AS pos, ts // 60000000000 AS minute FROM m), lv AS (SELECT DISTINCT session, symbol, side, price FROM n WHERE side <> 'trade'),
+bk AS (SELECT session, symbol, side, price, pos, size FROM n WHERE side <> 'trade')"""
+_ENDS_SQL = """mins AS (SELECT DISTINCT session, minute FROM n), first AS (SELECT session, symbol, min(minute) AS lo FROM n GROUP BY 1, 2),
+ends AS (SELECT f.session, f.symbol, i.minute, (SELECT max(pos) FROM n x WHERE x.session = f.session AND x.symbol = f.symbol AND x.minute <= i.minute) AS pos FROM first f JOIN mins i ON i.session = f.session AND i.minute >= f.lo),
+st AS (SELECT e.session, e.symbol, e.minute, l.side, l.price, b.size FROM ends e JOIN lv l USING (session, symbol) ASOF JOIN bk b ON b.session = e.session AND b.symbol = e.symbol AND b.side = l.side AND b.price = l.price AND b.pos <= e.pos WHERE b.size > 0),
+rk AS (SELECT *, row_number() OVER (PARTITION BY session, symbol, minute, side ORDER BY CASE side WHEN 'buy' THEN -price ELSE price END) AS k FROM st),
+top AS (SELECT session, symbol, minute, max(price) FILTER (WHERE side = 'buy') AS best_bid, min(price) FILTER (WHERE side = 'sell') AS best_ask, coalesce(sum(size) FILTER (WHERE side = 'buy' AND k <= 5), 0) AS bid_depth,
+coalesce(sum(size) FILTER (WHERE side = 'sell' AND k <= 5), 0) AS ask_depth, max(price) FILTER (WHERE side = 'buy' AND k = 2) AS bid_px_2, max(size) FILTER (WHERE side = 'sell' AND k = 1) AS ask_sz_1 FROM rk GROUP BY 1, 2, 3)"""
+
+
+@C.add(f"""WITH {_BOOK_SQL}, {_ENDS_SQL}, c AS (SELECT session, symbol, minute, count(*) FILTER (WHERE side <> 'trade') AS u, count(*) FILTER (WHERE side = 'trade') AS t, coalesce(sum(size) FILTER (WHERE side = 'trade'), 0) AS v,
+coalesce(sum(size * price) FILTER (WHERE side = 'trade'), 0) AS p FROM n GROUP BY 1, 2, 3) SELECT symbol, minute, best_bid, best_ask, bid_depth, ask_depth, bid_px_2, ask_sz_1, coalesce(u, 0) AS n_updates, coalesce(t, 0) AS n_trades,
+coalesce(v, 0)::bigint AS trade_volume, coalesce(p, 0) AS trade_notional FROM top LEFT JOIN c USING (session, symbol, minute)""")
+def ss01_book_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minute snapshots of order books rebuilt per symbol and day, with levels and trades (SS01, SS03, SS04, HX05)."""
+    return _snapshots(spark, sf_dir).select("symbol", "minute", "best_bid", "best_ask", "bid_depth", "ask_depth", "bid_px_2", "ask_sz_1", "n_updates", "n_trades", "trade_volume", "trade_notional")
+
+
+@C.add(f"""WITH {_BOOK_SQL}, ups AS (SELECT session, symbol, minute, pos, ts FROM n WHERE side <> 'trade'), st AS (SELECT e.*, l.side, l.price, b.size FROM ups e JOIN lv l USING (session, symbol)
+ASOF JOIN bk b ON b.session = e.session AND b.symbol = e.symbol AND b.side = l.side AND b.price = l.price AND b.pos <= e.pos WHERE b.size > 0),
+tp AS (SELECT session, symbol, minute, pos, any_value(ts) AS ts, max(price) FILTER (WHERE side = 'buy') AS bid, min(price) FILTER (WHERE side = 'sell') AS ask, arg_max(size, price) FILTER (WHERE side = 'buy') AS b, arg_min(size, price) FILTER (WHERE side = 'sell') AS a FROM st GROUP BY 1, 2, 3, 4),
+nx AS (SELECT session, symbol, minute, pos, lead(ts) OVER (PARTITION BY session, symbol, minute ORDER BY pos) - ts AS dt FROM ups),
+w AS (SELECT session, symbol, minute, sum(dt) AS q, sum((ask - bid) * dt) AS s, sum((ask + bid) / 2 * dt) AS m, sum((b - a) / (b + a)::double * dt) AS i FROM tp JOIN nx USING (session, symbol, minute, pos) WHERE bid < ask AND dt > 0 GROUP BY 1, 2, 3)
+SELECT symbol, minute, round(q / 1e9, 6) AS quoted_seconds, round(s / q, 6) AS twa_spread, round(m / q, 6) AS twa_mid, round(i / q, 6) AS twa_imbalance FROM w""")
+def ss02_time_weighted_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time-weighted spread, middle and imbalance of the minutes that had a two-sided book between updates (HX06)."""
+    s = _snapshots(spark, sf_dir).where("quoted_seconds > 0")
+    return s.select("symbol", "minute", *[F.round(c, 6).alias(c) for c in ("quoted_seconds", "twa_spread", "twa_mid", "twa_imbalance")])
+
+
+@C.add(f"""WITH {_BOOK_SQL}, {_ENDS_SQL}, l AS (SELECT symbol, minute, best_bid, best_ask, to_timestamp(minute * 60) AT TIME ZONE 'America/New_York' AS t FROM top)
+SELECT symbol, minute, best_bid, best_ask FROM l WHERE hour(t) * 60 + minute(t) BETWEEN 570 AND 959""")
+def ss05_market_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots of the regular session; the books know what came before."""
+    return orderbook.in_market_hours(_snapshots(spark, sf_dir)).select("symbol", "minute", "best_bid", "best_ask")
+
+
+@C.add("SELECT ts::date AS session, ts::date <= date '2024-01-10' AS skipped FROM events WHERE value IS NOT NULL GROUP BY 1, 2")
+def ss06_replayed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions replayed to files in two runs: the second skips those of the first."""
+    path = shared_dir(spark, "replay")
+    messages = book_messages(table(spark, sf_dir, "events").withColumn("at", F.col("ts").cast("timestamp")))
+    orderbook.replay(messages.where("session <= date'2024-01-10'"), path)
+    return orderbook.replay(messages, path)
+
+
 @C.add()
-def ss06_streamed_books(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same messages as a stream with state per session; the rows are those of ss01."""
+def ss01_streamed_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same messages as a stream with state per session; the rows are those of the batch form."""
     return streams.books_to_end(book_messages(event_stream(spark, sf_dir)))

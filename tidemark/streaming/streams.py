@@ -43,8 +43,7 @@ def _book_step(key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: Grou
     minutes = sorted({t // MINUTE for t in rows["ts"].tolist()})
     out = []
     for symbol, own in rows.groupby("symbol"):
-        messages = zip(own["ts"].tolist(), own["side"].tolist(), own["price"].tolist(), own["size"].tolist(), strict=True)
-        out += advance(books.setdefault(symbol, Book()), symbol, messages, minutes)
+        out += advance(books.setdefault(symbol, Book()), symbol, *[own[c].tolist() for c in ("ts", "side", "price", "size")], minutes)
     for symbol, book in books.items():
         for minute in minutes:
             if minute > book.minute:
