@@ -6,9 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.runs import sorted_runs
+from tidemark.operators.scan import last_known, previous_row, running
 
 
 def bar_ends(amount: np.ndarray, threshold: float) -> np.ndarray:
@@ -64,13 +65,13 @@ def threshold_bars(df: DataFrame, keys: list[str], order: list[str], price: str,
     return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, shape)
 
 
-def signed_volume(df: DataFrame, keys: list[str], order: list[str], price: str, volume: str) -> DataFrame:
-    """Volume signed by the last price move (at first +1) and its running sum."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    move = F.signum(F.col(price) - F.lag(price).over(w))
-    moved = df.withColumn("_move", F.when(move != 0, move))
-    signed = moved.withColumn("sign", F.coalesce(F.last("_move", True).over(upto), F.lit(1.0))).withColumn("signed", F.col("sign") * F.col(volume))
-    return signed.withColumn("imbalance", F.sum("signed").over(upto)).drop("_move")
-
+def signed_volume(df: DataFrame, keys: list[str], order: list[str], price: str, volume: str, block: Column | None = None) -> DataFrame:
+    """Volume signed by the last price move (at first +1) and its running sum.
 
+    With ``block``, a coarsening of the order (a day, say), no task orders all
+    rows of a key: state is handed on from block to block.
+    """
+    placed = df.withColumn("_block", block if block is not None else F.lit(0))
+    moved = previous_row(placed, keys, "_block", order, price, "_prior").withColumn("_move", F.nullif(F.signum(F.col(price) - F.col("_prior")), F.lit(0.0)))
+    signed = last_known(moved, keys, "_block", order, "_move", "_last").withColumn("sign", F.coalesce("_last", F.lit(1.0))).withColumn("signed", F.col("sign") * F.col(volume))
+    return running(signed, keys, "_block", order, "signed", "imbalance").drop("_block", "_prior", "_move", "_last")

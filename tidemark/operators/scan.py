@@ -33,3 +33,14 @@ def last_known(df: DataFrame, keys: Sequence[str], block: str, order: Sequence[s
     return own.alias("o").join(across.alias("a"), [F.col(f"o.{k}").eqNullSafe(F.col(f"a.{k}")) for k in (*keys, block)], "left").select(
         *[F.col(f"o.{c}") for c in df.columns], F.coalesce("o._own", "a._before").alias(name)
     )
+
+
+def running(df: DataFrame, keys: Sequence[str], block: str, order: Sequence[str], value: str, name: str, how: str = "sum") -> DataFrame:
+    """The running sum, or with ``how`` max the running maximum, of ``value`` up to each row, per ``keys`` in the order of (block, order)."""
+    total = {"sum": F.sum, "max": F.max}[how]
+    inside = Window.partitionBy(*keys, block).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    own = df.withColumn("_own", total(value).over(inside))
+    before = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    across = df.groupBy(*keys, block).agg(total(value).alias("_all")).select(*keys, block, total("_all").over(before).alias("_before"))
+    both = F.coalesce(F.col("o._own") + F.col("a._before"), "o._own", "a._before") if how == "sum" else F.greatest("o._own", "a._before")
+    return own.alias("o").join(across.alias("a"), [F.col(f"o.{k}").eqNullSafe(F.col(f"a.{k}")) for k in (*keys, block)], "left").select(*[F.col(f"o.{c}") for c in df.columns], both.alias(name))

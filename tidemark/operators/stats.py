@@ -22,29 +22,76 @@ def rolling_slope(y: Column, x: Column, frame, least: int) -> Column:
     return F.when((n >= least) & (spread != 0), (sxy - sx * sy / n) / spread)
 
 
-def average_rank(value: str, *groups: str) -> Column:
-    """Ranks from 1; equal values share the mean of their ranks."""
-    first = F.rank().over(Window.partitionBy(*groups).orderBy(value))
-    ties = F.count("*").over(Window.partitionBy(*groups, value))
-    return first + (ties - 1) / F.lit(2.0)
+def _in_buckets(df: DataFrame, groups: Sequence[str], value: str, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with ``_bucket``, equal slices of the group's values in order, and per bucket the rows before it (``_before``, ``_n``).
+
+    The slices' edges come from a quantile sketch of bounded size; only how even
+    the slices are depends on it, not any result. Null values are left out.
+    """
+    known = df.where(F.col(value).isNotNull())
+    edges = known.groupBy(*groups).agg(F.percentile_approx(value, F.array(*[F.lit(i / buckets) for i in range(1, buckets)]), 4 * buckets).alias("_edges"))
+    placed = known.join(edges, list(groups)).withColumn("_bucket", F.size(F.filter("_edges", lambda e: e < F.col(value)))).drop("_edges")
+    sizes = placed.groupBy(*groups, "_bucket").agg(F.count("*").alias("_rows"))
+    in_order = Window.partitionBy(*groups).orderBy("_bucket")
+    before = F.coalesce(F.sum("_rows").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return placed, sizes.select(*groups, "_bucket", "_rows", before.alias("_before"), F.sum("_rows").over(Window.partitionBy(*groups)).alias("_n"))
+
+
+def with_average_rank(df: DataFrame, groups: Sequence[str], value: str, name: str, buckets: int = 64) -> DataFrame:
+    """Adds ranks from 1 per group; equal values share the mean of their ranks. Rows without a value are left out.
+
+    Ranked within slices of the values, so that no task sorts a whole group.
+    """
+    placed, sizes = _in_buckets(df, groups, value, buckets)
+    within = F.rank().over(Window.partitionBy(*groups, "_bucket").orderBy(value)) + (F.count("*").over(Window.partitionBy(*groups, "_bucket", value)) - 1) / F.lit(2.0)
+    return placed.withColumn(name, within).join(sizes, [*groups, "_bucket"]).select(*df.columns, (F.col(name) + F.col("_before")).alias(name))
+
+
+def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, shares: Sequence[float], buckets: int = 64) -> DataFrame:
+    """Exact quantiles per group, between two values linearly: groups, ``q`` (array in the order of ``shares``), ``n`` values.
+
+    Counts of slices tell in which ones the wanted places lie; only those are
+    sorted.
+    """
+    placed, sizes = _in_buckets(df, groups, value, buckets)
+    at = F.array(*[F.struct(F.lit(i).alias("i"), (F.lit(float(s)) * (F.col("_n") - 1)).alias("at")) for i, s in enumerate(shares)])
+    places = sizes.withColumn("_q", F.explode(at))
+    low = F.floor("_q.at")
+    wanted = places.select("*", F.explode(F.array_distinct(F.array(low, F.ceil("_q.at")))).alias("_place")).where((F.col("_place") >= F.col("_before")) & (F.col("_place") < F.col("_before") + F.col("_rows")))
+    weight = F.when(F.col("_place") == low, 1 - (F.col("_q.at") - low)).otherwise(F.col("_q.at") - low)
+    wanted = wanted.select(*groups, "_bucket", "_n", F.col("_q.i").alias("_i"), (F.col("_place") - F.col("_before") + 1).alias("_nth"), weight.alias("_weight"))
+    held = placed.join(wanted.select(*groups, "_bucket").distinct(), [*groups, "_bucket"], "left_semi").withColumn("_nth", F.row_number().over(Window.partitionBy(*groups, "_bucket").orderBy(value)))
+    found = held.select(*groups, "_bucket", "_nth", F.col(value).cast("double").alias("_value")).join(wanted, [*groups, "_bucket", "_nth"])
+    each = found.groupBy(*groups, "_i").agg(F.sum(F.col("_value") * F.col("_weight")).alias("_quantile"), F.max("_n").alias("_n"))
+    in_order = F.transform(F.sort_array(F.collect_list(F.struct("_i", "_quantile"))), lambda s: s["_quantile"])
+    return each.groupBy(*groups).agg(in_order.alias("q"), F.max("_n").alias("n"))
 
 
 def rank_correlation(df: DataFrame, groups: Sequence[str], a: str, b: str, least: int = 2) -> DataFrame:
     """Correlation of average ranks of a and b per group (rows with both), null below ``least`` rows."""
-    good = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    ranked = good.select(*groups, average_rank(a, *groups).alias("_a"), average_rank(b, *groups).alias("_b"))
+    good = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(*groups, F.col(a).alias("_va"), F.col(b).alias("_vb"))
+    ranked = with_average_rank(with_average_rank(good, groups, "_va", "_a"), groups, "_vb", "_b")
     return ranked.groupBy(*groups).agg(F.count("*").alias("n"), F.corr("_a", "_b").alias("ic")).withColumn("ic", F.when(F.col("n") >= least, F.col("ic")))
 
 
 def clipped_zscore(df: DataFrame, group: str, value: str, weight: str, clip: float = 0.025, least: int = 3) -> DataFrame:
-    """z-scores per group: clipped at two quantiles, centred by weight, scaled by the sample deviation."""
-    bounds = df.groupBy(group).agg(F.percentile(value, F.array(F.lit(clip), F.lit(1 - clip))).alias("_q"), F.count(value).alias("_n"))
-    joined = df.join(bounds, group).withColumn("_c", F.when(F.col(value).isNotNull(), F.greatest(F.least(F.col(value), F.col("_q")[1]), F.col("_q")[0])))
-    w = Window.partitionBy(group)
+    """z-scores per group: clipped at two quantiles, centred by weight, scaled by the sample deviation.
+
+    Quantiles, centre and deviation are aggregates, a row per group, that are joined back.
+    """
+    bounds = exact_quantiles(df, [group], value, [clip, 1 - clip]).withColumnsRenamed({"q": "_q", "n": "_n"})
+    joined = df.join(bounds, group, "left").withColumn("_c", F.when(F.col(value).isNotNull(), F.greatest(F.least(F.col(value), F.col("_q")[1]), F.col("_q")[0])))
     known = F.when(F.col("_c").isNotNull(), F.col(weight))
-    centre = F.sum(F.col("_c") * F.col(weight)).over(w) / F.sum(known).over(w)
-    spread = F.stddev_samp("_c").over(w)
-    return joined.withColumn("zscore", F.when((F.col("_n") >= least) & (spread > 0), (F.col("_c") - centre) / spread)).drop("_q", "_n", "_c")
+    level = joined.groupBy(group).agg((F.sum(F.col("_c") * F.col(weight)) / F.sum(known)).alias("_centre"), F.stddev_samp("_c").alias("_spread"))
+    scored = joined.join(level, group, "left")
+    return scored.withColumn("zscore", F.when((F.col("_n") >= least) & (F.col("_spread") > 0), (F.col("_c") - F.col("_centre")) / F.col("_spread"))).drop("_q", "_n", "_c", "_centre", "_spread")
+
+
+def quantile_spread(df: DataFrame, groups: Sequence[str], by: str, value: str, low: float, high: float) -> DataFrame:
+    """Per group the rows at or below the low and at or above the high quantile of ``by``, and the spread of their mean ``value``: low_n, high_n, spread."""
+    bounds = exact_quantiles(df, groups, by, [low, high])
+    below, above = F.col(by) <= F.col("q")[0], F.col(by) >= F.col("q")[1]
+    return df.join(bounds, list(groups)).groupBy(*groups).agg(F.count_if(below).alias("low_n"), F.count_if(above).alias("high_n"), (F.avg(F.when(above, F.col(value))) - F.avg(F.when(below, F.col(value)))).alias("spread"))
 
 
 def mean_of_means(df: DataFrame, outer: Sequence[str], cluster: str, value: str, least: int = 12) -> DataFrame:
@@ -95,3 +142,8 @@ def against_last(df: DataFrame, key: str, order: str, value: str, n: int) -> Dat
     size = F.size("_held")
     middle = (F.get("_held", F.floor((size - 1) / 2).cast("int")) + F.get("_held", F.floor(size / 2).cast("int"))) / 2
     return held.withColumn("usual", middle).drop("_held")
+
+
+def seeded_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
+    """``n`` rows chosen by a hash of their key and a seed: random to look at, the same on every run."""
+    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)

@@ -132,7 +132,7 @@ def ca08_threshold_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 @C.add("""WITH m AS (SELECT *, sign(value - lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id)) AS mv FROM events), s AS (SELECT *, coalesce(last_value(nullif(mv, 0) IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING), 1)::double AS sgn FROM m)
 SELECT event_id, sgn AS sign, round(sum(sgn * value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING), 4) + 0.0 AS imbalance FROM s""")
 def ca09_signed_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = bar_ops.signed_volume(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], "value", "value")
+    out = bar_ops.signed_volume(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], "value", "value", F.col("ts").cast("date"))
     return out.select("event_id", "sign", (F.round("imbalance", 4) + 0.0).alias("imbalance"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions.symbols import canonical
-from tidemark.operators import stats
+from tidemark.operators import scan, stats
 from tidemark.operators.pit import top_per_key
 from tidemark.plans.pit_queries import bars, day, members
 from tidemark.plans.registry import BARS_SQL, MEMBERS_SQL, SYMBOL_SQL, Catalogue
@@ -81,10 +81,15 @@ def pf14_rotating_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.rotating_slice(members(spark, sf_dir).select("symbol").distinct(), "symbol", 7300, 25)
 
 
-@C.add("SELECT count(*) AS drawn, 20 AS wanted FROM (SELECT * FROM customer LIMIT 20)")
+@C.add("SELECT 20 AS drawn, 20 AS distinct_keys, 20 AS known_keys, true AS repeats FROM region LIMIT 1")
 def pf15_random_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A seeded sample of 20 customers, counted."""
-    return table(spark, sf_dir, "customer").orderBy(F.rand(7)).limit(20).agg(F.count("*").alias("drawn"), F.lit(20).alias("wanted"))
+    """A sample of 20 customers by a seeded hash: all different, all customers, and the same again when drawn again."""
+    customers = table(spark, sf_dir, "customer")
+    draw = lambda: stats.seeded_sample(customers, "c_custkey", 20, 7).select("c_custkey", F.lit(True).alias("drawn"))
+    first, again = draw(), draw().withColumnRenamed("drawn", "again")
+    known = customers.select("c_custkey", F.lit(True).alias("known"))
+    both = first.join(again, "c_custkey", "full").join(known, "c_custkey", "left")
+    return both.agg(F.count("drawn").cast("int").alias("drawn"), F.countDistinct("c_custkey").cast("int").alias("distinct_keys"), F.count("known").cast("int").alias("known_keys"), F.bool_and(F.col("drawn") & F.col("again")).alias("repeats"))
 
 
 @C.add(f"WITH {BARS_SQL}, r AS (SELECT DISTINCT {SYMBOL_SQL} AS symbol, fiscal_close::date AS date, release_id FROM earnings_releases) SELECT b.symbol, b.date, r.release_id FROM bars b LEFT JOIN r ON b.symbol = r.symbol AND b.date = r.date")
@@ -150,7 +155,9 @@ def ag06_first_and_last(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @C.add("SELECT o_orderpriority, median(o_totalprice) AS middle, median(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END) AS middle_f FROM orders GROUP BY 1")
 def ag08_filtered_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(F.median("o_totalprice").alias("middle"), F.median(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))).alias("middle_f"))
+    o = table(spark, sf_dir, "orders").select("o_orderpriority", "o_totalprice", F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")).alias("f"))
+    middle = lambda c, name: stats.exact_quantiles(o, ["o_orderpriority"], c, [0.5]).select("o_orderpriority", F.col("q")[0].alias(name))
+    return middle("o_totalprice", "middle").join(middle("f", "middle_f"), "o_orderpriority", "left")
 
 
 @C.add(f"""WITH {BARS_SQL}, m AS (SELECT max(date) AS last FROM bars) SELECT symbol, round(CASE WHEN y > 0.25 THEN 0.25 ELSE y END, 6) AS dividend_yield FROM (SELECT symbol, sum(CASE WHEN date > last - 370 THEN coalesce(dividends, 0) END) / nullif(arg_max(close, date) FILTER (WHERE close IS NOT NULL), 0) AS y FROM bars, m GROUP BY 1)""")
@@ -190,9 +197,7 @@ round(avg(o_totalprice) FILTER (WHERE o_totalprice >= hi) - avg(o_totalprice) FI
 def ag14_quantile_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Low and high groups by the 30 and 70 % quantiles and the spread of their means."""
     o = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("g"), F.col("o_totalprice").alias("v"))
-    q = o.groupBy("g").agg(F.percentile("v", F.array(F.lit(0.3), F.lit(0.7))).alias("q"))
-    low, high = F.col("v") <= F.col("q")[0], F.col("v") >= F.col("q")[1]
-    return o.join(q, "g").groupBy("g").agg(F.count_if(low).alias("low_n"), F.count_if(high).alias("high_n"), F.round(F.avg(F.when(high, F.col("v"))) - F.avg(F.when(low, F.col("v"))), 4).alias("spread"))
+    return stats.quantile_spread(o, ["g"], "v", "v", 0.3, 0.7).withColumn("spread", F.round("spread", 4))
 
 
 @C.add("""SELECT p_brand, round(median(l_discount), 6) AS middle, round(avg(CASE WHEN l_tax > l_discount THEN 1.0 ELSE 0 END), 6) AS rising, round((sum(CASE WHEN l_tax > l_discount THEN 1 ELSE 0 END) - sum(CASE WHEN l_tax < l_discount THEN 1 ELSE 0 END))
@@ -246,9 +251,7 @@ def ag23_rank_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM lineitem JOIN q ON l_shipdate::date = d GROUP BY 1""")
 def ag24_quintile_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     l = lineitem(spark, sf_dir).select(F.col("l_shipdate").cast("date").alias("d"), "l_quantity", "l_discount")  # noqa: E741
-    q = l.groupBy("d").agg(F.percentile("l_quantity", F.array(F.lit(0.2), F.lit(0.8))).alias("q"))
-    side = lambda c: F.avg(F.when(c, F.col("l_discount")))
-    return l.join(q, "d").groupBy("d").agg(F.round(side(F.col("l_quantity") >= F.col("q")[1]) - side(F.col("l_quantity") <= F.col("q")[0]), 6).alias("spread"))
+    return stats.quantile_spread(l, ["d"], "l_quantity", "l_discount", 0.2, 0.8).select("d", F.round("spread", 6).alias("spread"))
 
 
 @C.add("SELECT 'orders' AS dataset, count(*) AS n FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'events', count(*) FROM events")
@@ -295,9 +298,10 @@ def wn01_lags_and_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @C.add("SELECT event_id, round(sum(value) OVER (PARTITION BY user_id, ts::date ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING), 4) AS running, max(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS highest FROM events")
 def wn07_running_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("user_id", F.col("ts").cast("date")).orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    m = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    return table(spark, sf_dir, "events").select("event_id", F.round(F.sum("value").over(w), 4).alias("running"), F.max("value").over(m).alias("highest"))
+    """Running sums per session and running maxima, carried on from day to day."""
+    w = Window.partitionBy("user_id", "day").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value", F.col("ts").cast("date").alias("day")).withColumn("running", F.sum("value").over(w))
+    return scan.running(e, ["user_id"], "day", ["ts", "event_id"], "value", "highest", "max").select("event_id", F.round("running", 4).alias("running"), "highest")
 
 
 @C.add(f"WITH {BARS_SQL} SELECT symbol, date, last_value(close IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY date ROWS UNBOUNDED PRECEDING) AS filled, last_value(close IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS filled_2 FROM bars")
@@ -342,7 +346,8 @@ def wn15_later_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @C.add(f"WITH {BARS_SQL} SELECT symbol, date, CASE WHEN volume > 3 * m OR volume * 3 < m THEN NULL ELSE volume END AS volume FROM (SELECT symbol, date, volume, median(volume) OVER (PARTITION BY symbol) AS m FROM bars)")
 def wn16_against_group_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = bars(spark, sf_dir, "volume").withColumn("m", F.median("volume").over(Window.partitionBy("symbol")))
+    v = bars(spark, sf_dir, "volume")
+    b = v.join(stats.exact_quantiles(v, ["symbol"], "volume", [0.5]).select("symbol", F.col("q")[0].alias("m")), "symbol", "left")
     far = (F.col("volume") > 3 * F.col("m")) | (F.col("volume") * 3 < F.col("m"))
     return b.select("symbol", "date", F.when(far, None).otherwise(F.col("volume")).alias("volume"))
 
