@@ -6,10 +6,10 @@ from datetime import date, datetime, timedelta
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tidemark.functions import dates, options, text
-from tidemark.operators import bars, contracts, matching, orderbook, pit, quarters, writer
+from tidemark.operators import bars, contracts, matching, orderbook, pit, quarters, scan, stats, writer
 from tidemark.plans import scalar_queries
 from tidemark.sources.lake import Lake
 from tidemark.streaming import streams
@@ -208,10 +208,40 @@ def test_validation_can_be_strict(spark):
         writer.validate(df, positive=["v"], strict=True)
 
 
-def test_as_of_join_strictness_and_tolerance(spark):
+def test_sliced_ranks_and_quantiles_equal_the_plain_ones(spark):
+    """Ties, nulls, a hot group, a group of one and one without values: slices change nothing."""
+    rng = np.random.default_rng(2)
+    rows = [("hot" if i % 3 else f"g{i % 5}", None if i % 11 == 0 else float(rng.integers(0, 60)), float(rng.normal())) for i in range(900)] + [("one", 1.0, 2.0), ("none", None, 1.0), (None, 4.0, 4.0)]
+    df = spark.createDataFrame(rows, "g string, a double, b double")
+    ranks = [{tuple(r) for r in stats.with_average_ranks(df, ["g"], {"a": "ra", "b": "rb"}, slices=7, sliced=s).where("g IS NOT NULL").collect()} for s in (False, True)]
+    assert ranks[0] == ranks[1] and len(ranks[0]) > 700
+    shares = [0.0, 0.025, 0.5, 0.8, 1.0]
+    plain, sliced = ({r.g: (r.n, [round(x, 9) for x in r.q]) for r in stats.exact_quantiles(df.where("g IS NOT NULL"), ["g"], "a", shares, slices=7, sliced=s).collect()} for s in (False, True))
+    assert plain == sliced and set(plain) == {"hot", "one", *[f"g{k}" for k in range(5)]}
+    hot = [a for g, a, _ in rows if g == "hot" and a is not None]
+    assert np.allclose(plain["hot"][1], np.quantile(hot, shares))
+
+
+def test_two_level_scans_equal_one_window(spark):
+    rng = np.random.default_rng(3)
+    rows = [(f"k{i % 2}", int(d), i, None if i % 4 == 0 else float(rng.normal())) for i, d in enumerate(rng.integers(0, 9, 200))] + [(None, 1, 900, 1.0), (None, 2, 901, None)]
+    df = spark.createDataFrame(rows, "k string, d int, i int, v double")
+    w = Window.partitionBy("k").orderBy("d", "i")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    want = {r.i: r for r in df.select("i", F.lag("v").over(w).alias("lag"), F.last("v", True).over(upto).alias("last"), F.sum("v").over(upto).alias("sum"), F.max("v").over(upto).alias("max")).collect()}
+    got = scan.previous_row(df, ["k"], "d", ["i"], "v", "lag")
+    got = scan.last_known(got, ["k"], "d", ["i"], "v", "last")
+    got = scan.running(scan.running(got, ["k"], "d", ["i"], "v", "sum"), ["k"], "d", ["i"], "v", "max", "max")
+    for r in got.collect():
+        x = want[r.i]
+        assert (r.lag, r.last, r.max) == (x.lag, x.last, x.max) and (r.sum is None) == (x.sum is None) and (r.sum is None or abs(r.sum - x.sum) < 1e-9)
+
+
+@pytest.mark.parametrize("spread", [False, True])
+def test_as_of_join_strictness_and_tolerance(spark, spread):
     left = spark.createDataFrame([("a", DAY), ("a", DAY + timedelta(9)), ("b", DAY), (None, DAY)], "k string, d date")
     right = spark.createDataFrame([("a", DAY, 1), ("a", DAY - timedelta(1), 2), ("a", DAY, 0)], "k string, at date, v int")
-    run = lambda **m: {(r.k, r.d): r.asof_v for r in pit.as_of_join(left, right, ["k"], "d", "at", ["v"], **m).collect()}
+    run = lambda **m: {(r.k, r.d): r.asof_v for r in pit.as_of_join(left, right, ["k"], "d", "at", ["v"], spread=spread, **m).collect()}
     late = DAY + timedelta(9)
     assert run() == {("a", DAY): 1, ("a", late): 1, ("b", DAY): None, (None, DAY): None}
     assert run(strict=True)["a", DAY] == 2 and run(tolerance_days=5)["a", late] is None

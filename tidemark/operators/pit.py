@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.operators.scan import last_known
+from tidemark.session import fits_one_task
 
 OPEN_END = "9999-12-31"
 
@@ -71,22 +72,26 @@ def interval_join(events: DataFrame, key: str, day: str, intervals: DataFrame, s
 
 
 def as_of_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], left_at: str, right_at: str, values: Sequence[str], strict: bool = False, tolerance_days: int | None = None, prefix: str = "asof_"
+    left: DataFrame, right: DataFrame, keys: Sequence[str], left_at: str, right_at: str, values: Sequence[str], strict: bool = False, tolerance_days: int | None = None, prefix: str = "asof_", spread: bool | None = None
 ) -> DataFrame:
     """Each left row with the right row last before it (at it too, unless ``strict``).
 
-    Both sides are stacked and sorted by time within a key and month; the last
-    right row is carried forward, and from month to month by a row for each, so
-    a hot key is spread over its months. Times are dates or timestamps. With a
-    tolerance older rows give null. Right rows at equal times: the greatest
-    values win. Left columns are kept.
+    Both sides are stacked and sorted by time within a key, and the last right
+    row is carried forward. Where a key could be more than a task should order
+    (``spread``), that is done within months, and a row for each month carries on
+    from one to the next. Times are dates or timestamps. With a tolerance older
+    rows give null. Right rows at equal times: the greatest values win. Left
+    columns are kept.
     """
     packed = F.struct(F.col(right_at).alias("at"), *values)
     stacked = left.select(*[F.col(k) for k in keys], F.col(left_at).alias("_at"), F.lit(0 if strict else 1).alias("_side"), F.struct(*left.columns).alias("_left"), F.lit(None).cast(right.select(packed.alias("p")).schema["p"].dataType).alias("_right")).unionByName(
         right.groupBy(*keys, right_at).agg(F.max(packed).alias("_right")).select(*keys, F.col(right_at).alias("_at"), F.lit(1 if strict else 0).alias("_side"), F.lit(None).cast(left.select(F.struct(*left.columns).alias("p")).schema["p"].dataType).alias("_left"), "_right")
     )
-    placed = stacked.withColumn("_month", F.trunc("_at", "MM"))
-    found = last_known(placed, keys, "_month", ["_at", "_side"], "_right", "_last").where(F.col("_left").isNotNull())
+    if not fits_one_task(left, right) if spread is None else spread:
+        carried = last_known(stacked.withColumn("_month", F.trunc("_at", "MM")), keys, "_month", ["_at", "_side"], "_right", "_last")
+    else:
+        carried = stacked.withColumn("_last", F.last("_right", ignorenulls=True).over(Window.partitionBy(*keys).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)))
+    found = carried.where(F.col("_left").isNotNull())
     ok = F.lit(True) if tolerance_days is None else F.datediff(F.col("_at").cast("date"), F.col("_last.at").cast("date")) <= tolerance_days
     return found.select("_left.*", *[F.when(ok, F.col(f"_last.{v}")).alias(f"{prefix}{v}") for v in values])
 

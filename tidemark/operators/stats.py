@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.session import fits_one_task
+
 
 def unsigned(c: Column, digits: int) -> Column:
     """Rounded, with -0.0 as 0.0."""
@@ -22,55 +24,74 @@ def rolling_slope(y: Column, x: Column, frame, least: int) -> Column:
     return F.when((n >= least) & (spread != 0), (sxy - sx * sy / n) / spread)
 
 
-def _in_buckets(df: DataFrame, groups: Sequence[str], value: str, buckets: int) -> tuple[DataFrame, DataFrame]:
-    """Rows with ``_bucket``, equal slices of the group's values in order, and per bucket the rows before it (``_before``, ``_n``).
+def _in_slices(df: DataFrame, groups: Sequence[str], values: Sequence[str], slices: int) -> DataFrame:
+    """Rows with ``_slice_<value>`` for each value: equal parts of the group's values in order.
 
-    The slices' edges come from a quantile sketch of bounded size; only how even
-    the slices are depends on it, not any result. Null values are left out.
+    Their edges come from quantile sketches of bounded size; only how even the
+    slices are depends on them, not any result.
     """
-    known = df.where(F.col(value).isNotNull())
-    edges = known.groupBy(*groups).agg(F.percentile_approx(value, F.array(*[F.lit(i / buckets) for i in range(1, buckets)]), 4 * buckets).alias("_edges"))
-    placed = known.join(edges, list(groups)).withColumn("_bucket", F.size(F.filter("_edges", lambda e: e < F.col(value)))).drop("_edges")
-    sizes = placed.groupBy(*groups, "_bucket").agg(F.count("*").alias("_rows"))
-    in_order = Window.partitionBy(*groups).orderBy("_bucket")
-    before = F.coalesce(F.sum("_rows").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return placed, sizes.select(*groups, "_bucket", "_rows", before.alias("_before"), F.sum("_rows").over(Window.partitionBy(*groups)).alias("_n"))
+    shares = F.array(*[F.lit(i / slices) for i in range(1, slices)])
+    edges = df.groupBy(*groups).agg(*[F.percentile_approx(v, shares, 4 * slices).alias(f"_edges_{v}") for v in values])
+    placed = df.join(edges, list(groups))
+    return placed.select(*df.columns, *[F.size(F.filter(f"_edges_{v}", lambda e: e < F.col(v))).alias(f"_slice_{v}") for v in values])  # noqa: B023
 
 
-def with_average_rank(df: DataFrame, groups: Sequence[str], value: str, name: str, buckets: int = 64) -> DataFrame:
-    """Adds ranks from 1 per group; equal values share the mean of their ranks. Rows without a value are left out.
+def _slice_sizes(placed: DataFrame, groups: Sequence[str], piece: str) -> DataFrame:
+    """Per slice its rows, those before it, and all of the group: ``_rows``, ``_before``, ``_n``."""
+    sizes = placed.groupBy(*groups, piece).agg(F.count("*").alias("_rows"))
+    before = F.coalesce(F.sum("_rows").over(Window.partitionBy(*groups).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return sizes.select(*groups, piece, "_rows", before.alias("_before"), F.sum("_rows").over(Window.partitionBy(*groups)).alias("_n"))
 
-    Ranked within slices of the values, so that no task sorts a whole group.
-    """
-    placed, sizes = _in_buckets(df, groups, value, buckets)
-    within = F.rank().over(Window.partitionBy(*groups, "_bucket").orderBy(value)) + (F.count("*").over(Window.partitionBy(*groups, "_bucket", value)) - 1) / F.lit(2.0)
-    return placed.withColumn(name, within).join(sizes, [*groups, "_bucket"]).select(*df.columns, (F.col(name) + F.col("_before")).alias(name))
 
+def with_average_ranks(df: DataFrame, groups: Sequence[str], values: dict[str, str], slices: int = 32, sliced: bool | None = None) -> DataFrame:
+    """Adds ranks from 1 per group under new names (``values``: column to name); equal values share the mean of their ranks.
 
-def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, shares: Sequence[float], buckets: int = 64) -> DataFrame:
+    Rows without one of the values are left out. Where a group could be more
+    than a task should order (``sliced``), ranks are taken within slices of the
+    values and moved up by the rows before the slice.
+    """
+    known = df.where(" AND ".join(f"`{v}` IS NOT NULL" for v in values))
+    sliced = not fits_one_task(known) if sliced is None else sliced
+    out = _in_slices(known, groups, list(values), slices) if sliced else known
+    placed = out
+    for value, name in values.items():
+        piece = [f"_slice_{value}"] if sliced else []
+        w = Window.partitionBy(*groups, *piece).orderBy(value)
+        same = w.rangeBetween(Window.currentRow, Window.currentRow)
+        out = out.withColumn(name, F.rank().over(w) + (F.count("*").over(same) - 1) / F.lit(2.0))
+        if sliced:
+            sizes = _slice_sizes(placed, groups, piece[0]).select(*groups, *piece, "_before")
+            out = out.join(sizes, [*groups, *piece]).withColumn(name, F.col(name) + F.col("_before")).drop("_before")
+    return out.select(*df.columns, *values.values())
+
+
+def exact_quantiles(df: DataFrame, groups: Sequence[str], value: str, shares: Sequence[float], slices: int = 32, sliced: bool | None = None) -> DataFrame:
     """Exact quantiles per group, between two values linearly: groups, ``q`` (array in the order of ``shares``), ``n`` values.
 
-    Counts of slices tell in which ones the wanted places lie; only those are
-    sorted.
+    Where a group could be more than a task should hold (``sliced``), counts of
+    slices tell in which ones the wanted places lie; only those are sorted.
+    Groups without a value give no row.
     """
-    placed, sizes = _in_buckets(df, groups, value, buckets)
+    known = df.where(F.col(value).isNotNull()).select(*groups, value)
+    if not (not fits_one_task(known) if sliced is None else sliced):
+        return known.groupBy(*groups).agg(F.percentile(value, F.array(*[F.lit(float(s)) for s in shares])).alias("q"), F.count(value).alias("n"))
+    placed, piece = _in_slices(known, groups, [value], slices), f"_slice_{value}"
     at = F.array(*[F.struct(F.lit(i).alias("i"), (F.lit(float(s)) * (F.col("_n") - 1)).alias("at")) for i, s in enumerate(shares)])
-    places = sizes.withColumn("_q", F.explode(at))
+    places = _slice_sizes(placed, groups, piece).withColumn("_q", F.explode(at))
     low = F.floor("_q.at")
     wanted = places.select("*", F.explode(F.array_distinct(F.array(low, F.ceil("_q.at")))).alias("_place")).where((F.col("_place") >= F.col("_before")) & (F.col("_place") < F.col("_before") + F.col("_rows")))
     weight = F.when(F.col("_place") == low, 1 - (F.col("_q.at") - low)).otherwise(F.col("_q.at") - low)
-    wanted = wanted.select(*groups, "_bucket", "_n", F.col("_q.i").alias("_i"), (F.col("_place") - F.col("_before") + 1).alias("_nth"), weight.alias("_weight"))
-    held = placed.join(wanted.select(*groups, "_bucket").distinct(), [*groups, "_bucket"], "left_semi").withColumn("_nth", F.row_number().over(Window.partitionBy(*groups, "_bucket").orderBy(value)))
-    found = held.select(*groups, "_bucket", "_nth", F.col(value).cast("double").alias("_value")).join(wanted, [*groups, "_bucket", "_nth"])
+    wanted = wanted.select(*groups, piece, "_n", F.col("_q.i").alias("_i"), (F.col("_place") - F.col("_before") + 1).alias("_nth"), weight.alias("_weight"))
+    held = placed.join(wanted.select(*groups, piece).distinct(), [*groups, piece], "left_semi").withColumn("_nth", F.row_number().over(Window.partitionBy(*groups, piece).orderBy(value)))
+    found = held.select(*groups, piece, "_nth", F.col(value).cast("double").alias("_value")).join(wanted, [*groups, piece, "_nth"])
     each = found.groupBy(*groups, "_i").agg(F.sum(F.col("_value") * F.col("_weight")).alias("_quantile"), F.max("_n").alias("_n"))
     in_order = F.transform(F.sort_array(F.collect_list(F.struct("_i", "_quantile"))), lambda s: s["_quantile"])
     return each.groupBy(*groups).agg(in_order.alias("q"), F.max("_n").alias("n"))
 
 
-def rank_correlation(df: DataFrame, groups: Sequence[str], a: str, b: str, least: int = 2) -> DataFrame:
+def rank_correlation(df: DataFrame, groups: Sequence[str], a: str, b: str, least: int = 2, sliced: bool | None = None) -> DataFrame:
     """Correlation of average ranks of a and b per group (rows with both), null below ``least`` rows."""
-    good = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(*groups, F.col(a).alias("_va"), F.col(b).alias("_vb"))
-    ranked = with_average_rank(with_average_rank(good, groups, "_va", "_a"), groups, "_vb", "_b")
+    ranked = with_average_ranks(df.select(*groups, F.col(a).alias("_va"), F.col(b).alias("_vb")), groups, {"_va": "_a", "_vb": "_b"}, sliced=sliced)
     return ranked.groupBy(*groups).agg(F.count("*").alias("n"), F.corr("_a", "_b").alias("ic")).withColumn("ic", F.when(F.col("n") >= least, F.col("ic")))
 
 

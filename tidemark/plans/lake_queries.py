@@ -30,9 +30,15 @@ def sc02_schema_enforced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return writer.coerce(o, {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "day": "date", "missing": "double"})
 
 
-@C.add("SELECT count(*) AS n FROM orders WHERE false")
+@C.add("SELECT column_name, lower(column_type) AS kind, 0::bigint AS n FROM (DESCRIBE SELECT symbol, date, close, volume, ingested_at FROM ohlcv)")
 def sc06_empty_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return writer.empty(spark, T._parse_datatype_string(BAR_SCHEMA)).agg(F.count("*").alias("n"))
+    """A dataset without files read by its schema: no rows, and each column with its type."""
+    names = {"string": "varchar", "timestamp": "timestamp with time zone"}
+    schema = T.StructType([f for f in table(spark, sf_dir, "ohlcv").schema.fields if f.name in ("symbol", "date", "close", "volume", "ingested_at")])
+    nothing = writer.empty(spark, schema)
+    kinds = [(f.name, names.get(f.dataType.simpleString(), f.dataType.simpleString())) for f in nothing.schema.fields]
+    rows = nothing.agg(F.count("*").alias("n"))
+    return rows.crossJoin(spark.createDataFrame(kinds, "column_name string, kind string")).select("column_name", "kind", "n")  # one row
 
 
 @C.add("SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY 1")

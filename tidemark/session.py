@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_made: list[str] = []
 #: Catalyst's estimate for sources it knows nothing of is larger than this.
 UNKNOWN_BYTES = 1 << 60
+#: Up to so many bytes a whole frame may be ordered in one task, whatever its keys.
+ONE_TASK_BYTES = 64 << 20
 
 
 def get_spark(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -34,25 +39,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which every executor reaches.
+def shared_root(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``, which every executor reaches.
 
-    Only where the cluster names no such folder (tests on one machine) a
-    temporary one is made and set as the checkpoint folder.
+    Only on one machine (a local master, as in tests) a temporary one is made
+    where none is set, and set as the checkpoint folder; elsewhere that is an error.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc._jsc.getCheckpointDir().orElse(None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         sc.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/tidemark-{purpose}-{uuid.uuid4().hex}"
+    return root.rstrip("/")
+
+
+def shared_dir(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder below the shared one, for what is written and read again; removed when the driver's process ends."""
+    path = f"{shared_root(spark)}/tidemark-{purpose}-{uuid.uuid4().hex}"
+    if not _made:
+        atexit.register(_remove_made, spark)
+    _made.append(path)
+    return path
+
+
+def _remove_made(spark: SparkSession) -> None:
+    """Folders made by ``shared_dir``, if the session still stands; lazy frames may read them until then."""
+    while _made:
+        path = _made.pop()
+        try:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            state = spark._jvm.org.apache.hadoop.fs.Path(f"{path}-state")
+            state.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(state, True)
+        except Exception:  # noqa: BLE001  # the session is gone: nothing to ask
+            return
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` with its lineage cut by a reliable checkpoint in the shared folder."""
     sc = df.sparkSession.sparkContext
     if not sc._jsc.getCheckpointDir().isPresent():
-        sc.setCheckpointDir(shared_dir(df.sparkSession, "checkpoint"))
+        sc.setCheckpointDir(shared_root(df.sparkSession))
     return df.checkpoint()
 
 
@@ -62,6 +91,11 @@ def plan_bytes(df: DataFrame) -> int:
     return estimate if estimate < UNKNOWN_BYTES else df.count() * 100
 
 
+def fits_one_task(*frames: DataFrame) -> bool:
+    """Whether even a key that holds all rows of these frames is small enough to be ordered in one task."""
+    return sum(plan_bytes(f) for f in frames) <= ONE_TASK_BYTES
+
+
 def buckets_for(df: DataFrame, bytes_each: int, least: int = 1) -> int:
     """How many hash buckets keep each one near ``bytes_each`` by Catalyst's estimate."""
     return max(least, -(-plan_bytes(df) // bytes_each))
