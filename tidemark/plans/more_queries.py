@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions.dates import market_time
 from tidemark.functions.symbols import canonical
+from tidemark.functions.text import first_tone
 from tidemark.operators import pit, quarters
 from tidemark.plans.pit_queries import bars, members
 from tidemark.plans.registry import BARS_SQL, MEMBERS_SQL, SYMBOL_SQL, Catalogue
@@ -24,23 +25,26 @@ def sc05_snapshot_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("symbol string, snapshot_date date").parquet(path).where("snapshot_date BETWEEN date'2024-03-01' AND date'2024-05-31'")
 
 
-@C.add("SELECT * FROM (VALUES (date '2024-01-02', 10.5::double, 15::bigint), (date '2024-01-03', NULL, 14)) t(trade_date, open, dte)")
+@C.add("SELECT o_orderkey, o_orderdate::date AS trade_date, CASE WHEN o_orderkey % 4 <> 0 AND o_custkey > 0 THEN o_custkey / 2.0::double END AS open, date '2002-01-16' - o_orderdate::date AS dte FROM orders WHERE o_orderkey % 5 <> 0")
 def sc15_contract_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A contract's days: without trades the open is null; days without a settlement are dropped."""
-    text = ["Trade Date,Open,Settle", "2024-01-02,10.5,11", "2024-01-03,0,11.5", "2024-01-04,0,0"]
-    rows = parsers.delimited(spark.createDataFrame([(t,) for t in text], "line string"), "line", {"Trade Date": "date", "open": "double", "settle": "double"}, sep=",")
+    """A contract's days as CSV: without trades the open is null; days without a settlement are dropped."""
+    o = table(spark, sf_dir, "orders")
+    cell = lambda c: c.cast("string")
+    lines = o.select(F.concat_ws(",", cell(F.col("o_orderkey")), F.date_format("o_orderdate", "yyyy-MM-dd"), F.when(F.col("o_orderkey") % 4 == 0, "0").otherwise(cell(F.col("o_custkey") / 2.0)), F.when(F.col("o_orderkey") % 5 == 0, "0").otherwise("7.25")).alias("line"))
+    head = spark.createDataFrame([("o_orderkey,Trade Date,Open,Settle",)], "line string")
+    rows = parsers.delimited(lines.unionAll(head), "line", {"o_orderkey": "bigint", "trade_date": "date", "open": "double", "settle": "double"}, sep=",")
     out = parsers.positive_or_null(rows.where("settle > 0"), ["open"])
-    return out.select(F.col("Trade Date").alias("trade_date"), "open", F.datediff(F.lit("2024-01-17").cast("date"), F.col("Trade Date")).cast("bigint").alias("dte"))
+    return out.select("o_orderkey", "trade_date", "open", F.datediff(F.lit("2002-01-16").cast("date"), F.col("trade_date")).cast("bigint").alias("dte"))
 
 
-@C.add("SELECT * FROM (VALUES ('20240102101500', 'ACME', -0.025::double), ('20240102103000', NULL, 1.0)) t(stamp, organisation, sentiment)")
+@C.add("""SELECT s_suppkey, CASE WHEN s_suppkey % 3 <> 0 THEN s_name END AS organisation, greatest(-1, least(1, (s_suppkey - 50) / 40.0::double)) AS sentiment FROM supplier""")
 def sc19_tab_separated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tab-separated lines by position with an organisation list and a tone tuple."""
-    line = lambda *c: "\t".join(c)
-    rows = spark.createDataFrame([(line("20240102101500", "ACME,12;OTHER,90", "-2.5,1,3"),), (line("20240102103000", "", "250,0,0"),)], "line string")
-    cells = parsers.delimited(rows, "line", {"stamp": "string", "orgs": "string", "tone": "string"}, sep="\t")
-    tone = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.split("tone", ",")[0].try_cast("double") / 100))
-    return cells.select("stamp", F.nullif(F.split(F.split("orgs", ";")[0], ",")[0], F.lit("")).alias("organisation"), tone.alias("sentiment"))
+    orgs = F.when(F.col("s_suppkey") % 3 == 0, "").otherwise(F.concat("s_name", F.lit(",12;OTHER,90")))
+    tone = F.concat(((F.col("s_suppkey") - 50) * 2.5).cast("string"), F.lit(",1,3"))
+    lines = table(spark, sf_dir, "supplier").select(F.concat_ws("\t", F.col("s_suppkey").cast("string"), orgs, tone).alias("line"))
+    cells = parsers.delimited(lines, "line", {"s_suppkey": "bigint", "orgs": "string", "tone": "string"}, sep="\t")
+    return cells.select("s_suppkey", F.nullif(F.split(F.split("orgs", ";")[0], ",")[0], F.lit("")).alias("organisation"), first_tone(F.col("tone")).alias("sentiment"))
 
 
 @C.add("SELECT event_id, (ts AT TIME ZONE 'UTC' AT TIME ZONE 'America/New_York')::date AS session FROM events")

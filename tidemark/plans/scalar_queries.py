@@ -40,12 +40,15 @@ def fn05_company_stems(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.select("company_name", text.company_stem(F.col("company_name")).alias("stem"))
 
 
-@C.add("""SELECT * FROM (VALUES ('↑ $150', 'touch_above', 150.0::double, NULL::double), ('↓ $120', 'touch_below', 120.0, NULL), ('$700-$720', 'between', 700.0, 720.0), ('<$600', 'less', NULL, 600.0), ('>$780', 'greater', 780.0, NULL),
-('150k+', 'greater', 150000.0, NULL), ('less than 3m', 'less', NULL, 3000000.0), ('Yes', 'custom', NULL, NULL)) t(label, kind, floor, cap)""")
+@C.add("""SELECT p_partkey, CASE p_partkey % 8 WHEN 0 THEN 'touch_above' WHEN 1 THEN 'touch_below' WHEN 2 THEN 'between' WHEN 3 THEN 'less' WHEN 4 THEN 'greater' WHEN 5 THEN 'greater' WHEN 6 THEN 'less' ELSE 'custom' END AS kind,
+CASE p_partkey % 8 WHEN 0 THEN p_size WHEN 1 THEN p_size WHEN 2 THEN p_size WHEN 4 THEN p_size * 1000000.0 WHEN 5 THEN 1000.0 + p_size * 1000 END::double AS floor, CASE p_partkey % 8 WHEN 2 THEN p_size + 20 WHEN 3 THEN p_size * 1000 WHEN 6 THEN p_size END::double AS cap FROM part""")
 def fn06_strike_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = ["↑ $150", "↓ $120", "$700-$720", "<$600", ">$780", "150k+", "less than 3m", "Yes"]
-    rows = spark.createDataFrame([(x,) for x in labels], "label string")
-    return rows.select("label", text.parse_strike(F.col("label")).alias("s")).select("label", "s.kind", "s.floor", "s.cap")
+    """Labels of strikes made of part sizes, of every form."""
+    n, k = F.col("p_size").cast("string"), F.col("p_partkey") % 8
+    forms = [F.concat(F.lit("↑ $"), n), F.concat(F.lit("↓ $"), n), F.concat(F.lit("$"), n, F.lit("-$"), (F.col("p_size") + 20).cast("string")), F.concat(F.lit("<$"), n, F.lit("k")), F.concat(F.lit("above "), n, F.lit("m")),
+             F.concat((F.col("p_size") + 1).cast("string"), F.lit("k+")), F.concat(F.lit("less than "), n), F.col("p_name")]
+    label = F.coalesce(*[F.when(k == i, f) for i, f in enumerate(forms)])
+    return table(spark, sf_dir, "part").select("p_partkey", text.parse_strike(label).alias("s")).select("p_partkey", "s.kind", "s.floor", "s.cap")
 
 
 @C.add("SELECT l_orderkey, l_linenumber, CASE WHEN l_tax - l_discount BETWEEN 0 AND 0.15 THEN round((l_tax + l_discount) / 2, 6) ELSE l_extendedprice END AS mid FROM lineitem")
@@ -98,22 +101,27 @@ def fn13_tone(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").where("value IS NOT NULL").select("event_id", text.first_tone(F.concat(F.col("value").cast("string"), F.lit(",0,1"))).alias("sentiment"))
 
 
-@C.add("SELECT * FROM (VALUES (1, true), (2, false), (3, false), (4, true)) t(id, has_202)")
+@C.add("SELECT o_orderkey, o_orderkey % 4 IN (0, 3) AS has_202 FROM orders")
 def fn14_item_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(1, "2.02,9.01"), (2, "12.02"), (3, "2.020"), (4, "1.01 , 2.02")], "id int, items string")
-    return rows.select("id", text.has_item(F.col("items"), "2.02").alias("has_202"))
+    """Whether a comma-separated list has an item, exactly."""
+    items = F.element_at(F.array(*map(F.lit, ("2.02,9.01", "12.02", "2.020 , 1.01", "1.01 , 2.02"))), (F.col("o_orderkey") % 4 + 1).cast("int"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", text.has_item(items, "2.02").alias("has_202"))
 
 
-@C.add("SELECT * FROM (VALUES (1, 1234.5::double), (2, NULL), (3, NULL), (4, -7.0), (5, NULL)) t(id, value)")
+@C.add("SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 1000.5 + o_orderkey % 1000 WHEN 3 THEN -o_orderkey END::double AS value FROM orders")
 def fn15_loose_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(1, "1,234.5"), (2, "."), (3, "N/A"), (4, " -7 "), (5, "abc")], "id int, raw string")
-    return rows.select("id", text.loose_number(F.col("raw")).alias("value"))
+    """Numbers with thousands separators, blanks, marks of absence and junk."""
+    key = F.col("o_orderkey")
+    raw = F.when(key % 5 == 0, F.concat(F.lit("1,"), F.lpad((key % 1000).cast("string"), 3, "0"), F.lit(".5"))).when(key % 5 == 1, ".").when(key % 5 == 2, "N/A").when(key % 5 == 3, F.concat(F.lit(" -"), key.cast("string"), F.lit(" "))).otherwise(F.concat(F.lit("x"), key.cast("string")))
+    return table(spark, sf_dir, "orders").select("o_orderkey", text.loose_number(raw).alias("value"))
 
 
-@C.add("SELECT * FROM (VALUES (1, date '2024-02-29'), (2, NULL), (3, date '2024-03-01'), (4, NULL)) t(id, value)")
+@C.add("SELECT o_orderkey, CASE WHEN o_orderkey % 4 IN (0, 2) THEN o_orderdate::date END AS value FROM orders")
 def fn16_loose_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([(1, "2024-02-29"), (2, "2023-02-29"), (3, "2024-03-01T10:00:00Z"), (4, None)], "id int, raw string")
-    return rows.select("id", text.loose_date(F.col("raw")).alias("value"))
+    """Days spelled with and without a time, a day that does not exist, and null."""
+    day, k = F.date_format("o_orderdate", "yyyy-MM-dd"), F.col("o_orderkey") % 4
+    raw = F.when(k == 0, day).when(k == 1, "2023-02-29").when(k == 2, F.concat(day, F.lit("T10:00:00Z")))
+    return table(spark, sf_dir, "orders").select("o_orderkey", text.loose_date(raw).alias("value"))
 
 
 @C.add("SELECT event_id, floor(epoch(ts))::bigint AS seconds, date_trunc('second', ts) AS stamp FROM events")
@@ -129,16 +137,24 @@ def fn18_market_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", F.to_date(local).alias("session_day"), (F.hour(local) * 100 + F.minute(local)).cast("bigint").alias("clock"), dates.in_session(F.col("ts").cast("timestamp")).alias("in_session"))
 
 
-@C.add("""SELECT * FROM (VALUES (date '2024-01-01'), (date '2024-01-15'), (date '2024-02-19'), (date '2024-03-29'), (date '2024-05-27'), (date '2024-06-19'), (date '2024-07-04'), (date '2024-09-02'), (date '2024-11-28'), (date '2024-12-25'),
-(date '2021-01-01'), (date '2021-01-18'), (date '2021-02-15'), (date '2021-04-02'), (date '2021-05-31'), (date '2021-07-05'), (date '2021-09-06'), (date '2021-11-25'), (date '2021-12-24')) t(day)""")
+#: Holidays of the New York exchange from 2000 to 2030 by rule, in SQL (Easter by Meeus' algorithm).
+HOLIDAYS_SQL = """y AS (SELECT unnest(range(2000, 2031))::int AS y), g AS (SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c FROM y), h AS (SELECT *, (19 * a + b - b // 4 - ((b - (b + 8) // 25 + 1) // 3) + 15) % 30 AS h FROM g),
+l AS (SELECT *, (32 + 2 * (b % 4) + 2 * (c // 4) - h - c % 4) % 7 AS l FROM h), e AS (SELECT *, h + l - 7 * ((a + 11 * h + 22 * l) // 451) + 114 AS n FROM l),
+nth AS (SELECT y, m, w, k FROM y, (VALUES (1, 1, 3), (2, 1, 3), (9, 1, 1), (11, 4, 4)) t(m, w, k)), f AS (SELECT y, make_date(y, m, 1) AS d, w, k FROM nth),
+fixed AS (SELECT y, make_date(y, m, d) AS d, m FROM y, (VALUES (1, 1), (7, 4), (12, 25), (6, 19)) t(m, d) WHERE m <> 6 OR y >= 2022),
+holidays AS (SELECT make_date(y, (n // 31)::int, (n % 31 + 1)::int) - 2 AS day FROM e UNION SELECT d + ((w - isodow(d) + 7) % 7)::int + 7 * (k - 1) FROM f UNION SELECT make_date(y, 5, 31) - (isodow(make_date(y, 5, 31)) - 1)::int FROM y
+UNION SELECT CASE isodow(d) WHEN 7 THEN d + 1 WHEN 6 THEN d - 1 ELSE d END FROM fixed WHERE NOT (m = 1 AND isodow(d) = 6))"""
+
+
+@C.add(f"WITH {HOLIDAYS_SQL} SELECT DISTINCT day FROM holidays")
 def fn19_holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dates.holiday_table(spark, 2024, 2024).unionAll(dates.holiday_table(spark, 2021, 2021)).select("day")
+    return dates.holiday_table(spark, 2000, 2030).select("day")
 
 
-@C.add("SELECT 252 AS sessions_2024, date '2024-03-28' AS before_easter")
+@C.add(f"WITH {HOLIDAYS_SQL}, d AS (SELECT unnest(generate_series(timestamp '2000-01-01', timestamp '2030-12-31', interval 1 day))::date AS day) SELECT date_trunc('month', day)::date AS mth, count(*) AS sessions, max(day) AS last FROM d WHERE isodow(day) < 6 AND day NOT IN (SELECT day FROM holidays) GROUP BY 1")
 def fn19_trading_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = dates.trading_days(spark, "2024-01-01", "2024-12-31")
-    return days.agg(F.count("*").alias("sessions_2024"), F.max(F.when(F.col("day") < "2024-03-31", F.col("day"))).alias("before_easter"))
+    """Sessions of each month and the last one, over 31 years."""
+    return dates.trading_days(spark, "2000-01-01", "2030-12-31").groupBy(F.trunc("day", "MM").alias("mth")).agg(F.count("*").alias("sessions"), F.max("day").alias("last"))
 
 
 # Third Fridays, and days thirty before one, that were no sessions; all others from 2015 to 2026 were.

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import struct
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.symbols import canonical
@@ -38,29 +39,46 @@ def sc09_pipe_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsers.delimited(lines.unionAll(noise), "line", {"symbol": "string", "date": "date", "total_volume": "double", "market": "string"})
 
 
-@C.add("SELECT * FROM (VALUES ('ABC', 'Abc Inc', 'Q'), ('XYZ', 'Xyz Corp', 'N')) t(symbol, name, market)")
+@C.add("SELECT p_partkey, p_name, nullif(p_brand, 'Brand#11') AS market FROM part")
 def sc10_listing_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = ["Symbol|Security Name|Market", "ABC|Abc Inc|Q", "XYZ|Xyz Corp|N", "File Creation Time: 0102202418:01||"]
-    return parsers.delimited(spark.createDataFrame([(t,) for t in text], "line string"), "line", {"symbol": "string", "name": "string", "market": "string"}, skip="^File Creation Time")
+    """Listings written as pipe-delimited lines with a header and a trailer, and parsed back."""
+    lines = table(spark, sf_dir, "part").select(F.concat_ws("|", F.col("p_partkey").cast("string"), "p_name", F.when(F.col("p_brand") == "Brand#11", " ").otherwise(F.col("p_brand"))).alias("line"))
+    noise = spark.createDataFrame([("p_partkey|Security Name|Market",), ("File Creation Time: 0102202418:01||",)], "line string")
+    return parsers.delimited(lines.unionAll(noise), "line", {"p_partkey": "bigint", "p_name": "string", "market": "string"}, skip="^File Creation Time")
 
 
-@C.add("SELECT * FROM (VALUES (date '2024-01-02', 'Mkt-RF', 0.5::double), (date '2024-01-02', 'RF', 0.02), (date '2024-01-03', 'SMB', -0.1), (date '2024-01-03', 'RF', 0.02)) t(date, factor, value)")
+@C.add("""WITH d AS (SELECT o_orderdate::date AS date, count(*) AS n, min(o_orderkey) AS k FROM orders GROUP BY 1)
+SELECT date, 'Mkt-RF' AS factor, n / 4.0::double AS value FROM d WHERE n % 3 <> 0 UNION ALL SELECT date, 'SMB', -n::double FROM d WHERE n < 99 UNION ALL SELECT date, 'RF', k::double FROM d""")
 def sc11_prose_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = ["Created by someone, with notes", ",Mkt-RF,SMB,RF", "20240102, 0.50,-99.99, 0.02", "20240103,-99.99,-0.10, 0.02", "", "Copyright 2024"]
-    return parsers.dated_csv_long(spark.createDataFrame([(t,) for t in text], "line string"), "line", ["Mkt-RF", "SMB", "RF"])
+    """Lines that begin with a day among prose, wide to long, without the marks of missing values."""
+    d = table(spark, sf_dir, "orders").groupBy(F.col("o_orderdate").cast("date").alias("d")).agg(F.count("*").alias("n"), F.min("o_orderkey").alias("k"))
+    market = F.when(F.col("n") % 3 == 0, "-99.99").otherwise(F.format_string("%.2f", F.col("n") / 4.0))
+    lines = d.select(F.concat(F.date_format("d", "yyyyMMdd"), F.lit(", "), market, F.lit(",-"), F.col("n").cast("string"), F.lit(",  "), F.col("k").cast("string")).alias("line"))
+    prose = spark.createDataFrame([("Created by someone, with notes",), (",Mkt-RF,SMB,RF",), ("",), ("Copyright 2024",)], "line string")
+    return parsers.dated_csv_long(lines.unionAll(prose), "line", ["Mkt-RF", "SMB", "RF"])
 
 
-@C.add("SELECT * FROM (VALUES (date '2024-01-02', '1M', 5.55::double), (date '2024-01-02', '10Y', 3.95), (date '2024-01-03', '10Y', 3.91)) t(date, tenor, value)")
+@C.add("""SELECT date '2024-01-01' + n_nationkey AS date, '1M' AS tenor, n_regionkey + 0.5::double AS value FROM nation WHERE n_nationkey % 4 <> 0
+UNION ALL SELECT date '2024-01-01' + n_nationkey, '10Y', n_nationkey / 8.0::double FROM nation""")
 def sc12_xml_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    block = lambda d, a, b: f"<m:properties><d:NEW_DATE>{d}T00:00:00</d:NEW_DATE><d:BC_1MONTH m:type='x'>{a}</d:BC_1MONTH><d:BC_10YEAR>{b}</d:BC_10YEAR></m:properties>"
-    text = "<feed>" + block("2024-01-02", "5.55", "3.95") + block("2024-01-03", "", "3.91") + "</feed>"
-    return parsers.property_blocks(spark.createDataFrame([(text,)], "x string"), "x", "properties", "NEW_DATE", {"BC_1MONTH": "1M", "BC_10YEAR": "10Y"})
-
-
-@C.add("SELECT * FROM (VALUES ('GOLD - COMEX', 'GOLD', 'COMEX', 5), ('E-MINI S&P - CME', 'E-MINI S&P', 'CME', NULL), ('CORN', 'CORN', NULL, -3)) t(name, market, exchange, net)")
+    """A feed for each region with a property block for each nation; empty values give no row."""
+    n = table(spark, sf_dir, "nation")
+    tag = lambda name, value: F.concat(F.lit(f"<d:{name} m:type='x'>"), value, F.lit(f"</d:{name}>"))
+    day = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.col("n_nationkey")), "yyyy-MM-dd'T'00:00:00")
+    month = F.when(F.col("n_nationkey") % 4 == 0, "").otherwise((F.col("n_regionkey") + 0.5).cast("string"))
+    block = F.concat(F.lit("<m:properties>"), tag("NEW_DATE", day), tag("BC_1MONTH", month), tag("BC_10YEAR", (F.col("n_nationkey") / 8.0).cast("string")), F.lit("</m:properties>"))
+    feeds = n.groupBy("n_regionkey").agg(F.concat(F.lit("<feed>"), F.array_join(F.collect_list(block), "\n"), F.lit("</feed>")).alias("x"))
+    return parsers.property_blocks(feeds, "x", "properties", "NEW_DATE", {"BC_1MONTH": "1M", "BC_10YEAR": "10Y"})
+
+
+@C.add("""SELECT c_custkey, c_mktsegment || CASE WHEN c_custkey % 5 = 0 THEN ' - MINI' ELSE '' END AS market, CASE WHEN c_custkey % 3 <> 0 THEN 'X' || c_nationkey END AS exchange, CASE WHEN c_custkey % 7 <> 0 THEN c_nationkey - 12 END AS net
+FROM customer WHERE NOT (c_custkey % 3 = 0 AND c_custkey % 5 = 0)""")
 def sc13_market_and_net(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.createDataFrame([("GOLD - COMEX", 8, 3), ("E-MINI S&P - CME", 8, None), ("CORN", 0, 3)], "name string, longs int, shorts int")
-    return rows.select("name", parsers.market_and_exchange(F.col("name")).alias("m"), (F.col("longs") - F.col("shorts")).alias("net")).select("name", "m.market", "m.exchange", "net")
+    """Names of market and exchange split at the last dash, and long less short (null where one is)."""
+    c = table(spark, sf_dir, "customer").where("NOT (c_custkey % 3 = 0 AND c_custkey % 5 = 0)")
+    name = F.concat("c_mktsegment", F.when(F.col("c_custkey") % 5 == 0, " - MINI").otherwise(""), F.when(F.col("c_custkey") % 3 != 0, F.concat(F.lit(" - X"), F.col("c_nationkey").cast("string"))).otherwise(""))
+    rows = c.select("c_custkey", parsers.market_and_exchange(name).alias("m"), (F.col("c_nationkey") - F.when(F.col("c_custkey") % 7 != 0, 12)).alias("net"))
+    return rows.select("c_custkey", "m.market", "m.exchange", "net")
 
 
 @C.add("SELECT l_orderkey, l_linenumber, CASE WHEN l_discount > 0 THEN l_discount END AS l_discount, CASE WHEN l_tax > 0 THEN l_tax END AS l_tax FROM lineitem")
@@ -96,16 +114,23 @@ def sc18_index_of_tracked_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.where(F.col("kind").isin("BUILDING", "MACHINERY")).join(tracked, "c_custkey", "left_semi").select("c_custkey", "c_name")
 
 
-@C.add("SELECT * FROM (VALUES ('E1', 'a', 0.4::double), ('E2', 'c', NULL)) t(event_id, id, bid)")
+@C.add("SELECT o_custkey AS event_id, o_orderkey::varchar AS id, CASE WHEN o_orderkey % 4 <> 0 THEN o_orderkey % 100 / 128.0::double END AS bid FROM orders WHERE o_orderstatus <> 'F'")
 def sc20_nested_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = '[{"event":"E1","title":"T","markets":[{"id":"a","status":"open","bid":0.4},{"id":"b","status":"settled"}]},{"event":"E2","markets":[{"id":"c"}]}]'
-    return parsers.nested_markets(spark.createDataFrame([(text,)], "p string"), "p").select("event_id", "id", "bid")
+    """Events with their markets as nested JSON; closed markets are dropped."""
+    market = F.struct(
+        F.col("o_orderkey").cast("string").alias("id"), F.when(F.col("o_orderstatus") == "F", "settled").when(F.col("o_orderstatus") == "O", "open").alias("status"), F.when(F.col("o_orderkey") % 4 != 0, F.col("o_orderkey") % 100 / 128.0).alias("bid")
+    )
+    events = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.collect_list(market).alias("markets"))
+    payload = events.select(F.to_json(F.array(F.struct(F.col("o_custkey").cast("string").alias("event"), F.lit("T").alias("title"), "markets"))).alias("p"))
+    return parsers.nested_markets(payload, "p").select(F.col("event_id").cast("bigint").alias("event_id"), "id", "bid")
 
 
-@C.add("SELECT * FROM (VALUES (date '2024-01-01', NULL::double), (date '2024-02-01', 5.25)) t(date, value)")
+@C.add("SELECT o_orderdate::date AS date, CASE WHEN o_orderkey % 6 <> 0 THEN o_orderkey / 4.0::double END AS value FROM orders")
 def sc21_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = '{"observations":[{"date":"2024-01-01","value":"."},{"date":"2024-02-01","value":"5.25"}]}'
-    return parsers.observations(spark.createDataFrame([(text,)], "p string"), "p")
+    """Series as JSON observations in which a dot is a missing value."""
+    value = F.when(F.col("o_orderkey") % 6 == 0, ".").otherwise(F.format_string("%.2f", F.col("o_orderkey") / 4.0))
+    series = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.collect_list(F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), value.alias("value"))).alias("observations"))
+    return parsers.observations(series.select(F.to_json(F.struct("observations")).alias("p")), "p")
 
 
 @C.add("SELECT l_orderkey, l_linenumber, measure, amount FROM (UNPIVOT (SELECT l_orderkey, l_linenumber, l_discount, l_tax FROM lineitem) ON l_discount, l_tax INTO NAME measure VALUE amount)")
@@ -127,13 +152,22 @@ def sc25_zero_is_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").where(F.coalesce(target.cast("string"), F.col("c_mktsegment")).isNotNull()).select("c_custkey", target.alias("target"))
 
 
-@C.add("SELECT * FROM (VALUES (1000::bigint, 'ABC', 'buy', 10.01::double, 300::bigint), (2000, 'ABC', 'sell', 10.02, 100), (3000, 'XYZ', 'trade', 5.5, 7)) t(ts, symbol, side, price, size)")
+@C.add("""SELECT epoch_us(ts) * 1000 AS ts, 'U' || user_id AS symbol, CASE event_type WHEN 'click' THEN 'buy' WHEN 'view' THEN 'sell' ELSE 'trade' END AS side, event_id / 10000.0::double AS price, event_id % 1000 AS size
+FROM events WHERE event_type <> 'error'""")
 def sc26_binary_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A binary depth segment decoded; unknown message types are skipped."""
-    pack = lambda kind, ts, name, size, price: struct.pack("<BBq8sIq", kind, 0, ts, name.ljust(8).encode(), size, price)
-    bodies = [pack(0x38, 1000, "ABC", 300, 100100), b"\x53" + bytes(9), pack(0x35, 2000, "ABC", 100, 100200), pack(0x54, 3000, "XYZ", 7, 55000)]
-    payload = bytes(40) + b"".join(len(b).to_bytes(2, "little") + b for b in bodies)
-    return orderbook.decode_segments(spark.createDataFrame([(bytearray(payload),)], "payload binary"))
+    """Binary depth segments, a message for each event, written and decoded; unknown message types are skipped."""
+    e = table(spark, sf_dir, "events").select((F.unix_micros(F.col("ts").cast("timestamp")) * 1000).alias("ts"), F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("symbol"), "event_type", "event_id")
+    return orderbook.decode_segments(e.mapInArrow(_segments, "payload binary"))
+
+
+def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Segments of 50 messages; every other one has a message of another length in it."""
+    kinds = {"click": orderbook.BUY, "view": orderbook.SELL, "error": 0x53}
+    for batch in batches:
+        bodies = [orderbook.LEVEL_MESSAGE.pack(kinds.get(r["event_type"], orderbook.TRADE), 0, r["ts"], r["symbol"].ljust(8).encode(), r["event_id"] % 1000, r["event_id"]) for r in batch.to_pylist()]
+        blocks = [len(b).to_bytes(2, "little") + b for b in bodies]
+        odd = (9).to_bytes(2, "little") + b"\x53" + bytes(8)
+        yield pa.RecordBatch.from_pydict({"payload": [bytes(orderbook.SEGMENT_HEADER) + b"".join(blocks[i : i + 50]) + odd * (i // 50 % 2) for i in range(0, len(blocks), 50)]})
 
 
 @C.add("SELECT n_name AS name, n_nationkey::varchar AS key FROM nation")
