@@ -331,6 +331,37 @@ def test_written_files_can_be_read(spark, tmp_path):
     assert spark.read.parquet(f"file://{tmp_path}/t").count() == 15
 
 
+def test_lake_is_compacted_where_it_lies(spark, tmp_path):
+    """Young files wait, forced runs take all, bad and other files stay, and a second run finds nothing to do."""
+    for p in range(3):
+        (tmp_path / f"p={p}").mkdir()
+        for f in range(p + 1):
+            pq.write_table(pa.table({"n": [p * 10 + f, -1]}), tmp_path / f"p={p}" / f"f{f}.parquet")
+    (tmp_path / "p=2" / "bad.parquet").write_bytes(b"junk")
+    pq.write_table(pa.table({"other": ["x"]}), tmp_path / "p=2" / "z.parquet")
+    root = f"file://{tmp_path}"
+    files = lambda: sorted(str(f.relative_to(tmp_path)) for f in tmp_path.rglob("*.parquet"))
+    before = files()
+    assert compaction.compact_lake(spark, root, min_age_days=1).count() == 0 and files() == before
+    done = {r.partition_path.rsplit("/", 1)[1]: (r.files_merged, r.files_written, r.rows, r.left) for r in compaction.compact_lake(spark, root, force=True).collect()}
+    assert done == {"p=1": (2, 1, 4, 0), "p=2": (3, 1, 6, 2)}
+    after = files()
+    assert len(after) == 5 and {"p=0/f0.parquet", "p=2/bad.parquet", "p=2/z.parquet"} < set(after)
+    values = sorted(v for f in after if "compacted" in f or f == "p=0/f0.parquet" for v in pq.read_table(tmp_path / f).column("n").to_pylist())
+    assert values == sorted([0, -1, 10, -1, 11, -1, 20, -1, 21, -1, 22, -1])
+    again = compaction.compact_lake(spark, root, force=True).collect()
+    assert all(r.files_merged == 0 for r in again) and files() == after
+
+
+def test_swap_may_run_again(spark, tmp_path):
+    """A task that was lost after deleting sources finds the hidden file; one lost at the very end finds all done."""
+    (tmp_path / ".compacted-x.parquet").write_bytes(b"new")
+    row = {"partition_path": f"file:{tmp_path}", "hidden": f"{tmp_path}/.compacted-x.parquet", "sources": [f"{tmp_path}/gone.parquet"], "rows": 1, "left": 0}
+    for _ in range(2):
+        list(compaction._swap_groups(iter([pa.RecordBatch.from_pylist([row], compaction._SWAP)])))
+        assert [f.name for f in tmp_path.iterdir()] == ["compacted-x.parquet"]
+
+
 # --- schema drift ------------------------------------------------------------
 
 

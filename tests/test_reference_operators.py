@@ -187,6 +187,21 @@ def test_merge_truth_table(spark):
     assert writer.merge(stored, incoming.limit(0), ["k"]).count() == 3
 
 
+def test_write_modes(spark, tmp_path):
+    path, schema = f"file://{tmp_path}/t", {"k": "int", "v": "double", "w": "string"}
+    rows = lambda: sorted(map(tuple, spark.read.parquet(path).select("k", "v", "w").collect()))
+    df = spark.createDataFrame([(2, "1.5", "a"), (1, "x", "b")], "k int, v string, w string")
+    assert writer.write(df.limit(0), path, schema) == "empty" and not (tmp_path / "t").exists()
+    assert writer.write(df, path, schema, sort=["k"]) == "written" and rows() == [(1, None, "b"), (2, 1.5, "a")]
+    new = spark.createDataFrame([(2, 7.0), (3, 8.0)], "k int, v double")
+    assert writer.write(new, path, schema, "merge", ["k"]) == "merged" and rows() == [(1, None, "b"), (2, 7.0, "a"), (3, 8.0, None)]
+    assert writer.write(new, path, schema, "skip_if_exists") == "skipped" and len(rows()) == 3
+    assert writer.write(new.limit(0), path, schema, allow_empty=True) == "written" and rows() == []
+    with pytest.raises(ValueError):
+        writer.write(new, path, schema, "append")
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
 def test_partitioned_write_and_pruned_read(spark, tmp_path):
     path = f"file://{tmp_path}/t"
     df = spark.createDataFrame([("A", date(2024, m, 5), float(m)) for m in range(1, 13)], "s string, day date, v double")

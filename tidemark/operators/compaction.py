@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 from collections.abc import Iterator
 
@@ -9,11 +10,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.operators.parquet_blocks import ParquetBlockError, footer_bytes, join_blocks
 from tidemark.operators.parquet_footers import Shape, cut_row_groups, read_footers
+from tidemark.session import shared_dir
 
 #: Bytes of small files that go into one consolidated file, about.
 TARGET_BYTES = 64 << 20
@@ -272,3 +274,81 @@ def compaction_report(joined: DataFrame) -> DataFrame:
         F.sum("bytes_after").alias("bytes_after"),
         F.count("error").alias("errors"),
     )
+
+
+def _filesystem(path: str):
+    """The file system of a path as Spark lists it, and the path in it."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path)
+
+
+def _write_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each group's files joined into one hidden file beside them; those that can't be joined are left as they are."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            system, folder = _filesystem(row["partition_path"])
+            opened = [_filesystem(p)[1] for p in sorted(row["paths"])]
+            blobs = []
+            for path in opened:
+                with system.open_input_stream(path) as source:
+                    blobs.append(source.read())
+            read = read_footers(blobs)
+            fit = [i for i, b in enumerate(read) if not isinstance(b, ParquetBlockError)]
+            same = [i for i in fit if read[i].shape.schema == read[fit[0]].shape.schema]
+            out = {"partition_path": row["partition_path"], "hidden": None, "sources": [opened[i] for i in same], "rows": 0, "left": len(blobs) - len(same)}
+            if len(same) > 1:
+                joined, _, out["rows"] = join_blocks([blobs[i] for i in same], [read[i] for i in same])
+                (seen,) = read_footers([joined])
+                if isinstance(seen, ParquetBlockError) or seen.rows != out["rows"]:
+                    raise ParquetBlockError(f"the joined file of {folder} has other totals: {seen}")
+                name = hashlib.sha1("\n".join(out["sources"]).encode()).hexdigest()[:16]
+                out["hidden"] = f"{folder}/.compacted-{row['part']:05d}-{name}.parquet"
+                with system.open_output_stream(out["hidden"]) as sink:
+                    sink.write(joined)
+            yield pa.RecordBatch.from_pylist([out], _SWAP)
+
+
+_SWAP = pa.schema([("partition_path", pa.string()), ("hidden", pa.string()), ("sources", pa.list_(pa.string())), ("rows", pa.int64()), ("left", pa.int64())])
+
+
+def _swap_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sources deleted and hidden files named; a task that runs again finds done what is done."""
+    from pyarrow import fs
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["hidden"]:
+                system, _ = _filesystem(row["partition_path"])
+                for source in row["sources"]:
+                    if system.get_file_info(source).type == fs.FileType.File:
+                        system.delete_file(source)
+                folder, name = row["hidden"].rsplit("/", 1)
+                if system.get_file_info(row["hidden"]).type == fs.FileType.File:
+                    system.move(row["hidden"], f"{folder}/{name[1:]}")
+        yield batch
+
+
+def compact_lake(spark: SparkSession, root: str, min_age_days: float = 1.0, force: bool = False, target_bytes: int = TARGET_BYTES, least_files: int = 2) -> DataFrame:
+    """Join the small files of each directory below ``root`` where they lie; returns what was done per directory.
+
+    Columns: partition_path, files_merged, files_written, rows, left (files that
+    were not joined). Files younger than ``min_age_days`` are left alone unless
+    ``force``. Planned on paths and lengths; each task opens its own files. New
+    files are hidden until all are written and checked; then sources go and
+    hidden files get their names, in tasks that may run again. A second run finds
+    one file a directory and does nothing.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(root).select("path", "length", "modificationTime")
+    if not force:
+        listed = listed.where(F.col("modificationTime") <= F.current_timestamp() - F.make_dt_interval(secs=F.lit(min_age_days * 86400)))
+    finished = listed.withColumn("partition_path", F.regexp_replace("path", "/[^/]*$", ""))
+    totals = finished.groupBy("partition_path").agg(F.sum("length").alias("bytes"), F.count("*").alias("n")).where(F.col("n") >= least_files)
+    parts = F.greatest(F.lit(1), F.ceil(F.col("bytes") / target_bytes)).cast("int")
+    groups = finished.join(totals, "partition_path").groupBy("partition_path", F.pmod(F.xxhash64("path"), parts).cast("int").alias("part")).agg(F.collect_list("path").alias("paths"))
+    done_at = shared_dir(spark, "compaction")
+    groups.mapInArrow(_write_groups, "partition_path string, hidden string, sources array<string>, rows bigint, left bigint").write.parquet(done_at)
+    done = spark.read.parquet(done_at)
+    done.mapInArrow(_swap_groups, done.schema).write.format("noop").mode("overwrite").save()
+    merged = F.when(F.col("hidden").isNotNull(), F.size("sources")).otherwise(0)
+    return done.groupBy("partition_path").agg(F.sum(merged).alias("files_merged"), F.count("hidden").alias("files_written"), F.sum("rows").alias("rows"), F.sum("left").alias("left"))

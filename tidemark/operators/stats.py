@@ -24,6 +24,12 @@ def rolling_slope(y: Column, x: Column, frame, least: int) -> Column:
     return F.when((n >= least) & (spread != 0), (sxy - sx * sy / n) / spread)
 
 
+def relative_trend(y: Column, x: Column, frame, least: int) -> Column:
+    """The rolling slope over the frame's mean absolute value; null where the latest value is missing or the level is zero."""
+    level = F.avg(F.abs(y)).over(frame)
+    return F.when(y.isNotNull() & (level > 0), rolling_slope(y, x, frame, least) / level)
+
+
 def _in_slices(df: DataFrame, groups: Sequence[str], values: Sequence[str], slices: int) -> DataFrame:
     """Rows with ``_slice_<value>`` for each value: equal parts of the group's values in order.
 

@@ -138,3 +138,46 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+
+
+def align_days(column: Column, kind: str) -> Column:
+    """Days, times and their spellings in one column as the declared type (date or timestamp); what can't be read is null."""
+    return F.coalesce(column.try_cast(kind), F.try_to_timestamp(column.cast("string")).cast(kind))
+
+
+def write(df: DataFrame, path: str, schema: Mapping[str, str], mode: str = "overwrite", keys: Sequence[str] = (), sort: Sequence[str] = (), allow_empty: bool = False) -> str:
+    """Coerce and write a dataset; says what was done: written, merged, skipped (it exists) or empty.
+
+    ``merge`` upserts by ``keys`` into what is stored, ``skip_if_exists`` leaves
+    that alone. Empty input writes nothing unless allowed. The old files stay
+    until the new ones are complete: both are written beside and renamed.
+    """
+    if mode not in ("overwrite", "merge", "skip_if_exists"):
+        raise ValueError(f"unknown mode {mode}")
+    spark = df.sparkSession
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    there = system.exists(target)
+    if there and mode == "skip_if_exists":
+        return "skipped"
+    rows = coerce(df, schema)
+    if not allow_empty and rows.isEmpty():
+        return "empty"
+    merging = there and mode == "merge"
+    if merging:
+        rows = merge(spark.read.schema(", ".join(f"`{c}` {t}" for c, t in schema.items())).parquet(path), coerce_present(df, schema), keys)
+    beside, old = (jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.{suffix}") for suffix in ("new", "old"))
+    for left in (beside, old):
+        system.delete(left, True)
+    (rows.sortWithinPartitions(*sort) if sort else rows).write.option("compression", "zstd").parquet(beside.toString())
+    if there:
+        system.rename(target, old)
+    system.rename(beside, target)
+    system.delete(old, True)
+    return "merged" if merging else "written"
+
+
+def coerce_present(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
+    """The declared columns that are there, each as declared; absent ones stay absent, so that a merge keeps what is stored."""
+    return coerce(df, {c: t for c, t in schema.items() if c in df.columns})

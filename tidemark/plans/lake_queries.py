@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.symbols import canonical
-from tidemark.operators import bars as bar_ops, quarters, writer
+from tidemark.operators import bars as bar_ops, compaction, quarters, writer
 from tidemark.plans.pit_queries import bars, members
 from tidemark.plans.registry import BARS_SQL, MEMBERS_SQL, SYMBOL_SQL, Catalogue
 from tidemark.session import shared_dir, table
+from tidemark.sources.lake import Lake
 
 C = Catalogue()
 BAR_SCHEMA = "symbol string, date date, close double, volume bigint"
@@ -160,3 +161,58 @@ g AS (SELECT *, lag(k) OVER (PARTITION BY event ORDER BY k) AS k0, lag(pa) OVER
 def ca15_ladder_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
     ladder = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("event"), F.col("l_quantity").alias("k")).agg(F.round(F.avg(F.col("l_discount") * 10), 6).alias("p"))
     return quarters.ladder_median(ladder, "event", "k", "p").select("event", F.round("median", 6).alias("median"))
+
+
+@C.add("SELECT s_nationkey, count(*) AS n, 1 AS files FROM supplier GROUP BY 1")
+def sk11_compacted_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written in many small files per directory, compacted where it lies and read again."""
+    path = shared_dir(spark, "small-files")
+    table(spark, sf_dir, "supplier").repartition(12).write.partitionBy("s_nationkey").parquet(path)
+    compaction.compact_lake(spark, path, force=True)
+    found = spark.read.parquet(path).select("s_nationkey", F.input_file_name().alias("file"))
+    return found.groupBy("s_nationkey").agg(F.count("*").alias("n"), F.countDistinct("file").alias("files"))
+
+
+@C.add("""WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'X' ELSE o_orderstatus END AS status, o_totalprice FROM orders WHERE o_orderkey % 7 <> 0)
+SELECT 'merged' AS done, count(*) AS n, count(*) FILTER (WHERE status = 'X') AS changed, round(sum(o_totalprice), 0) AS total FROM o UNION ALL SELECT 'skipped, empty', 0, 0, 0""")
+def sk01_write_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One writer in its modes: a table is written, merged with rows that lack a column, then neither skipped nor empty input changes it."""
+    path = shared_dir(spark, "written")
+    o = table(spark, sf_dir, "orders").where("o_orderkey % 7 <> 0").select("o_orderkey", F.col("o_orderstatus").alias("status"), "o_totalprice")
+    schema = {"o_orderkey": "bigint", "status": "string", "o_totalprice": "double"}
+    writer.write(o, path, schema, sort=["o_orderkey"])
+    done = writer.write(o.where("o_orderkey % 3 = 0").select("o_orderkey", F.lit("X").alias("status"), F.lit(1).alias("not_declared")), path, schema, "merge", ["o_orderkey"])
+    others = [writer.write(o.limit(1), path, schema, "skip_if_exists"), writer.write(o.limit(0), path, schema)]
+    stored = spark.read.parquet(path).agg(F.lit(done).alias("done"), F.count("*").alias("n"), F.count_if(F.col("status") == "X").alias("changed"), F.round(F.sum("o_totalprice"), 0).alias("total"))
+    return stored.unionByName(stored.select(F.lit(", ".join(others)).alias("done"), F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("changed"), F.lit(0.0).alias("total")))
+
+
+@C.add("SELECT o_orderkey, o_orderdate::date AS day, CASE WHEN o_orderkey % 4 <> 3 THEN o_orderdate::date END AS from_text FROM orders")
+def sk05_days_and_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days, times and their spellings aligned in one column."""
+    d, k = F.col("o_orderdate"), F.col("o_orderkey") % 4
+    spelled = F.when(k == 0, F.date_format(d, "yyyy-MM-dd")).when(k == 1, F.date_format(d, "yyyy-MM-dd HH:mm:ss")).when(k == 2, F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss'Z'")).otherwise("soon")
+    return table(spark, sf_dir, "orders").select("o_orderkey", writer.align_days(d, "date").alias("day"), writer.align_days(spelled, "date").alias("from_text"))
+
+
+@C.add("SELECT * FROM (VALUES ('region', 'r_name', true), ('region', 'r_regionkey', true), ('region', 'r_comment', false), ('region', 'extra', true)) t(dataset, column_name, on_disk)")
+def sc03_columns_on_disk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which columns the footers of a dataset's files have, a broken file and a declared column in none of them beside."""
+    root = shared_dir(spark, "lake")
+    r = table(spark, sf_dir, "region")
+    r.where("r_regionkey < 2").write.parquet(f"{root}/region/a")
+    r.select("r_name", F.lit(1).alias("extra")).write.parquet(f"{root}/region/b")
+    lake = Lake(spark, root, {"region": "r_regionkey int, r_name string, r_comment string"})
+    found = lake.columns_on_disk("region")
+    names = sorted({*found, *lake.schemas["region"].fieldNames()})
+    return spark.createDataFrame([("region", n, n in found) for n in names], "dataset string, column_name string, on_disk boolean")
+
+
+@C.add("SELECT 'orders' AS dataset, count(*) AS n, 3 AS files, true AS has_bytes FROM orders")
+def ag25_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, files and bytes of a dataset (HX17)."""
+    root = shared_dir(spark, "lake")
+    table(spark, sf_dir, "orders").repartition(3).write.parquet(f"{root}/orders")
+    lake = Lake(spark, root, {"orders": "o_orderkey bigint"})
+    files = lake.files("orders").agg(F.count("*").cast("int").alias("files"), (F.sum("length") > 0).alias("has_bytes"))
+    return lake.counts().crossJoin(files).select("dataset", "n", "files", "has_bytes")  # one row

@@ -91,13 +91,13 @@ def wn18_monotone_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarters.monotone(l, "event", "k", "p").select("event", "k", "p_above")
 
 
-@C.add(f"""WITH {BARS_SQL}, g AS (SELECT symbol, date, close, count(close) OVER (PARTITION BY symbol ORDER BY date ROWS UNBOUNDED PRECEDING) AS island FROM bars) SELECT symbol, date, count(*) FILTER (WHERE close IS NULL) OVER (PARTITION BY symbol, island ORDER BY date ROWS UNBOUNDED PRECEDING) AS empty_runs FROM g""")
+@C.add(f"""WITH {BARS_SQL}, g AS (SELECT symbol, date, close, count(close) OVER (PARTITION BY symbol ORDER BY date ROWS UNBOUNDED PRECEDING) AS island FROM bars) SELECT symbol, date, count(*) FILTER (WHERE close IS NULL) OVER (PARTITION BY symbol, island ORDER BY date ROWS UNBOUNDED PRECEDING) AS empty_runs, empty_runs >= 3 AS suspected FROM g""")
 def wn21_empty_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Consecutive rows without a value, reset by the next value."""
+    """Consecutive rows without a value, reset by the next value, and whether they reach three."""
     w = Window.partitionBy("symbol").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
     g = bars(spark, sf_dir, "close").withColumn("island", F.count("close").over(w))
     run = Window.partitionBy("symbol", "island").orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
-    return g.select("symbol", "date", F.count(F.when(F.col("close").isNull(), 1)).over(run).alias("empty_runs"))
+    return g.select("symbol", "date", F.count(F.when(F.col("close").isNull(), 1)).over(run).alias("empty_runs")).withColumn("suspected", F.col("empty_runs") >= 3)
 
 
 @C.add("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25")

@@ -279,15 +279,17 @@ def ag29_breadth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.groupBy("date").agg(F.count_if(F.col("close") > F.col("prior")).alias("advancers"), F.count_if(F.col("close") < F.col("prior")).alias("decliners"), F.count_if(F.col("close") >= F.col("hi")).alias("new_highs"), F.count("*").alias("n"))
 
 
-_SLOPE = "CASE WHEN n >= {least} AND n * sxx - sx * sx <> 0 THEN round((sxy - sx * sy / n) / (sxx - sx * sx / n), 4) + 0.0 END"
+_SLOPE = "CASE WHEN n >= {least} AND y IS NOT NULL AND n * sxx - sx * sx <> 0 AND level > 0 THEN round((sxy - sx * sy / n) / (sxx - sx * sx / n) / level, 6) + 0.0 END"
 
 
-@C.add(f"""WITH {BARS_SQL}, t AS (SELECT symbol, date, close AS y, row_number() OVER (PARTITION BY symbol ORDER BY date)::double AS x FROM bars WHERE close IS NOT NULL), s AS (SELECT symbol, date, count(*) OVER o AS n, sum(x) OVER o AS sx, sum(y) OVER o AS sy, sum(x * y) OVER o AS sxy, sum(x * x) OVER o AS sxx FROM t
-WINDOW o AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)) SELECT symbol, date, {_SLOPE.format(least=8)} AS slope FROM s""")
+@C.add(f"""WITH {BARS_SQL}, t AS (SELECT symbol, date, close AS y, row_number() OVER (PARTITION BY symbol ORDER BY date)::double AS i FROM bars), u AS (SELECT *, CASE WHEN y IS NOT NULL THEN i END AS x FROM t),
+s AS (SELECT symbol, date, y, count(x) OVER o AS n, sum(x) OVER o AS sx, sum(y) OVER o AS sy, sum(x * y) OVER o AS sxy, sum(x * x) OVER o AS sxx, avg(abs(y)) OVER o AS level FROM u
+WINDOW o AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)) SELECT symbol, date, {_SLOPE.format(least=8)} AS trend FROM s""")
 def ag30_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slope over at most twelve rows relative to their mean level, of at least eight values, the latest among them."""
     order = Window.partitionBy("symbol").orderBy("date")
-    b = bars(spark, sf_dir, "close").where("close IS NOT NULL").withColumn("x", F.row_number().over(order).cast("double"))
-    return b.select("symbol", "date", stats.unsigned(stats.rolling_slope(F.col("close"), F.col("x"), order.rowsBetween(-11, 0), 8), 4).alias("slope"))
+    b = bars(spark, sf_dir, "close").withColumn("x", F.row_number().over(order).cast("double"))
+    return b.select("symbol", "date", stats.unsigned(stats.relative_trend(F.col("close"), F.col("x"), order.rowsBetween(-11, 0), 8), 6).alias("trend"))
 
 
 @C.add(f"WITH {BARS_SQL} SELECT symbol, date, lag(close) OVER w AS prior, round(close / nullif(lag(close) OVER w, 0) - 1, 6) AS change, round(ln(close / nullif(lag(close) OVER w, 0)), 6) AS log_return FROM bars WHERE close > 0 WINDOW w AS (PARTITION BY symbol ORDER BY date)")
