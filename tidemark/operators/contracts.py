@@ -147,3 +147,18 @@ def options_report(chains: DataFrame, keys: Sequence[str], curve: DataFrame, yie
     analysed = analyse_contracts(ready, "underlying_price", "strike", "years", "risk_free_rate", "dividend_yield", "bid", "ask", "last_price", "is_call")
     flow = put_call_flow(chains, keys, "option_type", "volume", "open_interest", "expiration", "underlying_price", ["expiration", "option_type", "strike"])
     return analysed, flow.join(surface_summary(analysed, keys, "option_type", "dte"), list(keys), "left")
+
+
+def options_between(
+    chains: DataFrame, first: Column, last: Column, symbols: Sequence[str] | None = None, least_days: int | None = None, most_days: int | None = None, option_type: str | None = None,
+    snapshot: str = "snapshot_date", days: str = "dte",
+) -> DataFrame:
+    """Contracts of the snapshots in [first, last]; filters that are None don't apply, an empty list of symbols gives no rows."""
+    found = chains.where(F.col(snapshot).between(first, last))
+    if symbols is not None:
+        found = found.where(F.col("symbol").isin([s.upper() for s in symbols])) if symbols else found.limit(0)
+    if least_days is not None:
+        found = found.where(F.col(days) >= least_days)
+    if most_days is not None:
+        found = found.where(F.col(days) <= most_days)
+    return found if option_type is None else found.where(F.col("option_type") == option_type.lower())

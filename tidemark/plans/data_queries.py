@@ -64,14 +64,18 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.join(held, "partition_path").select("partition_path", "files_merged", "records_kept", "volume_kept")
 
 
-def p5_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every change between consecutive snapshots with the names of changed attributes."""
+def _snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     attributes = {c: tidy(F.col(c)) for c in ("company_name", "gics_sector", "gics_sub_industry")} | {"cik": bare_number(F.col("cik"))}
     return snapshot_changes(table(spark, sf_dir, "live_constituents"), "snapshot_date", symbol(), attributes, "ingested_at")
 
 
+def p5_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every change between consecutive snapshots with the names of changed attributes, joined by commas."""
+    return _snapshot_changes(spark, sf_dir).withColumn("fields", F.array_join("fields", ","))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p5_changes(spark, sf_dir).select(day_text(F.col("snapshot")).alias("snapshot_date"), F.col("key").alias("symbol"), "change")
+    return _snapshot_changes(spark, sf_dir).select(day_text(F.col("snapshot")).alias("snapshot_date"), F.col("key").alias("symbol"), "change")
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,18 +123,38 @@ SELECT partition_path, files_merged, count(*) AS records_kept, sum(round(coalesc
 FROM held JOIN files USING (partition_path) GROUP BY 1, 2"""
 _TIDY = r"nullif(trim(regexp_replace({0}, '[\s\x{{00a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]+', ' ', 'g')), '')"
 _T = {c: _TIDY.format(c) for c in ("company_name", "gics_sector", "gics_sub_industry", "cik")}
-SQL["p5_found"] = f"""
+_P5 = f"""
 WITH latest AS (
   SELECT snapshot_date, {_S} AS symbol, {_T['company_name']} AS a, {_T['gics_sector']} AS b, {_T['gics_sub_industry']} AS c, nullif(ltrim({_T['cik']}, '0'), '') AS d
   FROM live_constituents WHERE snapshot_date IS NOT NULL AND symbol IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY snapshot_date, {_S} ORDER BY ingested_at DESC) = 1),
 days AS (SELECT snapshot_date, lag(snapshot_date) OVER (ORDER BY snapshot_date) AS prior FROM (SELECT DISTINCT snapshot_date FROM latest)),
 cur AS (SELECT l.*, prior FROM latest l JOIN days USING (snapshot_date) WHERE prior IS NOT NULL),
-old AS (SELECT l.*, d.snapshot_date AS later FROM latest l JOIN days d ON l.snapshot_date = d.prior)
-SELECT strftime(coalesce(cur.snapshot_date, old.later), '%Y-%m-%d') AS snapshot_date, coalesce(cur.symbol, old.symbol) AS symbol,
-  CASE WHEN old.symbol IS NULL THEN 'added' WHEN cur.symbol IS NULL THEN 'removed' ELSE 'changed' END AS change
+old AS (SELECT l.*, d.snapshot_date AS later FROM latest l JOIN days d ON l.snapshot_date = d.prior),
+both_ AS (SELECT coalesce(cur.snapshot_date, old.later) AS snapshot, coalesce(cur.symbol, old.symbol) AS key, CASE WHEN old.symbol IS NULL THEN 'added' WHEN cur.symbol IS NULL THEN 'removed' ELSE 'changed' END AS change,
+  concat_ws(',', CASE WHEN cur.a IS DISTINCT FROM old.a THEN 'company_name' END, CASE WHEN cur.b IS DISTINCT FROM old.b THEN 'gics_sector' END, CASE WHEN cur.c IS DISTINCT FROM old.c THEN 'gics_sub_industry' END, CASE WHEN cur.d IS DISTINCT FROM old.d THEN 'cik' END) AS fields
 FROM cur FULL JOIN old ON cur.symbol = old.symbol AND cur.snapshot_date = old.later
-WHERE old.symbol IS NULL OR cur.symbol IS NULL OR (cur.a, cur.b, cur.c, cur.d) IS DISTINCT FROM (old.a, old.b, old.c, old.d)"""
+WHERE old.symbol IS NULL OR cur.symbol IS NULL OR (cur.a, cur.b, cur.c, cur.d) IS DISTINCT FROM (old.a, old.b, old.c, old.d))"""
+SQL["p5_found"] = f"{_P5} SELECT strftime(snapshot, '%Y-%m-%d') AS snapshot_date, key AS symbol, change FROM both_"
+SQL["p5_changes"] = f"{_P5} SELECT snapshot, key, change, CASE WHEN change = 'changed' THEN fields END AS fields FROM both_"
+_CANON = "CASE " + " ".join(f"WHEN field IN ({', '.join(repr(a) for a in aliases)}) THEN '{name}'" for name, aliases in drift.ALIASES.items()) + " ELSE field END"
+SQL["p2_found"] = f"""
+WITH r AS (SELECT feed, file_id, landed_at, try_cast(payload AS json) AS doc FROM landed_rows WHERE feed IS NOT NULL AND file_id IS NOT NULL),
+files AS (SELECT feed, file_id, row_number() OVER (PARTITION BY feed ORDER BY min(landed_at), file_id) AS nth FROM r GROUP BY 1, 2),
+lasts AS (SELECT feed, max(nth) AS last FROM files GROUP BY 1),
+k AS (SELECT feed, file_id, doc, unnest(json_keys(doc)) AS field FROM r WHERE json_type(doc) = 'OBJECT'),
+t AS (SELECT feed, file_id, field, max(CASE json_type(doc, '$."' || field || '"') WHEN 'BOOLEAN' THEN 1 WHEN 'BIGINT' THEN 2 WHEN 'UBIGINT' THEN 2 WHEN 'DOUBLE' THEN 3 WHEN 'OBJECT' THEN 4 WHEN 'ARRAY' THEN 5 WHEN 'VARCHAR' THEN 6 END) AS kind FROM k GROUP BY 1, 2, 3),
+c AS (SELECT feed, nth, field, {_CANON} AS canon, kind FROM t JOIN files USING (feed, file_id)),
+m AS (SELECT *, CASE WHEN lag(nth) OVER w IS NULL OR lag(nth) OVER w < nth - 1 THEN 1 ELSE 0 END AS fresh FROM c WINDOW w AS (PARTITION BY feed, canon ORDER BY nth, field)),
+n AS (SELECT *, sum(fresh) OVER (PARTITION BY feed, canon ORDER BY nth, field ROWS UNBOUNDED PRECEDING) AS chain FROM m),
+p AS (SELECT *, last_value(kind IGNORE NULLS) OVER (PARTITION BY feed, canon, chain ORDER BY nth, field ROWS UNBOUNDED PRECEDING) AS carried FROM n),
+s AS (SELECT feed, nth, canon, field, kind, row_number() OVER (PARTITION BY feed, nth, canon ORDER BY field) AS i FROM p WHERE nth > 1 AND NOT EXISTS (SELECT 1 FROM p q WHERE q.feed = p.feed AND q.field = p.field AND q.nth = p.nth - 1)),
+e AS (SELECT feed, nth + 1 AS nth, canon, field, carried AS kind, row_number() OVER (PARTITION BY feed, nth, canon ORDER BY field) AS i FROM p JOIN lasts USING (feed) WHERE nth < last AND NOT EXISTS (SELECT 1 FROM p q WHERE q.feed = p.feed AND q.field = p.field AND q.nth = p.nth + 1)),
+b AS (SELECT coalesce(s.feed, e.feed) AS feed, coalesce(s.nth, e.nth) AS nth, e.field AS old, s.field AS new, s.field IS NOT NULL AND e.field IS NOT NULL AND coalesce(s.kind = e.kind, true) AS same
+  FROM s FULL JOIN e ON s.feed = e.feed AND s.nth = e.nth AND s.canon = e.canon AND s.i = e.i),
+x AS (SELECT feed, nth, 'renamed' AS change, old AS old_field, new AS new_field FROM b WHERE same UNION ALL SELECT feed, nth, 'removed', old, '' FROM b WHERE NOT same AND old IS NOT NULL UNION ALL SELECT feed, nth, 'added', '', new FROM b WHERE NOT same AND new IS NOT NULL
+  UNION ALL SELECT p.feed, p.nth, 'retyped', p.field, p.field FROM p JOIN p q ON q.feed = p.feed AND q.field = p.field AND q.nth = p.nth - 1 WHERE p.carried <> q.carried)
+SELECT DISTINCT file_id, change, old_field, new_field FROM x JOIN files USING (feed, nth)"""
 _HELD = f"""held AS (
   SELECT {_S} AS sym, index_name, start_date, coalesce(end_date, date '9999-12-31') AS end_date, gics_sector
   FROM membership WHERE symbol IS NOT NULL AND index_name IS NOT NULL AND start_date IS NOT NULL

@@ -157,7 +157,7 @@ def ca10_quarters_from_ytd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @C.add("""WITH l AS (SELECT l_partkey AS event, l_quantity AS k, round(avg(l_discount * 10), 6) AS p FROM lineitem GROUP BY 1, 2), m AS (SELECT event, k, (min(p) OVER (PARTITION BY event ORDER BY k ROWS UNBOUNDED PRECEDING) + max(p) OVER (PARTITION BY event ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) / 2 AS pa FROM l),
-g AS (SELECT *, lag(k) OVER (PARTITION BY event ORDER BY k) AS k0, lag(pa) OVER (PARTITION BY event ORDER BY k) AS p0 FROM m) SELECT event, round(min(CASE WHEN pa <= 0.5 AND p0 > 0.5 THEN k0 + (p0 - 0.5) / (p0 - pa) * (k - k0) END), 6) AS median FROM g GROUP BY 1""")
+g AS (SELECT *, lag(k) OVER (PARTITION BY event ORDER BY k) AS k0, lag(pa) OVER (PARTITION BY event ORDER BY k) AS p0 FROM m) SELECT event, round(min(CASE WHEN pa <= 0.5 AND p0 > 0.5 THEN k0 + (p0 - 0.5) / (p0 - pa) * (k - k0) WHEN p0 IS NULL AND pa = 0.5 THEN k END), 6) AS median FROM g GROUP BY 1""")
 def ca15_ladder_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
     ladder = table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("event"), F.col("l_quantity").alias("k")).agg(F.round(F.avg(F.col("l_discount") * 10), 6).alias("p"))
     return quarters.ladder_median(ladder, "event", "k", "p").select("event", F.round("median", 6).alias("median"))

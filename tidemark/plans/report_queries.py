@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions import text
 from tidemark.functions.symbols import canonical
-from tidemark.operators import contracts, facts, matching, stats
+from tidemark.operators import contracts, facts, matching, quarters, stats
 from tidemark.plans.pit_queries import bars
 from tidemark.plans.registry import BARS_SQL, SYMBOL_SQL, Catalogue
 from tidemark.plans.scalar_queries import STEM_SQL
@@ -125,6 +125,14 @@ def ca07_options_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contracts.options_report(chains, ["symbol"], curve, yields)[1]
 
 
+@C.add("""SELECT l_orderkey, l_linenumber, l_shipdate::date AS snapshot_date, l_linenumber * 9 AS dte FROM lineitem WHERE l_shipdate::date BETWEEN date '1997-01-01' AND date '1997-12-31' AND 'S' || l_suppkey IN ('S1', 'S7', 'S12') AND l_linenumber * 9 BETWEEN 18 AND 45 AND l_linestatus = 'F'""")
+def ca06_options_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contracts of some symbols over a range of snapshots, by type and days to expiry."""
+    chains = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("snapshot_date"), F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("symbol"), (F.col("l_linenumber") * 9).alias("dte"), F.when(F.col("l_linestatus") == "F", "put").otherwise("call").alias("option_type"))
+    day = lambda d: F.lit(d).cast("date")
+    return contracts.options_between(chains, day("1997-01-01"), day("1997-12-31"), ["s1", "S7", "s12"], 18, 45, "PUT").select("l_orderkey", "l_linenumber", "snapshot_date", "dte")
+
+
 # --- facts -------------------------------------------------------------------------
 
 _FACTS = """'C' || o_custkey AS symbol, o_orderpriority AS concept, CASE o_orderstatus WHEN 'F' THEN '10-K' WHEN 'O' THEN '10-Q' ELSE '8-K' END AS form_type, CAST(o_orderdate AS date) AS end_date,
@@ -267,6 +275,29 @@ def ca14_shut_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.shut_share(_windows(spark, sf_dir), "symbol", "shut", "reopen")
 
 
+_OUTCOMES = """l_orderkey, l_linenumber, CASE l_orderkey % 6 WHEN 0 THEN 'greater' WHEN 1 THEN CASE WHEN l_linenumber = 1 THEN 'less' ELSE 'greater' END WHEN 2 THEN CASE WHEN l_linenumber % 2 = 0 THEN 'touch_above' ELSE 'touch_below' END
+WHEN 5 THEN CASE WHEN l_linenumber = 1 THEN 'less' ELSE 'between' END END AS kind, CASE WHEN l_orderkey % 6 IN (1, 5) AND l_linenumber = 1 THEN NULL ELSE l_quantity END AS floor, CASE WHEN l_tax = 0 THEN NULL ELSE round(l_discount * 10, 1) END AS p, l_orderkey % 6 = 3 AS exclusive"""
+
+
+@C.add(f"""WITH o AS (SELECT {_OUTCOMES} FROM lineitem), r AS (SELECT *, l_orderkey AS k FROM o WHERE p IS NOT NULL),
+f AS (SELECT k, count(*) AS n, list(DISTINCT kind) FILTER (WHERE kind IS NOT NULL) AS kinds, bool_and(floor IS NOT NULL) AS floors, bool_or(exclusive) AS excl, sum(p) AS total, max(p) AS single FROM r GROUP BY 1),
+g AS (SELECT *, CASE WHEN n = 1 THEN 'binary' WHEN kinds = ['greater'] AND floors THEN 'above' WHEN len(kinds) > 0 AND list_has_all(['touch_above', 'touch_below'], kinds) THEN 'touch' WHEN list_contains(kinds, 'between') OR (len(kinds) = 2 AND list_has_all(['greater', 'less'], kinds)) THEN 'buckets'
+WHEN NOT excl THEN 'multi' ELSE 'outcomes' END AS form FROM f),
+a AS (SELECT k, floor, max(p) AS above FROM r JOIN g USING (k) WHERE form = 'above' GROUP BY 1, 2 UNION ALL SELECT k, floor, round(sum(mass) OVER (PARTITION BY k ORDER BY floor ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 9) FROM (SELECT k, floor, sum(p) / max(total) AS mass FROM r JOIN g USING (k) WHERE form = 'buckets' AND total > 0 AND floor IS NOT NULL GROUP BY 1, 2)),
+m AS (SELECT k, floor, (min(above) OVER (PARTITION BY k ORDER BY floor ROWS UNBOUNDED PRECEDING) + max(above) OVER (PARTITION BY k ORDER BY floor ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) / 2 AS pa FROM a),
+l AS (SELECT *, lag(floor) OVER w AS k0, lag(pa) OVER w AS p0 FROM m WINDOW w AS (PARTITION BY k ORDER BY floor)),
+d AS (SELECT k, arg_min(pa, floor) AS low, arg_max(pa, floor) AS high, min(CASE WHEN pa <= 0.5 AND p0 > 0.5 THEN k0 + (p0 - 0.5) / (p0 - pa) * (floor - k0) WHEN p0 IS NULL AND pa = 0.5 THEN floor END) AS median FROM l GROUP BY 1),
+t AS (SELECT k, l_linenumber, round(sum(p), 9) AS p1 FROM r JOIN g USING (k) WHERE form = 'outcomes' GROUP BY 1, 2), u AS (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY k ORDER BY p1 DESC, l_linenumber) = 1)
+SELECT e.l_orderkey, CASE WHEN form IS NULL THEN 'empty' WHEN form IN ('above', 'buckets') THEN 'ladder' ELSE form END AS view, round(CASE WHEN low >= 0.5 AND high <= 0.5 THEN median END, 4) AS median, coalesce(low < 0.5, false) AS below_range, coalesce(low >= 0.5 AND high > 0.5, false) AS above_range,
+CASE WHEN form = 'binary' THEN 'Yes' ELSE l_linenumber::varchar END AS top, round(CASE WHEN form = 'binary' THEN single WHEN form = 'outcomes' THEN CASE WHEN total > 1.05 OR total < 0.95 THEN p1 / nullif(total, 0) ELSE p1 END END, 4) AS top_prob
+FROM (SELECT DISTINCT l_orderkey FROM lineitem) e LEFT JOIN g ON g.k = e.l_orderkey LEFT JOIN d ON d.k = e.l_orderkey LEFT JOIN u ON u.k = e.l_orderkey""")
+def ca15_event_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the outcomes of an event say, by the kind of their strikes."""
+    o = table(spark, sf_dir, "lineitem").selectExpr(*_split(_OUTCOMES)).withColumn("outcome", F.col("l_linenumber").cast("string"))
+    v = quarters.event_views(o, "l_orderkey", "kind", "floor", "p", "outcome", "exclusive")
+    return v.select("l_orderkey", "view", F.round("median", 4).alias("median"), "below_range", "above_range", "top", F.round("top_prob", 4).alias("top_prob"))
+
+
 # --- reports and small rules -------------------------------------------------------
 
 
