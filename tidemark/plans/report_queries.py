@@ -288,14 +288,14 @@ m AS (SELECT k, floor, (min(above) OVER (PARTITION BY k ORDER BY floor ROWS UNBO
 l AS (SELECT *, lag(floor) OVER w AS k0, lag(pa) OVER w AS p0 FROM m WINDOW w AS (PARTITION BY k ORDER BY floor)),
 d AS (SELECT k, arg_min(pa, floor) AS low, arg_max(pa, floor) AS high, min(CASE WHEN pa <= 0.5 AND p0 > 0.5 THEN k0 + (p0 - 0.5) / (p0 - pa) * (floor - k0) WHEN p0 IS NULL AND pa = 0.5 THEN floor END) AS median FROM l GROUP BY 1),
 t AS (SELECT k, l_linenumber, round(sum(p), 9) AS p1 FROM r JOIN g USING (k) WHERE form = 'outcomes' GROUP BY 1, 2), u AS (SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY k ORDER BY p1 DESC, l_linenumber) = 1)
-SELECT e.l_orderkey, CASE WHEN form IS NULL THEN 'empty' WHEN form IN ('above', 'buckets') THEN 'ladder' ELSE form END AS view, round(CASE WHEN low >= 0.5 AND high <= 0.5 THEN median END, 4) AS median, coalesce(low < 0.5, false) AS below_range, coalesce(low >= 0.5 AND high > 0.5, false) AS above_range,
-CASE WHEN form = 'binary' THEN 'Yes' ELSE l_linenumber::varchar END AS top, round(CASE WHEN form = 'binary' THEN single WHEN form = 'outcomes' THEN CASE WHEN total > 1.05 OR total < 0.95 THEN p1 / nullif(total, 0) ELSE p1 END END, 4) AS top_prob
+SELECT e.l_orderkey, CASE WHEN form IS NULL THEN 'empty' WHEN form IN ('above', 'buckets') THEN 'ladder' ELSE form END AS view, round(CASE WHEN low >= 0.5 AND high <= 0.5 THEN median END, 6) AS median, coalesce(low < 0.5, false) AS below_range, coalesce(low >= 0.5 AND high > 0.5, false) AS above_range,
+CASE WHEN form = 'binary' THEN 'Yes' ELSE l_linenumber::varchar END AS top, round(CASE WHEN form = 'binary' THEN single WHEN form = 'outcomes' THEN CASE WHEN total > 1.05 OR total < 0.95 THEN p1 / nullif(total, 0) ELSE p1 END END, 6) AS top_prob
 FROM (SELECT DISTINCT l_orderkey FROM lineitem) e LEFT JOIN g ON g.k = e.l_orderkey LEFT JOIN d ON d.k = e.l_orderkey LEFT JOIN u ON u.k = e.l_orderkey""")
 def ca15_event_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the outcomes of an event say, by the kind of their strikes."""
     o = table(spark, sf_dir, "lineitem").selectExpr(*_split(_OUTCOMES)).withColumn("outcome", F.col("l_linenumber").cast("string"))
     v = quarters.event_views(o, "l_orderkey", "kind", "floor", "p", "outcome", "exclusive")
-    return v.select("l_orderkey", "view", F.round("median", 4).alias("median"), "below_range", "above_range", "top", F.round("top_prob", 4).alias("top_prob"))
+    return v.select("l_orderkey", "view", F.round("median", 6).alias("median"), "below_range", "above_range", "top", F.round("top_prob", 6).alias("top_prob"))
 
 
 # --- reports and small rules -------------------------------------------------------
