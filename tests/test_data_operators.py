@@ -265,6 +265,21 @@ def test_footers_are_written_as_they_were_read():
     assert shape.write(np.array([shape.first] * 3)) == [compaction.footer_bytes(blob)] * 3
 
 
+@pytest.mark.parametrize("rows", [1, 3])
+def test_many_files_are_encoded_as_each_would_be(rows):
+    """Nulls, long and empty texts, and nested columns, which are written one by one."""
+    rng = random.Random(7)
+    n = 40 * rows
+    flat = {"i": pa.array([rng.choice([None, rng.randint(-(10**12), 10**12)]) for _ in range(n)], pa.int64()), "s": pa.array([rng.choice([None, "", "x" * rng.randint(0, 400)]) for _ in range(n)], pa.string()), "b": pa.array([rng.choice([None, True, False]) for _ in range(n)]), "none": pa.array([None] * n, pa.float64())}
+    for table in (pa.table(flat), pa.table(flat | {"l": pa.array([[1] * rng.randint(0, 4) for _ in range(n)])})):
+        blobs = compaction._encoded(table, rows)
+        assert len(blobs) == 40
+        for i, blob in enumerate(blobs):
+            assert pq.read_table(io.BytesIO(blob)).equals(table.slice(i * rows, rows))
+        joined, _, total = join_blocks(blobs, read_footers(blobs))
+        assert total == n and pq.read_table(io.BytesIO(joined)).equals(table)
+
+
 def test_blocks_that_do_not_fit():
     a, b = parquet(pa.table({"i": [1]})), parquet(pa.table({"i": ["x"]}))
     with pytest.raises(ParquetBlockError, match="schemas differ"):

@@ -13,8 +13,8 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidemark.operators.parquet_blocks import ParquetBlockError, footer_bytes, join_blocks
-from tidemark.operators.parquet_footers import Shape, cut_row_groups, read_footers
+from tidemark.operators.parquet_blocks import CHUNK_INDEX_AT, CHUNK_INDEX_LENGTH, FILE_GROUPS, GROUP_COLUMNS, ParquetBlockError, footer_bytes, join_blocks, read_footer
+from tidemark.operators.parquet_footers import Shape, cut_pages, page_locations, read_footers
 from tidemark.session import shared_dir
 
 #: Bytes of small files that go into one consolidated file, about.
@@ -27,28 +27,33 @@ UNFINISHED = ".tmp"
 RESULT = "partition_path string, part int, files_merged bigint, blocks bigint, row_total bigint, bytes_before bigint, bytes_after bigint, content binary, error string"
 
 
-def _writer(sink, schema: pa.Schema) -> pq.ParquetWriter:
-    return pq.ParquetWriter(sink, schema, compression="snappy", use_dictionary=False, write_statistics=False, store_schema=False)
+def _written(table: pa.Table, **options) -> pa.Buffer:
+    """One Parquet file of one row group; pages of so few rows gain nothing by compression."""
+    sink = pa.BufferOutputStream()
+    with pq.ParquetWriter(sink, table.schema, compression="none", use_dictionary=False, write_statistics=False, store_schema=False, **options) as writer:
+        writer.write_table(table, row_group_size=max(1, table.num_rows))
+    return sink.getvalue()
 
 
 def _encoded(table: pa.Table, rows: int) -> list[bytes]:
-    """Parquet files of ``rows`` rows each: the first is written alone, the others as row groups of one file, which is cut up."""
-    alone, many = pa.BufferOutputStream(), pa.BufferOutputStream()
-    with _writer(alone, table.schema) as writer:
-        writer.write_table(table.slice(0, rows))
-    first = alone.getvalue().to_pybytes()
-    if table.num_rows == rows:
-        return [first]
-    with _writer(many, table.schema) as writer:
-        writer.write_table(table.slice(rows), row_group_size=rows)
-    whole = many.getvalue()
-    seen = pq.read_metadata(pa.BufferReader(whole))
-    width = range(seen.num_columns)
-    facts = np.array(
-        [[(c.data_page_offset, c.total_compressed_size, c.total_uncompressed_size) for c in map(group.column, width)] for group in map(seen.row_group, range(seen.num_row_groups))],
-        np.int64,
-    )
-    return [first, *cut_row_groups(memoryview(whole), facts[:, :, :2], facts[:, :, 2], Shape(footer_bytes(first)))]
+    """Parquet files of ``rows`` rows each: one file with a page for each is written, and cut up by its page index.
+
+    Where pages came out otherwise (nested columns), files are written one by one.
+    """
+    first = _written(table.slice(0, rows)).to_pybytes()
+    rest = table.num_rows // rows - 1
+    if rest < 2:
+        return [first, *[_written(table.slice(rows * (i + 1), rows)).to_pybytes() for i in range(rest)]]
+    whole = _written(table.slice(rows), write_page_index=True, data_page_size=0, write_batch_size=rows)
+    blob = memoryview(whole)
+    try:
+        (group,) = read_footer(whole.to_pybytes())[FILE_GROUPS][1][1]
+        found = [page_locations(bytes(blob[(at := chunk[CHUNK_INDEX_AT][1]) : at + chunk[CHUNK_INDEX_LENGTH][1]])) for chunk in group[GROUP_COLUMNS][1][1]]
+        if any(len(f) != rest or (f[:, 2] != np.arange(rest) * rows).any() for f in found):
+            raise ParquetBlockError("pages of other rows")
+        return [first, *cut_pages(blob, np.stack(found, axis=1)[:, :, :2], Shape(footer_bytes(first)))]
+    except (ParquetBlockError, KeyError, ValueError):
+        return [first, *[_written(table.slice(rows * (i + 1), rows)).to_pybytes() for i in range(rest)]]
 
 
 def encode_files(rows: DataFrame, path: str) -> DataFrame:

@@ -14,6 +14,7 @@ FILE_SCHEMA, FILE_ROWS, FILE_GROUPS, FILE_CREATED_BY = 2, 3, 4, 6
 GROUP_COLUMNS, GROUP_SIZE, GROUP_ROWS, GROUP_SORTED, GROUP_OFFSET, GROUP_COMPRESSED, GROUP_ORDINAL = 1, 2, 3, 4, 5, 6, 7
 CHUNK_PATH, CHUNK_OFFSET, CHUNK_META = 1, 2, 3
 CHUNK_INDEX_FIELDS = (4, 5, 6, 7)
+CHUNK_INDEX_AT, CHUNK_INDEX_LENGTH = 4, 5
 CHUNK_CRYPTO_FIELDS = {8, 9}
 META_TYPE, META_ENCODINGS, META_NAME, META_CODEC, META_VALUES, META_UNCOMPRESSED, META_COMPRESSED, META_DATA_PAGE, META_INDEX_PAGE, META_DICTIONARY_PAGE = 1, 2, 3, 4, 5, 6, 7, 9, 10, 11
 META_BLOOM_FIELDS = (14, 15)

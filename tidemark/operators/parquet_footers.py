@@ -14,7 +14,7 @@ import numpy as np
 
 from tidemark.operators.parquet_blocks import (
     BINARY, BYTE, CHUNK_CRYPTO_FIELDS, CHUNK_META, CHUNK_OFFSET, CHUNK_PATH, DOUBLE, FALSE, FILE_CREATED_BY, FILE_GROUPS, FILE_ROWS, FILE_SCHEMA, GROUP_COLUMNS, GROUP_COMPRESSED, GROUP_OFFSET, GROUP_ROWS,
-    GROUP_SIZE, I16, I64, LIST, META_CODEC, META_COMPRESSED, META_DATA_PAGE, META_DICTIONARY_PAGE, META_ENCODINGS, META_INDEX_PAGE, META_NAME, META_TYPE, META_UNCOMPRESSED, META_VALUES, SET, STRUCT, TRUE,
+    GROUP_SIZE, I16, I32, I64, LIST, META_CODEC, META_COMPRESSED, META_DATA_PAGE, META_DICTIONARY_PAGE, META_ENCODINGS, META_INDEX_PAGE, META_NAME, META_TYPE, META_UNCOMPRESSED, META_VALUES, SET, STRUCT, TRUE,
     ParquetBlockError, _put, _struct, _value, _varint, footer_bytes,
 )
 
@@ -263,22 +263,46 @@ def _place(out: list, which: np.ndarray, shape: Shape, values: np.ndarray, lengt
             out[i] = FileBlocks(shape, *own)
 
 
-def cut_row_groups(blob: memoryview, spans: np.ndarray, uncompressed: np.ndarray, shape: Shape) -> list[bytes]:
-    """Each row group of a file as a file of its own.
+def page_locations(index: bytes) -> np.ndarray:
+    """An offset index as rows of (first byte, bytes with the header, first row) of each page."""
+    if index[:1] != b"\x19" or index[1] & 15 != STRUCT:
+        raise ParquetBlockError("no offset index")
+    size, at = index[1] >> 4, 2
+    if size == 15:
+        size, at = _varint(index, 2)
+    data = np.frombuffer(index, np.uint8)[at:]
+    # Every header and every number ends with a byte below 128: seven of them a page.
+    ends = np.flatnonzero(data < 0x80)[: 7 * size]
+    if len(ends) < 7 * size:
+        raise ParquetBlockError("offset index cut short")
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    values = np.zeros(len(ends), np.int64)
+    for i in range(int((ends - starts).max(initial=0)) + 1):
+        there = starts + i <= ends
+        values[there] |= (data[starts[there] + i] & 0x7F).astype(np.int64) << (7 * i)
+    table = values.reshape(size, 7)
+    if (table[:, [0, 2, 4, 6]] != (1 << 4 | I64, 1 << 4 | I32, 1 << 4 | I64, 0)).any():
+        raise ParquetBlockError("an offset index of another shape")
+    return table[:, [1, 3, 5]] >> 1
 
-    ``spans`` has, by row group and column, the first byte and the length of the
-    column data; ``shape`` is that of a file with one such row group.
+
+def cut_pages(blob: memoryview, spans: np.ndarray, shape: Shape) -> list[bytes]:
+    """Files of a page per column: ``spans`` has, by file and column, a page's first byte and length.
+
+    ``shape`` is that of such a file; pages are not compressed, so that their
+    lengths are the same either way.
     """
-    begin, end = spans[:, :, 0].min(axis=1), (spans[:, :, 0] + spans[:, :, 1]).max(axis=1)
+    sizes = spans[:, :, 1]
+    at = 4 + np.cumsum(sizes, axis=1) - sizes
     values = np.repeat(np.array([shape.first], np.int64), len(spans), axis=0)
     for path, column in shape.numbers.items():
         if len(path) == 6 and path[4] == CHUNK_META:
-            own = {META_DATA_PAGE: spans[:, path[3], 0] - begin + 4, META_COMPRESSED: spans[:, path[3], 1], META_UNCOMPRESSED: uncompressed[:, path[3]]}.get(path[5])
+            own = {META_DATA_PAGE: at[:, path[3]], META_COMPRESSED: sizes[:, path[3]], META_UNCOMPRESSED: sizes[:, path[3]]}.get(path[5])
         elif path[2:3] == (GROUP_COLUMNS,):
-            own = spans[:, path[3], 0] - begin + 4 if path[4:] == (CHUNK_OFFSET,) and shape.first[column] else None
+            own = at[:, path[3]] if path[4:] == (CHUNK_OFFSET,) and shape.first[column] else None
         else:
-            own = {(GROUP_SIZE,): uncompressed.sum(axis=1), (GROUP_COMPRESSED,): spans[:, :, 1].sum(axis=1), (GROUP_OFFSET,): np.full(len(spans), 4)}.get(path[2:])
+            own = {(GROUP_SIZE,): sizes.sum(axis=1), (GROUP_COMPRESSED,): sizes.sum(axis=1), (GROUP_OFFSET,): np.full(len(spans), 4)}.get(path[2:])
         if own is not None:
             values[:, column] = own
     footers = shape.write(values)
-    return [b"".join((b"PAR1", blob[a:b], f, len(f).to_bytes(4, "little"), b"PAR1")) for a, b, f in zip(begin.tolist(), end.tolist(), footers, strict=True)]
+    return [b"".join((b"PAR1", *[blob[a : a + n] for a, n in pages], f, len(f).to_bytes(4, "little"), b"PAR1")) for pages, f in zip(spans.tolist(), footers, strict=True)]
