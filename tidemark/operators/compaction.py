@@ -251,19 +251,50 @@ def read_consolidated(joined: DataFrame, schema: T.StructType) -> DataFrame:
     target = to_arrow_schema(T.StructType([T.StructField("partition_path", T.StringType()), *schema.fields]))
     names = schema.fieldNames()
 
+    def read(blob: bytes, rows: int, whose: str, error: str | None = None) -> pa.Table:
+        try:
+            file = pq.ParquetFile(pa.BufferReader(blob))
+            table = file.read(columns=names, use_threads=False).select(names)
+            whole = table.num_rows == file.metadata.num_rows == (rows if rows >= 0 else table.num_rows)
+        except (pa.ArrowException, OSError) as e:
+            raise ParquetBlockError(f"a file of {whose} cannot be read ({error}): {e}") from e
+        if not whole:
+            raise ParquetBlockError(f"a file of {whose} has other rows than its footer says ({error})")
+        return table
+
+    def named(partitions: list[str], rows: list[int], table: pa.Table) -> Iterator[pa.RecordBatch]:
+        own = pa.array(partitions, pa.string()).take(pa.array(np.repeat(np.arange(len(rows)), rows)))
+        yield from pa.Table.from_arrays([own, *[c.cast(f.type) for c, f in zip(table.columns, list(target)[1:], strict=True)]], schema=target).to_batches()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for partition, blob, error in zip(*[batch.column(n).to_pylist() for n in ("partition_path", "content", "error")], strict=True):
-                try:
-                    file = pq.ParquetFile(io.BytesIO(blob or b""))
-                    table = file.read(columns=names, use_threads=False).select(names)
-                    whole = table.num_rows == file.metadata.num_rows
-                except (pa.ArrowException, OSError) as e:
-                    raise ParquetBlockError(f"a file of {partition} cannot be read ({error}): {e}") from e
-                if not whole:
-                    raise ParquetBlockError(f"a file of {partition} has other rows than its footer says ({error})")
-                columns = [pa.repeat(partition, table.num_rows), *[c.cast(f.type) for c, f in zip(table.columns, list(target)[1:], strict=True)]]
-                yield from pa.Table.from_arrays(columns, schema=target).to_batches()
+            partitions, blobs, errors = (batch.column(n).to_pylist() for n in ("partition_path", "content", "error"))
+            together: dict[tuple, list[int]] = {}
+            footers = read_footers([b or b"" for b in blobs])
+            for i, (blob, error, seen) in enumerate(zip(blobs, errors, footers, strict=True)):
+                if error is None and not isinstance(seen, ParquetBlockError) and seen.shape.key is not None and len(blob) < WRITE_BYTES:
+                    together.setdefault(seen.shape.key, []).append(i)
+                else:
+                    table = read(blob or b"", -1, partitions[i], error)
+                    yield from named([partitions[i]], [table.num_rows], table)
+            # Files that may share column chunks are read as one.
+            for which in together.values():
+                at, size = 0, 0
+                for end in range(1, len(which) + 1):
+                    size += len(blobs[which[end - 1]])
+                    if size < WRITE_BYTES and end < len(which):
+                        continue
+                    own = which[at:end]
+                    rows = [footers[i].rows for i in own]
+                    blob, _, total = join_blocks([blobs[i] for i in own], [footers[i] for i in own])
+                    try:
+                        table = read(blob, total, f"{partitions[own[0]]} and others")
+                    except ParquetBlockError:
+                        for i in own:  # says which one it is
+                            read(blobs[i], footers[i].rows, partitions[i])
+                        raise
+                    yield from named([partitions[i] for i in own], rows, table)
+                    at, size = end, 0
 
     return joined.select("partition_path", "content", "error").mapInArrow(run, T.StructType([T.StructField("partition_path", T.StringType()), *schema.fields]))
 
